@@ -259,3 +259,16 @@ __all__ = [
     "snapshots_from_journeys", "snapshots_from_events", "iso_format", "derive_all",
     "hours_between",
 ]
+
+
+def available_milestones(journeys: DataFrame, stages=STAGES) -> DataFrame:
+    """B8 listed: (snapshot_id, milestone) for every milestone visible as of
+    the snapshot (reported no later than the trigger)."""
+    journeys = journeys if "reported" in journeys.columns else with_reports(journeys)
+    r = journeys.withColumns({f"r{i}": F.col("reported")[i] for i in range(len(stages))})
+    s = r.select("shipment_id", F.inline(_stage_structs(stages)))
+    pairs = F.array(*[F.struct(F.col(f"avail_{j}").alias("ok"), F.lit(MILESTONES[j]).alias("milestone"))
+                      for j in range(len(stages))])
+    return (s.select(F.concat_ws("-", "shipment_id", F.col("stage_no").cast("string")).alias("snapshot_id"),
+                     F.inline(pairs))
+            .where(F.col("ok")).select("snapshot_id", "milestone"))

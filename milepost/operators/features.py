@@ -9,6 +9,7 @@ inside whole-stage codegen.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
@@ -81,17 +82,30 @@ def numeric_coerce(col: str) -> Column:
     return F.expr(f"try_cast(`{col}` as double)")
 
 
+def with_base_features(rows: DataFrame) -> DataFrame:
+    """F1-F3 added in place (no projection, no join)."""
+    return rows.withColumns({
+        "route_id": F.col("route").cast("string"),
+        "carrier": F.col("carrier").cast("string"),
+        "snapshot_stage": F.col("snapshot_stage").cast("string"),
+        "planned_remaining_hours": planned_remaining(),
+        "calendar_day_of_week": calendar_dow(),
+        **{c: numeric_coerce(c) for c in NUMERIC[2:]},
+    })
+
+
+def _unique(cols) -> list:
+    seen, out = set(), []
+    for c in cols:
+        if c not in seen:
+            seen.add(c)
+            out.append(c)
+    return out
+
+
 def base_features(rows: DataFrame, keep=("snapshot_id",)) -> DataFrame:
-    """Key columns + 3 categorical + 10 numeric features, nothing else."""
-    return rows.select(
-        *keep,
-        F.col("route").cast("string").alias("route_id"),
-        F.col("carrier").cast("string").alias("carrier"),
-        F.col("snapshot_stage").cast("string").alias("snapshot_stage"),
-        planned_remaining().alias("planned_remaining_hours"),
-        calendar_dow().alias("calendar_day_of_week"),
-        *[numeric_coerce(c).alias(c) for c in NUMERIC[2:]],
-    )
+    """key columns + 3 categorical + 10 numeric features, nothing else."""
+    return with_base_features(rows).select(*_unique(list(keep) + CATEGORICAL + NUMERIC))
 
 
 def interactions(df: DataFrame) -> DataFrame:
@@ -109,9 +123,8 @@ def v2_features(rows: DataFrame, with_prior: bool, keep=("snapshot_id",)) -> Dat
     """base + interactions + typical deviation (+ route prior).  ``rows``
     must carry ``observed_delay_vs_route_typical`` (and the prior if asked)."""
     extra = [TYPICAL] + ([PRIOR] if with_prior else [])
-    base = base_features(rows, keep=tuple(keep) + tuple(extra))
-    cols = list(keep) + CATEGORICAL + NUMERIC + INTERACTIONS + extra
-    return interactions(base).select(*cols)
+    v = interactions(with_base_features(rows))
+    return v.select(*_unique(list(keep) + CATEGORICAL + NUMERIC + INTERACTIONS + extra))
 
 
 def risk_feature_frame(rows: DataFrame, keep=("snapshot_id",),
@@ -120,10 +133,10 @@ def risk_feature_frame(rows: DataFrame, keep=("snapshot_id",),
     ``stage_routed_predicted_final_delay_hours``; 20 columns in fixed order."""
     extra = ("route_material_delay_rate", "stage_routed_predicted_final_delay_hours")
     v = v2_features(rows, with_prior=False, keep=tuple(keep) + extra)
-    v = (v.withColumnRenamed("calendar_day_of_week", "arrival_day_of_week")
+    v = (v.withColumn("arrival_day_of_week", F.col("calendar_day_of_week"))
          .withColumn("delay_margin_to_material_threshold",
                      F.col("stage_routed_predicted_final_delay_hours") - F.lit(threshold)))
-    return v.select(*keep, *RISK_COLUMNS)
+    return v.select(*_unique(list(keep) + RISK_COLUMNS))
 
 
 def leakage_columns(columns) -> list[str]:
@@ -133,6 +146,11 @@ def leakage_columns(columns) -> list[str]:
 
 # --- F12-F14 preprocessing ---------------------------------------------------
 
+def level_name(value) -> str:
+    """Column-safe name of a category level."""
+    return re.sub(r"\W", "_", str(value))
+
+
 @dataclass
 class Preprocessor:
     numeric: list
@@ -142,30 +160,40 @@ class Preprocessor:
     levels: dict = field(default_factory=dict)
     output_col: str = "features"
 
+    def _exprs(self, prefix: str) -> dict:
+        out = {f"{prefix}{c}": F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c]))
+               for c in self.numeric}
+        out.update({f"{prefix}missingindicator_{c}": F.col(c).isNull().cast("double")
+                    for c in self.indicators})
+        for c, vs in self.levels.items():
+            filled = F.coalesce(F.col(c), F.lit(self.modes.get(c)))
+            out.update({f"{prefix}{c}_{level_name(v)}": (filled == F.lit(v)).cast("double")
+                        for v in vs})
+        return out
+
     def imputed(self, df: DataFrame) -> DataFrame:
-        """Median-imputed numerics, missing indicators, mode-imputed categoricals."""
+        """F12/F13 in place: median-imputed numerics, missing indicators,
+        mode-imputed categoricals."""
         cols = {c: F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c])) for c in self.numeric}
         cols.update({f"missingindicator_{c}": F.col(c).isNull().cast("double") for c in self.indicators})
-        cols.update({c: F.coalesce(F.col(c), F.lit(self.modes[c])) for c in self.modes})
+        cols.update({c: F.coalesce(F.col(c), F.lit(m)) for c, m in self.modes.items()})
         return df.withColumns(cols)
 
-    def one_hot_columns(self) -> list[str]:
-        return [f"{c}_{v}" for c, vs in self.levels.items() for v in vs]
-
-    def encoded(self, df: DataFrame) -> DataFrame:
-        """0/1 column per fitted level; unseen level -> all zeros."""
-        d = self.imputed(df)
-        return d.withColumns({f"{c}_{v}": (F.col(c) == F.lit(v)).cast("double")
-                              for c, vs in self.levels.items() for v in vs})
+    def one_hot(self, df: DataFrame) -> DataFrame:
+        """0/1 column per fitted level after mode imputation; unseen -> zeros."""
+        return df.withColumns({k: v for k, v in self._exprs("").items()
+                               if k not in self.numeric and not k.startswith("missingindicator_")})
 
     def input_columns(self) -> list[str]:
-        return (self.numeric + [f"missingindicator_{c}" for c in self.indicators]
-                + self.one_hot_columns())
+        return list(self._exprs("").keys())
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        enc = self.encoded(df)
-        return VectorAssembler(inputCols=self.input_columns(), outputCol=self.output_col,
-                               handleInvalid="keep").transform(enc)
+    def transform(self, df: DataFrame, output_col: str | None = None) -> DataFrame:
+        """Adds the assembled feature vector; source columns stay untouched."""
+        prefix = "__pp_"
+        exprs = self._exprs(prefix)
+        out = VectorAssembler(inputCols=list(exprs), outputCol=output_col or self.output_col,
+                              handleInvalid="keep").transform(df.withColumns(exprs))
+        return out.drop(*exprs)
 
 
 def fit_preprocessor(train: DataFrame, columns, approx: bool = False,
@@ -181,12 +209,19 @@ def fit_preprocessor(train: DataFrame, columns, approx: bool = False,
     kept = [c for c in numeric if c in medians]
     indicators = [c for i, c in enumerate(numeric) if c in medians and row[f"n{i}"]]
     modes, levels = {}, {}
-    for c in cats:
-        freq = mode_table(train, c).collect()  # one row per level of a dimension column
-        levels[c] = sorted(r[c] for r in freq)
-        modes[c] = freq[0][c] if freq else None
-    return Preprocessor(kept, medians, indicators, {c: m for c, m in modes.items() if m is not None},
-                        levels, output_col)
+    if cats:
+        # one job: level counts of every categorical column (dimension-sized)
+        stacked = train.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("level")) for c in cats
+        ])).alias("_kv")).select("_kv.col", "_kv.level").where(F.col("level").isNotNull())
+        freq = stacked.groupBy("col", "level").agg(F.count(F.lit(1)).alias("n")).collect()
+        for c in cats:
+            rows = sorted(((r["n"], r["level"]) for r in freq if r["col"] == c),
+                          key=lambda t: (-t[0], t[1]))
+            levels[c] = sorted(level for _, level in rows)
+            if rows:
+                modes[c] = rows[0][1]
+    return Preprocessor(kept, medians, indicators, modes, levels, output_col)
 
 
 def mode_table(df: DataFrame, col: str) -> DataFrame:
@@ -198,6 +233,6 @@ def mode_table(df: DataFrame, col: str) -> DataFrame:
 __all__ = [
     "CATEGORICAL", "NUMERIC", "INTERACTIONS", "TYPICAL", "PRIOR", "S2_DROP", "RISK_COLUMNS",
     "planned_remaining", "calendar_dow", "numeric_coerce", "base_features", "interactions",
-    "v2_features", "risk_feature_frame", "leakage_columns", "Preprocessor",
+    "v2_features", "with_base_features", "risk_feature_frame", "leakage_columns", "Preprocessor",
     "fit_preprocessor", "mode_table", "latest_observed",
 ]
