@@ -202,9 +202,11 @@ def fit_preprocessor(train: DataFrame, columns, approx: bool = False,
     numeric = [c for c in columns if c not in CATEGORICAL]
     cats = [c for c in columns if c in CATEGORICAL]
     med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else F.median
-    row = train.agg(*[med(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(numeric)],
-                    *[F.sum(F.col(c).isNull().cast("int")).alias(f"n{i}") for i, c in enumerate(numeric)]
-                    ).collect()[0]  # one row
+    row = {}
+    if numeric:
+        row = train.agg(*[med(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(numeric)],
+                        *[F.sum(F.col(c).isNull().cast("int")).alias(f"n{i}")
+                          for i, c in enumerate(numeric)]).collect()[0].asDict()  # one row
     medians = {c: float(row[f"m{i}"]) for i, c in enumerate(numeric) if row[f"m{i}"] is not None}
     kept = [c for c in numeric if c in medians]
     indicators = [c for i, c in enumerate(numeric) if c in medians and row[f"n{i}"]]

@@ -155,3 +155,26 @@ def validate(shipments: DataFrame, events: DataFrame, snapshots: DataFrame,
         if r["violations"]:
             raise ValueError(f"{MESSAGES[r['rule']]} ({r['rule']}: {r['violations']})")
     return report
+
+
+def rule_violations(rule: str, shipments: DataFrame, events: DataFrame, snapshots: DataFrame,
+                    expected_shipments: int | None = None, stages=STAGES) -> DataFrame:
+    """Violation count of a single rule as a one-row frame (column ``violations``)."""
+    def n_rows(df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
+    if rule == "C01":
+        return shipment_violations(shipments, expected_shipments).select(F.col("C01").alias("violations"))
+    if rule == "C02":
+        return n_rows(unknown_references(events, shipments))
+    if rule == "C03":
+        return n_rows(unknown_references(snapshots, shipments))
+    if rule == "C04":
+        return n_rows(event_count_violations(events, shipments))
+    if rule == "C06":
+        return duplicate_ids(snapshots).agg(
+            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations"))
+    if rule == "C08":
+        return shipment_violations(shipments, expected_shipments).select(F.col("C08").alias("violations"))
+    if rule in ("C09", "C10", "C11"):
+        return event_violations(events).select(F.col(rule).alias("violations"))
+    return snapshot_violations(snapshots, stages).select(F.col(rule).alias("violations"))

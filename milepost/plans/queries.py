@@ -145,3 +145,617 @@ def q_snapshots(t: Journeys) -> DataFrame:
 def q_snapshots_events(t: Journeys) -> DataFrame:
     """B7-B11 from the events table: fixed-size pivot per shipment + join."""
     return derive.snapshots_from_events(t.shipments, t.events)
+
+
+# ---------------------------------------------------------------- C1-C13
+from milepost.operators import quality  # noqa: E402
+
+_RULE_ROWS = "\n  UNION ALL ".join(
+    f"SELECT '{r}' AS rule, '{d}' AS description, CAST(({{{r}}}) AS BIGINT) AS violations"
+    for r, d in quality.RULES)
+
+_ACT = ["actual_departure_at", "actual_port_arrival_at", "actual_customs_clearance_at",
+        "actual_inland_dispatch_at", "actual_final_delivery_at"]
+_CHRONO = " OR ".join(f"coalesce({b} < {a}, false)" for a, b in zip(_ACT, _ACT[1:]))
+
+
+def _rule_sql(sh: str, ev: str, sn: str, expected: str | None = None) -> dict:
+    exp = expected or f"(SELECT count(*) FROM {sh})"
+    return {
+        "C01": f"SELECT abs((SELECT count(*) FROM {sh}) - {exp}) + abs((SELECT count(DISTINCT shipment_id) FROM {sh}) - {exp})",
+        "C02": f"SELECT count(*) FROM {ev} e WHERE NOT EXISTS (SELECT 1 FROM {sh} s WHERE s.shipment_id = e.shipment_id)",
+        "C03": f"SELECT count(*) FROM {sn} e WHERE NOT EXISTS (SELECT 1 FROM {sh} s WHERE s.shipment_id = e.shipment_id)",
+        "C04": f"SELECT count(*) FROM (SELECT shipment_id, count(*) AS n FROM {ev} GROUP BY shipment_id) WHERE n <> 5",
+        "C05": f"SELECT count(*) FROM {sn} WHERE snapshot_stage IS NULL OR snapshot_stage NOT IN ('ORIGIN_DEPARTED', 'PORT_ARRIVED', 'CUSTOMS_CLEARED')",
+        "C06": f"SELECT coalesce(sum(n - 1), 0) FROM (SELECT snapshot_id, count(*) AS n FROM {sn} GROUP BY snapshot_id HAVING count(*) > 1)",
+        "C07": f"SELECT count(*) FROM {sn} WHERE target_final_delay_hours IS NULL",
+        "C08": f"SELECT count(*) FROM {sh} WHERE {_CHRONO}",
+        "C09": f"SELECT count(*) FROM {ev} WHERE is_update_missing AND reported_at IS NOT NULL",
+        "C10": f"SELECT count(*) FROM {ev} WHERE NOT is_update_missing AND reported_at IS NULL",
+        "C11": f"SELECT count(*) FROM {ev} WHERE NOT is_update_missing AND reported_at < actual_at",
+        "C12": f"SELECT count(*) FROM {sn} WHERE snapshot_stage = 'ORIGIN_DEPARTED' AND (observed_port_arrival_delay_hours IS NOT NULL OR observed_customs_delay_hours IS NOT NULL OR truck_availability_score IS NOT NULL)",
+        "C13": f"SELECT count(*) FROM {sn} WHERE snapshot_stage = 'PORT_ARRIVED' AND (observed_customs_delay_hours IS NOT NULL OR truck_availability_score IS NOT NULL)",
+    }
+
+
+@register("quality_report", O.sql(
+    "SELECT rule, description, violations, violations = 0 AS passed FROM (\n  "
+    + _RULE_ROWS.format(**_rule_sql("shipments_t", "mevents", "snaps")) + ")"))
+def q_quality(t: Journeys) -> DataFrame:
+    return quality.quality_report(t.shipments, t.events, t.snapshots)
+
+
+# One deterministic fault per rule, injected into the rows that match a data
+# attribute (the whole tables are still scanned and checked).
+_MUTATIONS_SQL = {
+    "C01": ("(SELECT * FROM shipments_t UNION ALL SELECT * FROM shipments_t WHERE carrier = '1-URGENT' AND cargo_type = 'BUILDING')", "mevents", "snaps"),
+    "C02": ("shipments_t", "(SELECT * REPLACE (CASE WHEN milestone = 'ORIGIN_DEPARTED' AND is_late_update THEN 'UNKNOWN-' || shipment_id ELSE shipment_id END AS shipment_id) FROM mevents)", "snaps"),
+    "C03": ("shipments_t", "mevents", "(SELECT * REPLACE (CASE WHEN snapshot_stage = 'CUSTOMS_CLEARED' AND cargo_type = 'AUTOMOBILE' THEN 'UNKNOWN-' || shipment_id ELSE shipment_id END AS shipment_id) FROM snaps)"),
+    "C04": ("shipments_t", "(SELECT * FROM mevents WHERE NOT (milestone = 'INLAND_DISPATCHED' AND is_late_update))", "snaps"),
+    "C05": ("shipments_t", "mevents", "(SELECT * REPLACE (CASE WHEN cargo_type = 'MACHINERY' AND snapshot_stage = 'PORT_ARRIVED' THEN NULL ELSE snapshot_stage END AS snapshot_stage) FROM snaps)"),
+    "C06": ("shipments_t", "mevents", "(SELECT * REPLACE (CASE WHEN snapshot_stage = 'PORT_ARRIVED' AND carrier = '5-LOW' THEN shipment_id || '-1' ELSE snapshot_id END AS snapshot_id) FROM snaps)"),
+    "C07": ("shipments_t", "mevents", "(SELECT * REPLACE (CASE WHEN carrier = '2-HIGH' AND snapshot_stage = 'ORIGIN_DEPARTED' THEN NULL ELSE target_final_delay_hours END AS target_final_delay_hours) FROM snaps)"),
+    "C08": ("(SELECT * REPLACE (CASE WHEN cargo_type = 'FURNITURE' THEN actual_departure_at - INTERVAL 1 HOUR ELSE actual_port_arrival_at END AS actual_port_arrival_at) FROM shipments_t)", "mevents", "snaps"),
+    "C09": ("shipments_t", "(SELECT * REPLACE (CASE WHEN is_update_missing AND milestone = 'CUSTOMS_CLEARED' THEN actual_at ELSE reported_at END AS reported_at) FROM mevents)", "snaps"),
+    "C10": ("shipments_t", "(SELECT * REPLACE (CASE WHEN NOT is_update_missing AND is_late_update AND milestone = 'PORT_ARRIVED' THEN NULL ELSE reported_at END AS reported_at) FROM mevents)", "snaps"),
+    "C11": ("shipments_t", "(SELECT * REPLACE (CASE WHEN NOT is_update_missing AND is_late_update AND milestone = 'FINAL_DELIVERED' THEN actual_at - INTERVAL 1 HOUR ELSE reported_at END AS reported_at) FROM mevents)", "snaps"),
+    "C12": ("shipments_t", "mevents", "(SELECT * REPLACE (CASE WHEN snapshot_stage = 'ORIGIN_DEPARTED' AND carrier = '3-MEDIUM' THEN 1.0 ELSE observed_port_arrival_delay_hours END AS observed_port_arrival_delay_hours) FROM snaps)"),
+    "C13": ("shipments_t", "mevents", "(SELECT * REPLACE (CASE WHEN snapshot_stage = 'PORT_ARRIVED' AND cargo_type = 'HOUSEHOLD' THEN 0.5 ELSE truck_availability_score END AS truck_availability_score) FROM snaps)"),
+}
+
+
+def _mutate(rule: str, t: Journeys):
+    sh, ev, sn = t.shipments, t.events, t.snapshots
+    w = F.when
+    if rule == "C01":
+        sh = sh.unionByName(sh.where((F.col("carrier") == "1-URGENT") & (F.col("cargo_type") == "BUILDING")))
+    elif rule == "C02":
+        ev = ev.withColumn("shipment_id", w((F.col("milestone") == "ORIGIN_DEPARTED") & F.col("is_late_update"),
+                                            F.concat(F.lit("UNKNOWN-"), "shipment_id")).otherwise(F.col("shipment_id")))
+    elif rule == "C03":
+        sn = sn.withColumn("shipment_id", w((F.col("snapshot_stage") == "CUSTOMS_CLEARED") & (F.col("cargo_type") == "AUTOMOBILE"),
+                                            F.concat(F.lit("UNKNOWN-"), "shipment_id")).otherwise(F.col("shipment_id")))
+    elif rule == "C04":
+        ev = ev.where(~((F.col("milestone") == "INLAND_DISPATCHED") & F.col("is_late_update")))
+    elif rule == "C05":
+        sn = sn.withColumn("snapshot_stage", w((F.col("cargo_type") == "MACHINERY") & (F.col("snapshot_stage") == "PORT_ARRIVED"),
+                                               F.lit(None).cast("string")).otherwise(F.col("snapshot_stage")))
+    elif rule == "C06":
+        sn = sn.withColumn("snapshot_id", w((F.col("snapshot_stage") == "PORT_ARRIVED") & (F.col("carrier") == "5-LOW"),
+                                            F.concat("shipment_id", F.lit("-1"))).otherwise(F.col("snapshot_id")))
+    elif rule == "C07":
+        sn = sn.withColumn("target_final_delay_hours", w((F.col("carrier") == "2-HIGH") & (F.col("snapshot_stage") == "ORIGIN_DEPARTED"),
+                                                         F.lit(None).cast("double")).otherwise(F.col("target_final_delay_hours")))
+    elif rule == "C08":
+        sh = sh.withColumn("actual_port_arrival_at", w(F.col("cargo_type") == "FURNITURE",
+                                                       F.timestamp_add("HOUR", F.lit(-1), "actual_departure_at"))
+                           .otherwise(F.col("actual_port_arrival_at")))
+    elif rule == "C09":
+        ev = ev.withColumn("reported_at", w(F.col("is_update_missing") & (F.col("milestone") == "CUSTOMS_CLEARED"),
+                                            F.col("actual_at")).otherwise(F.col("reported_at")))
+    elif rule == "C10":
+        ev = ev.withColumn("reported_at", w(~F.col("is_update_missing") & F.col("is_late_update") & (F.col("milestone") == "PORT_ARRIVED"),
+                                            F.lit(None)).otherwise(F.col("reported_at")))
+    elif rule == "C11":
+        ev = ev.withColumn("reported_at", w(~F.col("is_update_missing") & F.col("is_late_update") & (F.col("milestone") == "FINAL_DELIVERED"),
+                                            F.timestamp_add("HOUR", F.lit(-1), "actual_at")).otherwise(F.col("reported_at")))
+    elif rule == "C12":
+        sn = sn.withColumn("observed_port_arrival_delay_hours", w((F.col("snapshot_stage") == "ORIGIN_DEPARTED") & (F.col("carrier") == "3-MEDIUM"),
+                                                                  F.lit(1.0)).otherwise(F.col("observed_port_arrival_delay_hours")))
+    elif rule == "C13":
+        sn = sn.withColumn("truck_availability_score", w((F.col("snapshot_stage") == "PORT_ARRIVED") & (F.col("cargo_type") == "HOUSEHOLD"),
+                                                         F.lit(0.5)).otherwise(F.col("truck_availability_score")))
+    return sh, ev, sn
+
+
+def _mutation_query(rule: str):
+    sh_sql, ev_sql, sn_sql = _MUTATIONS_SQL[rule]
+    expected = "(SELECT count(*) FROM shipments_t)"
+    body = _rule_sql("m_sh", "m_ev", "m_sn", expected)[rule]
+    extra = f"m_sh AS (SELECT * FROM {sh_sql}),\nm_ev AS (SELECT * FROM {ev_sql}),\nm_sn AS (SELECT * FROM {sn_sql})"
+    sql_text = O.sql(f"SELECT '{rule}' AS rule, CAST(({body}) AS BIGINT) AS violations", extra)
+
+    def fn(t: Journeys) -> DataFrame:
+        n = t.shipments.count() if rule == "C01" else None  # expected population (one number)
+        sh, ev, sn = _mutate(rule, t)
+        return quality.rule_violations(rule, sh, ev, sn, n).select(F.lit(rule).alias("rule"), "violations")
+    register(f"quality_mutation_{rule.lower()}", sql_text)(fn)
+
+
+for _rule, _ in quality.RULES:
+    _mutation_query(_rule)
+
+
+# ---------------------------------------------------------------- D1-D4
+from milepost.operators import split as S  # noqa: E402
+
+
+@register("split_manifest", O.sql("SELECT shipment_id, split, split_seed FROM manifest"))
+def q_manifest(t: Journeys) -> DataFrame:
+    return t.manifest
+
+
+@register("rows_by_split", O.sql(
+    "SELECT m.split, CAST(count(DISTINCT m.shipment_id) AS BIGINT) AS n_shipments, "
+    "CAST(count(s.snapshot_id) AS BIGINT) AS n_snapshots FROM manifest m "
+    "LEFT JOIN snaps s USING (shipment_id) GROUP BY m.split"))
+def q_rows_by_split(t: Journeys) -> DataFrame:
+    ships = t.manifest.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n_shipments"))
+    snaps = (S.with_split(t.snapshots, t.manifest).groupBy("split")
+             .agg(F.count(F.lit(1)).cast("bigint").alias("n_snapshots")))
+    return ships.join(snaps, "split", "left").select(
+        "split", "n_shipments", F.coalesce("n_snapshots", F.lit(0).cast("bigint")).alias("n_snapshots"))
+
+
+@register("group_folds", O.sql(f"SELECT shipment_id, {O.FOLD('shipment_id')} AS fold FROM ship_s WHERE split = 'train'"))
+def q_group_folds(t: Journeys) -> DataFrame:
+    return S.group_folds(t.shipments_of("train").select("shipment_id"), t.cfg.folds, t.cfg.fold_salt(0))
+
+
+@register("split_leak_check", O.sql(
+    "SELECT CAST(count(*) AS BIGINT) AS leaking_shipments FROM "
+    "(SELECT shipment_id FROM manifest GROUP BY shipment_id HAVING count(DISTINCT split) > 1)"))
+def q_leak(t: Journeys) -> DataFrame:
+    return S.split_leak_check(t.manifest).agg(F.count(F.lit(1)).cast("bigint").alias("leaking_shipments"))
+
+
+@register("fold_isolation", O.sql(
+    f"SELECT f.fold, CAST(count(*) AS BIGINT) AS held_shipments, CAST(0 AS BIGINT) AS overlap "
+    f"FROM (SELECT shipment_id, {O.FOLD('shipment_id')} AS fold FROM ship_s WHERE split = 'train') f GROUP BY f.fold"))
+def q_fold_isolation(t: Journeys) -> DataFrame:
+    """D4 per fold: held-out size and |fit ids ∩ held ids| (expected 0)."""
+    f = S.group_folds(t.shipments_of("train").select("shipment_id"), t.cfg.folds, t.cfg.fold_salt(0))
+    held = f.groupBy("fold").agg(F.count(F.lit(1)).cast("bigint").alias("held_shipments"))
+    # an id is in fit set k iff its fold != k: count ids whose fold both is and is not k
+    overlap = (f.alias("a").join(f.alias("b"), "shipment_id")
+               .where(F.col("a.fold") != F.col("b.fold"))
+               .groupBy(F.col("a.fold").alias("fold")).agg(F.count(F.lit(1)).cast("bigint").alias("overlap")))
+    return held.join(overlap, "fold", "left").select(
+        "fold", "held_shipments", F.coalesce("overlap", F.lit(0).cast("bigint")).alias("overlap"))
+
+
+# ---------------------------------------------------------------- F1-F15
+from milepost.functions.expr import latest_observed  # noqa: E402
+from milepost.operators import encode as EN  # noqa: E402
+from milepost.operators import features as FE  # noqa: E402
+
+_NUM8 = FE.NUMERIC[2:]
+_START = ("CASE snapshot_stage WHEN 'ORIGIN_DEPARTED' THEN scheduled_departure_at "
+          "WHEN 'PORT_ARRIVED' THEN scheduled_port_arrival_at "
+          "WHEN 'CUSTOMS_CLEARED' THEN scheduled_customs_clearance_at END")
+_DOW = (f"CAST(isodow(CASE WHEN snapshot_stage = 'ORIGIN_DEPARTED' THEN scheduled_departure_at "
+        f"WHEN snapshot_stage IN ('PORT_ARRIVED', 'CUSTOMS_CLEARED') THEN scheduled_port_arrival_at END) - 1 AS DOUBLE)")
+_BASE_SQL = (f"route AS route_id, carrier, snapshot_stage, "
+             f"{O.EXACT_HOURS(_START, 'scheduled_final_eta')} AS planned_remaining_hours, "
+             f"{_DOW} AS calendar_day_of_week, "
+             + ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in _NUM8))
+_INTER_SQL = ("observed_port_arrival_delay_hours * congestion_score AS port_delay_x_congestion, "
+              "observed_port_arrival_delay_hours * (1 - document_readiness_score) AS port_delay_x_document_gap, "
+              "observed_customs_delay_hours * (1 - truck_availability_score) AS customs_delay_x_truck_shortage")
+
+
+@register("planned_remaining", O.sql(
+    f"SELECT snapshot_id, {O.EXACT_HOURS(_START, 'scheduled_final_eta')} AS planned_remaining_hours FROM snaps"))
+def q_planned_remaining(t: Journeys) -> DataFrame:
+    return t.snapshots.select("snapshot_id", FE.planned_remaining().alias("planned_remaining_hours"))
+
+
+@register("calendar_dow", O.sql(f"SELECT snapshot_id, {_DOW} AS calendar_day_of_week FROM snaps"))
+def q_dow(t: Journeys) -> DataFrame:
+    return t.snapshots.select("snapshot_id", FE.calendar_dow().alias("calendar_day_of_week"))
+
+
+@register("numeric_coerce", O.sql(
+    "SELECT snapshot_id, " + ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in _NUM8) + " FROM snaps"))
+def q_coerce(t: Journeys) -> DataFrame:
+    return t.snapshots.select("snapshot_id", *[FE.numeric_coerce(c).alias(c) for c in _NUM8])
+
+
+@register("feature_frame", O.sql(f"SELECT snapshot_id, {_BASE_SQL} FROM snaps"))
+def q_feature_frame(t: Journeys) -> DataFrame:
+    return FE.base_features(t.snapshots)
+
+
+@register("latest_observed", O.sql(f"SELECT snapshot_id, {O.LATEST()} AS latest_observed_delay_hours FROM snaps"))
+def q_latest(t: Journeys) -> DataFrame:
+    return t.snapshots.select("snapshot_id", latest_observed().alias("latest_observed_delay_hours"))
+
+
+@register("interactions", O.sql(f"SELECT snapshot_id, {_INTER_SQL} FROM snaps"))
+def q_interactions(t: Journeys) -> DataFrame:
+    return FE.interactions(t.snapshots).select("snapshot_id", *FE.INTERACTIONS)
+
+
+_TYP_FIT = f"""
+tfit AS (SELECT route, snapshot_stage, {O.LATEST()} AS latest FROM snaps_s WHERE split = 'train'),
+trs AS (SELECT route, snapshot_stage, median(latest) AS typical_route_stage FROM tfit
+        WHERE route IS NOT NULL AND snapshot_stage IS NOT NULL GROUP BY route, snapshot_stage),
+tst AS (SELECT snapshot_stage, median(latest) AS typical_stage FROM tfit
+        WHERE snapshot_stage IS NOT NULL GROUP BY snapshot_stage)"""
+
+
+@register("typical_fit", O.sql(
+    "SELECT 'route_stage' AS level, route, snapshot_stage, typical_route_stage AS typical FROM trs "
+    "UNION ALL SELECT 'stage' AS level, CAST(NULL AS VARCHAR) AS route, snapshot_stage, typical_stage AS typical FROM tst",
+    _TYP_FIT))
+def q_typical_fit(t: Journeys) -> DataFrame:
+    rs, st = EN.typical_fit(t.snapshots_of("train"))
+    return (rs.select(F.lit("route_stage").alias("level"), "route", "snapshot_stage",
+                      F.col("typical_route_stage").alias("typical"))
+            .unionByName(st.select(F.lit("stage").alias("level"), F.lit(None).cast("string").alias("route"),
+                                   "snapshot_stage", F.col("typical_stage").alias("typical"))))
+
+
+@register("typical_map", O.sql(
+    f"SELECT s.snapshot_id, {O.LATEST('s.')} - coalesce(trs.typical_route_stage, tst.typical_stage) "
+    "AS observed_delay_vs_route_typical FROM snaps_s s "
+    "LEFT JOIN trs ON trs.route = s.route AND trs.snapshot_stage = s.snapshot_stage "
+    "LEFT JOIN tst ON tst.snapshot_stage = s.snapshot_stage WHERE s.split = 'validation'", _TYP_FIT))
+def q_typical_map(t: Journeys) -> DataFrame:
+    rs, st = EN.typical_fit(t.snapshots_of("train"))
+    return EN.map_typical(t.snapshots_of("validation"), rs, st).select(
+        "snapshot_id", "observed_delay_vs_route_typical")
+
+
+def _oof_ctes(salt: str = str(O.SEED)) -> str:
+    return f"""
+fs AS (SELECT shipment_id, route, final_delay_hours, CAST(final_delay_hours > 12.0 AS DOUBLE) AS m,
+              {O.FOLD('shipment_id', salt)} AS fold FROM ship_s WHERE split = 'train'),
+holds AS (SELECT CAST(range AS INTEGER) AS hold FROM range(5)),
+comp_med AS (SELECT h.hold, f.route, median(f.final_delay_hours) AS v FROM fs f JOIN holds h ON f.fold <> h.hold
+             WHERE f.route IS NOT NULL GROUP BY h.hold, f.route),
+comp_med_all AS (SELECT h.hold, median(f.final_delay_hours) AS v FROM fs f JOIN holds h ON f.fold <> h.hold GROUP BY h.hold),
+comp_rate AS (SELECT h.hold, f.route, avg(f.m) AS v FROM fs f JOIN holds h ON f.fold <> h.hold
+              WHERE f.route IS NOT NULL GROUP BY h.hold, f.route),
+comp_rate_all AS (SELECT h.hold, avg(f.m) AS v FROM fs f JOIN holds h ON f.fold <> h.hold GROUP BY h.hold),
+tr AS (SELECT s.*, {O.FOLD('s.shipment_id', salt)} AS fold FROM snaps_s s WHERE s.split = 'train'),
+tlat AS (SELECT tr.*, {O.LATEST('tr.')} AS latest FROM tr),
+comp_rs AS (SELECT h.hold, l.route, l.snapshot_stage, median(l.latest) AS v FROM tlat l JOIN holds h ON l.fold <> h.hold
+            WHERE l.route IS NOT NULL AND l.snapshot_stage IS NOT NULL GROUP BY h.hold, l.route, l.snapshot_stage),
+comp_st AS (SELECT h.hold, l.snapshot_stage, median(l.latest) AS v FROM tlat l JOIN holds h ON l.fold <> h.hold
+            WHERE l.snapshot_stage IS NOT NULL GROUP BY h.hold, l.snapshot_stage),
+oof AS (
+  SELECT tr.snapshot_id,
+         coalesce(cm.v, cma.v) AS route_prior_final_delay,
+         coalesce(cr.v, cra.v) AS route_material_delay_rate,
+         {O.LATEST('tr.')} - coalesce(crs.v, cst.v) AS observed_delay_vs_route_typical
+  FROM tr
+  LEFT JOIN comp_med cm ON cm.hold = tr.fold AND cm.route = tr.route
+  LEFT JOIN comp_med_all cma ON cma.hold = tr.fold
+  LEFT JOIN comp_rate cr ON cr.hold = tr.fold AND cr.route = tr.route
+  LEFT JOIN comp_rate_all cra ON cra.hold = tr.fold
+  LEFT JOIN comp_rs crs ON crs.hold = tr.fold AND crs.route = tr.route AND crs.snapshot_stage = tr.snapshot_stage
+  LEFT JOIN comp_st cst ON cst.hold = tr.fold AND cst.snapshot_stage = tr.snapshot_stage)"""
+
+
+@register("oof_route_median", O.sql("SELECT snapshot_id, route_prior_final_delay FROM oof", _oof_ctes()))
+def q_oof_median(t: Journeys) -> DataFrame:
+    return EN.oof_route_median(t.snapshots_of("train"), t.shipments_of("train"), t.cfg.folds,
+                               t.cfg.fold_salt(0)).select("snapshot_id", "route_prior_final_delay")
+
+
+@register("oof_route_rate", O.sql("SELECT snapshot_id, round(route_material_delay_rate, 9) AS route_material_delay_rate FROM oof", _oof_ctes()))
+def q_oof_rate(t: Journeys) -> DataFrame:
+    return EN.oof_route_rate(t.snapshots_of("train"), t.shipments_of("train"), t.cfg.folds,
+                             t.cfg.fold_salt(0)).select("snapshot_id", F.round("route_material_delay_rate", 9)
+                                                        .alias("route_material_delay_rate"))
+
+
+@register("oof_typical", O.sql("SELECT snapshot_id, observed_delay_vs_route_typical FROM oof", _oof_ctes()))
+def q_oof_typical(t: Journeys) -> DataFrame:
+    tr = t.snapshots_of("train")
+    return EN.oof_typical(tr, tr, t.cfg.folds, t.cfg.fold_salt(0)).select(
+        "snapshot_id", "observed_delay_vs_route_typical")
+
+
+_ROUTE_FIT = """
+rf AS (SELECT route, final_delay_hours, CAST(final_delay_hours > 12.0 AS DOUBLE) AS m FROM ship_s WHERE split IN ({splits})),
+rmed AS (SELECT route, median(final_delay_hours) AS v, avg(m) AS rate FROM rf WHERE route IS NOT NULL GROUP BY route),
+rall AS (SELECT median(final_delay_hours) AS v, avg(m) AS rate FROM rf)"""
+
+
+def _route_fit(splits: str) -> str:
+    return _ROUTE_FIT.format(splits=splits)
+
+
+@register("route_prior", O.sql(
+    "SELECT s.snapshot_id, coalesce(rmed.v, rall.v) AS route_prior_final_delay FROM snaps_s s "
+    "LEFT JOIN rmed ON rmed.route = s.route CROSS JOIN rall WHERE s.split = 'validation'",
+    _route_fit("'train'")))
+def q_route_prior(t: Journeys) -> DataFrame:
+    return EN.route_median(t.shipments_of("train"), t.snapshots_of("validation"),
+                           out="route_prior_final_delay").select("snapshot_id", "route_prior_final_delay")
+
+
+_NULLABLE = ["observed_departure_delay_hours", "observed_port_arrival_delay_hours",
+             "observed_customs_delay_hours", "truck_availability_score"]
+_IMPUTE_CTES = f"""
+bf AS (SELECT snapshot_id, split, {_BASE_SQL} FROM snaps_s),
+med AS (SELECT {", ".join(f"median({c}) AS {c}" for c in FE.NUMERIC)} FROM bf WHERE split = 'train')"""
+
+
+@register("median_impute", O.sql(
+    "SELECT bf.snapshot_id, "
+    + ", ".join(f"coalesce(bf.{c}, med.{c}) AS {c}" for c in FE.NUMERIC) + ", "
+    + ", ".join(f"CAST(bf.{c} IS NULL AS DOUBLE) AS missingindicator_{c}" for c in _NULLABLE)
+    + " FROM bf CROSS JOIN med WHERE bf.split = 'validation'", _IMPUTE_CTES))
+def q_median_impute(t: Journeys) -> DataFrame:
+    prep = FE.fit_preprocessor(FE.base_features(t.snapshots_of("train")), FE.NUMERIC)
+    out = prep.imputed(FE.base_features(t.snapshots_of("validation")))
+    return out.select("snapshot_id", *prep.numeric, *[f"missingindicator_{c}" for c in prep.indicators])
+
+
+@register("mode_impute", O.sql(
+    "SELECT col, level, n, row_number() OVER (PARTITION BY col ORDER BY n DESC, level) = 1 AS is_mode FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS level, CAST(count(*) AS BIGINT) AS n "
+                         f"FROM bf WHERE split = 'train' AND {c} IS NOT NULL GROUP BY {c}"
+                         for c in FE.CATEGORICAL) + ")", _IMPUTE_CTES))
+def q_mode_impute(t: Journeys) -> DataFrame:
+    from pyspark.sql import Window
+    bf = FE.base_features(t.snapshots_of("train"))
+    parts = [FE.mode_table(bf, c).select(F.lit(c).alias("col"), F.col(c).cast("string").alias("level"),
+                                         F.col("n").cast("bigint").alias("n")) for c in FE.CATEGORICAL]
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    w = Window.partitionBy("col").orderBy(F.col("n").desc(), F.col("level"))  # <= levels per column
+    return u.withColumn("is_mode", F.row_number().over(w) == 1)
+
+
+# Category levels of the TPC-H-derived test data (route = region
+# name, carrier = order priority) used to spell out the one-hot oracle.
+_LEVELS = {
+    "route_id": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
+    "carrier": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+    "snapshot_stage": ["CUSTOMS_CLEARED", "ORIGIN_DEPARTED", "PORT_ARRIVED"],
+}
+
+
+@register("one_hot", O.sql(
+    "SELECT snapshot_id, " + ", ".join(
+        f"CAST({c} = '{v}' AS DOUBLE) AS {c}_{FE.level_name(v)}" for c, vs in _LEVELS.items() for v in vs)
+    + " FROM bf WHERE split = 'validation'", _IMPUTE_CTES))
+def q_one_hot(t: Journeys) -> DataFrame:
+    prep = FE.fit_preprocessor(FE.base_features(t.snapshots_of("train")), FE.CATEGORICAL)
+    out = prep.one_hot(FE.base_features(t.snapshots_of("validation")))
+    return out.select("snapshot_id", *prep.input_columns())
+
+
+@register("risk_feature_frame", O.sql(
+    f"SELECT tr.snapshot_id, tr.route AS route_id, tr.carrier, tr.snapshot_stage, "
+    f"{O.EXACT_HOURS(_START.replace('snapshot_stage', 'tr.snapshot_stage'), 'tr.scheduled_final_eta')} AS planned_remaining_hours, "
+    f"{_DOW.replace('snapshot_stage', 'tr.snapshot_stage')} AS arrival_day_of_week, "
+    "tr.observed_departure_delay_hours, tr.observed_port_arrival_delay_hours, tr.observed_customs_delay_hours, "
+    "tr.congestion_score, tr.weather_severity, tr.document_readiness_score, tr.truck_availability_score, "
+    "tr.event_completeness_score, "
+    "tr.observed_port_arrival_delay_hours * tr.congestion_score AS port_delay_x_congestion, "
+    "tr.observed_port_arrival_delay_hours * (1 - tr.document_readiness_score) AS port_delay_x_document_gap, "
+    "tr.observed_customs_delay_hours * (1 - tr.truck_availability_score) AS customs_delay_x_truck_shortage, "
+    "oof.observed_delay_vs_route_typical, round(oof.route_material_delay_rate, 9) AS route_material_delay_rate, "
+    "oof.route_prior_final_delay AS stage_routed_predicted_final_delay_hours, "
+    "oof.route_prior_final_delay - 12.0 AS delay_margin_to_material_threshold "
+    "FROM tr JOIN oof USING (snapshot_id)", _oof_ctes()))
+def q_risk_frame(t: Journeys) -> DataFrame:
+    """F15 with the OOF route prior standing in for the routed ETA column."""
+    tr, ts, k, salt = t.snapshots_of("train"), t.shipments_of("train"), t.cfg.folds, t.cfg.fold_salt(0)
+    r = EN.oof_typical(tr, tr, k, salt)
+    r = EN.oof_route_rate(r, ts, k, salt)
+    r = EN.oof_route_median(r, ts, k, salt, out="stage_routed_predicted_final_delay_hours")
+    out = FE.risk_feature_frame(r)
+    return out.withColumn("route_material_delay_rate", F.round("route_material_delay_rate", 9))
+
+
+# ---------------------------------------------------------------- G0-G2, J1-J6
+from milepost.operators import baselines as BL  # noqa: E402
+from milepost.operators import evaluate as EV  # noqa: E402
+from milepost.operators import risk as RK  # noqa: E402
+
+_FINAL = _route_fit("'train', 'validation'") + f""",
+te AS (SELECT s.*, coalesce(rmed.v, rall.v) AS b1, coalesce(rmed.rate, rall.rate) AS p,
+              {O.LATEST('s.')} AS b2
+       FROM snaps_s s LEFT JOIN rmed ON rmed.route = s.route CROSS JOIN rall WHERE s.split = 'test'),
+long AS (
+  SELECT 'B0 Scheduled ETA' AS method, 0 AS mo, snapshot_stage, target_final_delay_hours AS y, 0.0 AS pr FROM te
+  UNION ALL SELECT 'B1 Route median', 1, snapshot_stage, target_final_delay_hours, b1 FROM te
+  UNION ALL SELECT 'B2 Latest observed carry-forward', 2, snapshot_stage, target_final_delay_hours, b2 FROM te),
+scoped AS (
+  SELECT method, mo, 'ALL' AS scope, 0 AS so, y, pr FROM long WHERE pr IS NOT NULL
+  UNION ALL SELECT method, mo, snapshot_stage, CASE snapshot_stage WHEN 'ORIGIN_DEPARTED' THEN 1 WHEN 'PORT_ARRIVED' THEN 2 ELSE 3 END, y, pr
+  FROM long WHERE pr IS NOT NULL),
+regm AS (
+  SELECT method, scope, CAST(count(*) AS BIGINT) AS n_snapshots, avg(abs(pr - y)) AS mae_hours,
+         sqrt(avg((pr - y) * (pr - y))) AS rmse_hours, min(mo) AS mo, min(so) AS so
+  FROM scoped GROUP BY method, scope),
+rs AS (
+  SELECT 'ALL' AS scope, p, target_is_materially_delayed AS y FROM te
+  UNION ALL SELECT snapshot_stage, p, target_is_materially_delayed FROM te),
+cls AS (
+  SELECT scope, CAST(count(*) AS BIGINT) AS n_snapshots,
+         sum(CASE WHEN p >= 0.29 AND y = 1 THEN 1 ELSE 0 END) AS tp,
+         sum(CASE WHEN p >= 0.29 AND y = 0 THEN 1 ELSE 0 END) AS fp,
+         sum(CASE WHEN NOT coalesce(p >= 0.29, false) AND y = 1 THEN 1 ELSE 0 END) AS fn,
+         avg((p - y) * (p - y)) AS brier_score
+  FROM rs GROUP BY scope),
+prf AS (
+  SELECT scope, n_snapshots,
+         CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS precision,
+         CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS recall,
+         CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END AS f1,
+         brier_score FROM cls),
+ps AS (SELECT scope, p, sum(y) AS tp, count(*) AS n FROM rs GROUP BY scope, p),
+cum AS (SELECT scope, p, tp, sum(tp) OVER (PARTITION BY scope ORDER BY p DESC) AS ctp,
+               sum(n) OVER (PARTITION BY scope ORDER BY p DESC) AS cn FROM ps),
+ap AS (SELECT scope, CASE WHEN sum(tp) > 0 THEN sum(tp * (CAST(ctp AS DOUBLE) / cn)) / sum(tp) END AS pr_auc
+       FROM cum GROUP BY scope)"""
+
+
+def _final_rows(t: Journeys) -> DataFrame:
+    """Test rows with B0/B1/B2 (fit: train + validation) and a deterministic
+    score: the full-fit route material-delay rate (I1)."""
+    fit = t.shipments_of("train", "validation")
+    rows = BL.all_baselines(fit, t.snapshots_of("test"))
+    return EN.route_rate(fit, rows, out="risk_probability")
+
+
+_BASELINES = {"B0 Scheduled ETA": "b0_predicted_delay_hours",
+              "B1 Route median": "b1_predicted_delay_hours",
+              "B2 Latest observed carry-forward": "b2_predicted_delay_hours"}
+
+
+@register("baseline_scheduled", O.sql("SELECT snapshot_id, 0.0 AS b0_predicted_delay_hours FROM te", _FINAL))
+def q_b0(t: Journeys) -> DataFrame:
+    return BL.scheduled(t.snapshots_of("test")).select("snapshot_id", "b0_predicted_delay_hours")
+
+
+@register("baseline_route_median", O.sql("SELECT snapshot_id, b1 AS b1_predicted_delay_hours FROM te", _FINAL))
+def q_b1(t: Journeys) -> DataFrame:
+    return BL.route_median_baseline(t.shipments_of("train", "validation"), t.snapshots_of("test")).select(
+        "snapshot_id", "b1_predicted_delay_hours")
+
+
+@register("baseline_carry", O.sql("SELECT snapshot_id, b2 AS b2_predicted_delay_hours FROM te", _FINAL))
+def q_b2(t: Journeys) -> DataFrame:
+    return BL.carry_forward(t.snapshots_of("test")).select("snapshot_id", "b2_predicted_delay_hours")
+
+
+@register("baseline_regression_metrics", O.sql(
+    "SELECT method, scope, n_snapshots, round(mae_hours, 6) AS mae_hours, round(rmse_hours, 6) AS rmse_hours FROM regm",
+    _FINAL))
+def q_regression(t: Journeys) -> DataFrame:
+    m = EV.regression_metrics(_final_rows(t), _BASELINES)
+    return m.select("method", "scope", "n_snapshots", r6("mae_hours").alias("mae_hours"),
+                    r6("rmse_hours").alias("rmse_hours"))
+
+
+@register("precision_recall_f1", O.sql(
+    "SELECT scope, n_snapshots, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+    "round(f1, 6) AS f1 FROM prf", _FINAL))
+def q_prf(t: Journeys) -> DataFrame:
+    m = EV.precision_recall_f1(_final_rows(t))
+    return m.select("scope", "n_snapshots", r6("precision").alias("precision"),
+                    r6("recall").alias("recall"), r6("f1").alias("f1"))
+
+
+@register("average_precision", O.sql("SELECT scope, round(pr_auc, 6) AS pr_auc FROM ap", _FINAL))
+def q_ap(t: Journeys) -> DataFrame:
+    return EV.average_precision(_final_rows(t)).select("scope", r6("pr_auc").alias("pr_auc"))
+
+
+@register("brier", O.sql("SELECT scope, round(brier_score, 6) AS brier_score FROM prf", _FINAL))
+def q_brier(t: Journeys) -> DataFrame:
+    return EV.precision_recall_f1(_final_rows(t)).select("scope", r6("brier_score").alias("brier_score"))
+
+
+@register("risk_metrics", O.sql(
+    "SELECT 'Risk HGB v2 Stack' AS method, 0.29 AS threshold, prf.n_snapshots, round(prf.precision, 6) AS precision, "
+    "round(prf.recall, 6) AS recall, round(prf.f1, 6) AS f1, round(ap.pr_auc, 6) AS pr_auc, "
+    "round(prf.brier_score, 6) AS brier_score, prf.scope FROM prf JOIN ap USING (scope)", _FINAL))
+def q_risk_metrics(t: Journeys) -> DataFrame:
+    m = EV.risk_metrics(_final_rows(t))
+    return m.select("method", "threshold", "n_snapshots", *[r6(c).alias(c) for c in
+                    ("precision", "recall", "f1", "pr_auc", "brier_score")], "scope")
+
+
+_CAL_EDGES = EV.CALIBRATION_EDGES
+
+
+@register("calibration_table", O.sql(
+    "SELECT b.bin, CAST(count(te.p) AS BIGINT) AS n, round(avg(te.p), 6) AS mean_predicted_probability, "
+    "round(avg(CAST(te.target_is_materially_delayed AS DOUBLE)), 6) AS observed_material_delay_rate "
+    "FROM (VALUES " + ", ".join(
+        f"('{lab}', {_CAL_EDGES[i]!r}, {_CAL_EDGES[i + 1]!r}, {i})" for i, lab in enumerate(EV.CALIBRATION_LABELS))
+    + ") b(bin, lo, hi, i) LEFT JOIN te ON (te.p > b.lo OR (b.i = 0 AND te.p >= b.lo)) AND te.p <= b.hi "
+    "GROUP BY b.bin", _FINAL))
+def q_calibration(t: Journeys) -> DataFrame:
+    c = EV.calibration_table(_final_rows(t))
+    return c.select("bin", "n", r6("mean_predicted_probability").alias("mean_predicted_probability"),
+                    r6("observed_material_delay_rate").alias("observed_material_delay_rate"))
+
+
+@register("test_counts_by_stage", O.sql(
+    "SELECT snapshot_stage, CAST(count(*) AS BIGINT) AS n_snapshots FROM te GROUP BY snapshot_stage", _FINAL))
+def q_counts_by_stage(t: Journeys) -> DataFrame:
+    return EV.counts_by_stage(t.snapshots_of("test"))
+
+
+@register("risk_level", O.sql(
+    "SELECT snapshot_id, CASE WHEN p > -0.01 AND p <= 0.35 THEN 'LOW' WHEN p > 0.35 AND p <= 0.65 THEN 'MEDIUM' "
+    "WHEN p > 0.65 AND p <= 1.0 THEN 'HIGH' END AS risk_level FROM te", _FINAL))
+def q_risk_level(t: Journeys) -> DataFrame:
+    return _final_rows(t).select("snapshot_id", RK.risk_level().alias("risk_level"))
+
+
+@register("risk_alert", O.sql(
+    "SELECT snapshot_id, coalesce(p >= 0.29, false) AS predicted_material_delay FROM te", _FINAL))
+def q_risk_alert(t: Journeys) -> DataFrame:
+    return _final_rows(t).select("snapshot_id", RK.risk_alert().alias("predicted_material_delay"))
+
+
+# ---------------------------------------------------------------- H (non-model parts)
+from milepost.operators import eta as ET  # noqa: E402
+
+_S2S3 = f"""
+truth AS (SELECT shipment_id, actual_customs_clearance_at AS ac, actual_final_delivery_at AS af FROM ship_s WHERE split = 'train'),
+s2 AS (SELECT s.snapshot_id, s.snapshot_at, s.scheduled_final_eta,
+         {O.EXACT_HOURS('s.snapshot_at', 's.scheduled_customs_clearance_at')} AS planned_customs_remaining_hours,
+         {O.EXACT_HOURS('s.scheduled_customs_clearance_at', 's.scheduled_final_eta')} AS planned_post_customs_remaining_hours,
+         {O.EXACT_HOURS('s.snapshot_at', 't.ac')} - {O.EXACT_HOURS('s.snapshot_at', 's.scheduled_customs_clearance_at')} AS customs_deviation_hours,
+         {O.EXACT_HOURS('t.ac', 't.af')} - {O.EXACT_HOURS('s.scheduled_customs_clearance_at', 's.scheduled_final_eta')} AS post_customs_deviation_hours
+       FROM snaps_s s LEFT JOIN truth t USING (shipment_id) WHERE s.split = 'train' AND s.snapshot_stage = 'PORT_ARRIVED'),
+s3 AS (SELECT s.snapshot_id, s.snapshot_at, s.scheduled_final_eta,
+         {O.EXACT_HOURS('s.snapshot_at', 's.scheduled_final_eta')} AS planned_inland_remaining_hours,
+         {O.EXACT_HOURS('s.snapshot_at', 't.af')} - {O.EXACT_HOURS('s.snapshot_at', 's.scheduled_final_eta')} AS inland_deviation_hours
+       FROM snaps_s s LEFT JOIN truth t USING (shipment_id) WHERE s.split = 'train' AND s.snapshot_stage = 'CUSTOMS_CLEARED')"""
+
+
+@register("s2_targets", O.sql(
+    "SELECT snapshot_id, planned_customs_remaining_hours, planned_post_customs_remaining_hours, "
+    "customs_deviation_hours, post_customs_deviation_hours FROM s2", _S2S3))
+def q_s2(t: Journeys) -> DataFrame:
+    tr = t.snapshots_of("train").where(F.col("snapshot_stage") == "PORT_ARRIVED")
+    return ET.s2_targets(tr, t.shipments_of("train")).select(
+        "snapshot_id", "planned_customs_remaining_hours", "planned_post_customs_remaining_hours",
+        "customs_deviation_hours", "post_customs_deviation_hours")
+
+
+@register("s3_targets", O.sql(
+    "SELECT snapshot_id, planned_inland_remaining_hours, inland_deviation_hours FROM s3", _S2S3))
+def q_s3(t: Journeys) -> DataFrame:
+    tr = t.snapshots_of("train").where(F.col("snapshot_stage") == "CUSTOMS_CLEARED")
+    return ET.s3_targets(tr, t.shipments_of("train")).select(
+        "snapshot_id", "planned_inland_remaining_hours", "inland_deviation_hours")
+
+
+@register("waterfall_identity", O.sql(
+    "SELECT snapshot_id, round(" + O.EXACT_HOURS("scheduled_final_eta", O.ADD_HOURS(
+        "snapshot_at", "planned_customs_remaining_hours + customs_deviation_hours + "
+        "planned_post_customs_remaining_hours + post_customs_deviation_hours")) + ", 6) AS structured_delay_hours FROM s2 "
+    "UNION ALL SELECT snapshot_id, round(" + O.EXACT_HOURS("scheduled_final_eta", O.ADD_HOURS(
+        "snapshot_at", "planned_inland_remaining_hours + inland_deviation_hours")) + ", 6) FROM s3", _S2S3))
+def q_waterfall(t: Journeys) -> DataFrame:
+    """H6/H7 fed with the true deviations: reproduces the final delay."""
+    tr, truth = t.snapshots_of("train"), t.shipments_of("train")
+    s2 = ET.s2_targets(tr.where(F.col("snapshot_stage") == "PORT_ARRIVED"), truth)
+    s3 = ET.s3_targets(tr.where(F.col("snapshot_stage") == "CUSTOMS_CLEARED"), truth)
+    a = s2.select("snapshot_id", r6(ET.waterfall_s2(
+        F.col("planned_customs_remaining_hours"), F.col("customs_deviation_hours"),
+        F.col("planned_post_customs_remaining_hours"), F.col("post_customs_deviation_hours")))
+        .alias("structured_delay_hours"))
+    b = s3.select("snapshot_id", r6(ET.waterfall_s3(
+        F.col("planned_inland_remaining_hours"), F.col("inland_deviation_hours"))).alias("structured_delay_hours"))
+    return a.unionByName(b)
+
+
+@register("stage_routing", O.sql(
+    "SELECT snapshot_id, CASE snapshot_stage WHEN 'ORIGIN_DEPARTED' THEN 'Direct HGB v2' "
+    "WHEN 'PORT_ARRIVED' THEN 'Structured HGB v2' WHEN 'CUSTOMS_CLEARED' THEN 'Structured HGB v2' END "
+    "AS selected_eta_model FROM snaps"))
+def q_routing(t: Journeys) -> DataFrame:
+    return t.snapshots.select("snapshot_id", ET.route_policy(t.cfg.eta_policy).alias("selected_eta_model"))
+
+
+@register("predicted_eta", O.sql(
+    f"SELECT snapshot_id, {O.ISO(O.ADD_HOURS('scheduled_final_eta', 'b1'))} AS predicted_final_eta FROM te", _FINAL))
+def q_predicted_eta(t: Journeys) -> DataFrame:
+    """H9 on a deterministic delay column (the B1 route median)."""
+    rows = BL.route_median_baseline(t.shipments_of("train", "validation"), t.snapshots_of("test"),
+                                    out="predicted_final_delay_hours")
+    return rows.select("snapshot_id", ET.predicted_eta().alias("predicted_final_eta"))
