@@ -759,3 +759,177 @@ def q_predicted_eta(t: Journeys) -> DataFrame:
     rows = BL.route_median_baseline(t.shipments_of("train", "validation"), t.snapshots_of("test"),
                                     out="predicted_final_delay_hours")
     return rows.select("snapshot_id", ET.predicted_eta().alias("predicted_final_eta"))
+
+
+# ---------------------------------------------------------------- K1-K13
+from milepost.operators import profile as PR  # noqa: E402
+
+
+@register("eda_snapshot_counts", O.sql(
+    "SELECT d.snapshot_stage, CAST(count(s.snapshot_id) AS BIGINT) AS snapshots FROM (VALUES ('ORIGIN_DEPARTED'), "
+    "('PORT_ARRIVED'), ('CUSTOMS_CLEARED')) d(snapshot_stage) LEFT JOIN snaps s USING (snapshot_stage) GROUP BY d.snapshot_stage"))
+def q_eda_k1(t: Journeys) -> DataFrame:
+    return PR.snapshot_counts_by_stage(t.snapshots)
+
+
+@register("eda_route_counts", O.sql("SELECT route, CAST(count(*) AS BIGINT) AS shipments FROM shipments_t GROUP BY route"))
+def q_eda_k2(t: Journeys) -> DataFrame:
+    return PR.counts_by(t.shipments, "route")
+
+
+@register("eda_carrier_counts", O.sql("SELECT carrier, CAST(count(*) AS BIGINT) AS shipments FROM shipments_t GROUP BY carrier"))
+def q_eda_k3(t: Journeys) -> DataFrame:
+    return PR.counts_by(t.shipments, "carrier")
+
+
+@register("eda_planned_duration", O.sql(
+    "SELECT route, median(planned_ocean_hours) AS planned_ocean_hours, median(planned_customs_hours) AS planned_customs_hours, "
+    "median(planned_inland_hours) AS planned_inland_hours FROM shipments_t GROUP BY route"))
+def q_eda_k4(t: Journeys) -> DataFrame:
+    return PR.planned_duration_by_route(t.shipments)
+
+
+@register("eda_route_delay", O.sql(
+    "SELECT route, CAST(count(*) AS BIGINT) AS shipments, round(avg(CAST(final_delay_hours > 12.0 AS DOUBLE)), 6) AS material_delay_rate, "
+    "median(final_delay_hours) AS median_final_delay_hours FROM shipments_t GROUP BY route"))
+def q_eda_k5(t: Journeys) -> DataFrame:
+    return PR.route_delay(t.shipments).withColumn("material_delay_rate", r6("material_delay_rate"))
+
+
+@register("eda_delay_buckets", O.sql(
+    "SELECT d.bucket, CAST(count(x.b) AS BIGINT) AS shipments FROM (VALUES ('early_or_on_time'), ('1_to_6h'), "
+    "('6_to_12h'), ('over_12h')) d(bucket) LEFT JOIN (SELECT CASE WHEN final_delay_hours <= 0 THEN 'early_or_on_time' "
+    "WHEN final_delay_hours <= 6 THEN '1_to_6h' WHEN final_delay_hours <= 12 THEN '6_to_12h' "
+    "WHEN final_delay_hours > 12 THEN 'over_12h' END AS b FROM shipments_t) x ON x.b = d.bucket GROUP BY d.bucket"))
+def q_eda_k6(t: Journeys) -> DataFrame:
+    return PR.delay_buckets(t.shipments)
+
+
+@register("eda_delay_distribution", O.sql(
+    "SELECT round(avg(final_delay_hours), 6) AS mean_final_delay_hours, median(final_delay_hours) AS median_final_delay_hours, "
+    "round(stddev_samp(final_delay_hours), 6) AS std_final_delay_hours FROM shipments_t"))
+def q_eda_k7(t: Journeys) -> DataFrame:
+    d = PR.delay_distribution(t.shipments)
+    return d.select(r6("mean_final_delay_hours").alias("mean_final_delay_hours"), "median_final_delay_hours",
+                    r6("std_final_delay_hours").alias("std_final_delay_hours"))
+
+
+@register("eda_propagation", O.sql(
+    "SELECT 'port_delay_to_customs_increment' AS relation, round(corr(port_arrival_delay_hours, customs_incremental_delay_hours), 6) AS correlation FROM shipments_t "
+    "UNION ALL SELECT 'customs_increment_to_inland_increment', round(corr(customs_incremental_delay_hours, inland_incremental_delay_hours), 6) FROM shipments_t "
+    "UNION ALL SELECT 'port_delay_to_final_delay', round(corr(port_arrival_delay_hours, final_delay_hours), 6) FROM shipments_t"))
+def q_eda_k8(t: Journeys) -> DataFrame:
+    return PR.propagation(t.shipments).withColumn("correlation", r6("correlation"))
+
+
+@register("eda_update_quality", O.sql(
+    "SELECT milestone, CAST(count(*) AS BIGINT) AS events, round(avg(CAST(is_update_missing AS DOUBLE)), 6) AS missing_update_rate, "
+    "round(avg(CAST(is_late_update AS DOUBLE)), 6) AS late_update_rate FROM mevents GROUP BY milestone"))
+def q_eda_k9(t: Journeys) -> DataFrame:
+    q = PR.update_quality(t.events)
+    return q.select("milestone", "events", r6("missing_update_rate").alias("missing_update_rate"),
+                    r6("late_update_rate").alias("late_update_rate"))
+
+
+@register("eda_feature_availability", O.sql(
+    "SELECT snapshot_stage, " + ", ".join(
+        f"round(avg(CAST({c} IS NOT NULL AS DOUBLE)), 6) AS {c}" for c in PR.AVAILABILITY)
+    + " FROM snaps GROUP BY snapshot_stage"))
+def q_eda_k10(t: Journeys) -> DataFrame:
+    a = PR.feature_availability(t.snapshots)
+    return a.select("snapshot_stage", *[r6(c).alias(c) for c in PR.AVAILABILITY])
+
+
+@register("eda_mean_delay_by_route", O.sql(
+    "SELECT route, round(avg(final_delay_hours), 6) AS mean_final_delay_hours FROM shipments_t GROUP BY route"))
+def q_eda_k11(t: Journeys) -> DataFrame:
+    return PR.mean_delay_by_route(t.shipments).withColumn("mean_final_delay_hours", r6("mean_final_delay_hours"))
+
+
+@register("eda_delay_histogram", O.sql(
+    "SELECT b.bin, round(r.lo + b.bin * (r.hi - r.lo) / 20.0, 6) AS bin_start, "
+    "round(r.lo + (b.bin + 1) * (r.hi - r.lo) / 20.0, 6) AS bin_end, CAST(count(x.bin) AS BIGINT) AS shipments "
+    "FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(20)) b CROSS JOIN r "
+    "LEFT JOIN (SELECT CAST(CASE WHEN r.hi = r.lo THEN 0 ELSE least(floor((s.final_delay_hours - r.lo) / ((r.hi - r.lo) / 20.0)), 19) END AS INTEGER) AS bin "
+    "FROM shipments_t s CROSS JOIN r WHERE s.final_delay_hours IS NOT NULL) x ON x.bin = b.bin "
+    "GROUP BY b.bin, r.lo, r.hi",
+    "r AS (SELECT min(final_delay_hours) AS lo, max(final_delay_hours) AS hi FROM shipments_t)"))
+def q_eda_k12(t: Journeys) -> DataFrame:
+    h = PR.delay_histogram(t.shipments)
+    return h.select("bin", r6("bin_start").alias("bin_start"), r6("bin_end").alias("bin_end"), "shipments")
+
+
+@register("eda_propagation_points", O.sql(
+    "SELECT shipment_id, port_arrival_delay_hours, customs_incremental_delay_hours, inland_incremental_delay_hours, "
+    "final_delay_hours FROM shipments_t"))
+def q_eda_k13(t: Journeys) -> DataFrame:
+    return PR.propagation_points(t.shipments)
+
+
+# ---------------------------------------------------------------- L1-L9
+from milepost.operators import report as RP  # noqa: E402
+
+
+@register("case_s1", O.sql(
+    "SELECT snapshot_id, shipment_id, route, snapshot_stage, p AS risk_probability FROM te "
+    "WHERE snapshot_stage = 'ORIGIN_DEPARTED' ORDER BY p DESC NULLS LAST, snapshot_id LIMIT 1", _FINAL))
+def q_case_s1(t: Journeys) -> DataFrame:
+    return RP.case_s1_highest_risk(_final_rows(t)).select(
+        "snapshot_id", "shipment_id", "route", "snapshot_stage", "risk_probability")
+
+
+@register("case_s3", O.sql(
+    "SELECT snapshot_id, shipment_id, route, snapshot_stage, p AS risk_probability FROM te "
+    "WHERE snapshot_stage = 'CUSTOMS_CLEARED' ORDER BY p ASC NULLS LAST, snapshot_id LIMIT 1", _FINAL))
+def q_case_s3(t: Journeys) -> DataFrame:
+    return RP.case_s3_lowest_risk(_final_rows(t)).select(
+        "snapshot_id", "shipment_id", "route", "snapshot_stage", "risk_probability")
+
+
+@register("case_s2", O.sql(
+    "SELECT snapshot_id, round(customs_deviation_hours + post_customs_deviation_hours, 6) AS total_deviation_hours FROM s2 "
+    "ORDER BY customs_deviation_hours + post_customs_deviation_hours DESC NULLS LAST, snapshot_id LIMIT 1", _S2S3))
+def q_case_s2(t: Journeys) -> DataFrame:
+    """L2 ranking fed with the true deviations of the fit rows."""
+    tr = t.snapshots_of("train").where(F.col("snapshot_stage") == "PORT_ARRIVED")
+    s2 = ET.s2_targets(tr, t.shipments_of("train"))
+    top = RP.case_s2_highest_deviation(s2, "customs_deviation_hours", "post_customs_deviation_hours")
+    return top.select("snapshot_id", r6(F.col("customs_deviation_hours") + F.col("post_customs_deviation_hours"))
+                      .alias("total_deviation_hours"))
+
+
+_REC_SQL = (
+    "coalesce(nullif(concat_ws(' | ', CASE WHEN p >= 0.29 THEN '" + RP.ESCALATE + "' END, "
+    "CASE WHEN coalesce(document_readiness_score, 1.0) < 0.6 THEN '" + RP.DOCUMENTS + "' END, "
+    "CASE WHEN coalesce(event_completeness_score, 1.0) < 1.0 THEN '" + RP.REQUEST_UPDATE + "' END), ''), '"
+    + RP.CONTINUE + "')")
+
+
+@register("recommendations", O.sql(f"SELECT snapshot_id, {_REC_SQL} AS recommendations FROM te", _FINAL))
+def q_recommendations(t: Journeys) -> DataFrame:
+    return _final_rows(t).select("snapshot_id", F.array_join(RP.recommendations(), " | ").alias("recommendations"))
+
+
+@register("quality_counts", O.sql(
+    "SELECT (SELECT CAST(count(*) AS BIGINT) FROM shipments_t) AS shipments, (SELECT CAST(count(*) AS BIGINT) FROM mevents) AS events, "
+    "(SELECT CAST(count(*) AS BIGINT) FROM snaps) AS snapshots, 'passed' AS verdict"))
+def q_quality_counts(t: Journeys) -> DataFrame:
+    rep = quality.quality_report(t.shipments, t.events, t.snapshots)
+    return RP.quality_counts(t.shipments, t.events, t.snapshots, rep)
+
+
+@register("report_metrics", O.sql(
+    "SELECT method, scope, n_snapshots, round(mae_hours, 3) AS mae_hours, round(rmse_hours, 3) AS rmse_hours FROM regm", _FINAL))
+def q_report_metrics(t: Journeys) -> DataFrame:
+    return RP.report_metrics(EV.regression_metrics(_final_rows(t), _BASELINES))
+
+
+@register("risk_by_stage", O.sql(
+    "SELECT snapshot_stage, round(avg(p), 6) AS mean_risk_probability FROM te GROUP BY snapshot_stage", _FINAL))
+def q_risk_by_stage(t: Journeys) -> DataFrame:
+    return RP.risk_by_stage(_final_rows(t)).withColumn("mean_risk_probability", r6("mean_risk_probability"))
+
+
+@register("mae_by_method", O.sql("SELECT method, round(mae_hours, 6) AS mae_hours FROM regm WHERE scope = 'ALL'", _FINAL))
+def q_mae_by_method(t: Journeys) -> DataFrame:
+    return RP.mae_by_method(EV.regression_metrics(_final_rows(t), _BASELINES)).withColumn("mae_hours", r6("mae_hours"))
