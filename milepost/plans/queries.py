@@ -933,3 +933,31 @@ def q_risk_by_stage(t: Journeys) -> DataFrame:
 @register("mae_by_method", O.sql("SELECT method, round(mae_hours, 6) AS mae_hours FROM regm WHERE scope = 'ALL'", _FINAL))
 def q_mae_by_method(t: Journeys) -> DataFrame:
     return RP.mae_by_method(EV.regression_metrics(_final_rows(t), _BASELINES)).withColumn("mae_hours", r6("mae_hours"))
+
+
+# ---------------------------------------------------------------- H/I model fits (rows-only checks)
+# Boosted-tree fits have no SQL equivalent; the driver records row counts.
+
+
+@register("eta_predictions")
+def q_eta_predictions(t: Journeys) -> DataFrame:
+    """H1-H9: fit on train, predict validation."""
+    _, pred = ET.fit_eta(t.snapshots_of("train"), t.shipments_of("train"), t.snapshots_of("validation"), t.cfg)
+    return pred.select("snapshot_id", "snapshot_stage", *ET.ETA_COLUMNS)
+
+
+@register("eta_oof")
+def q_eta_oof(t: Journeys) -> DataFrame:
+    """Cross-fitted ETA over the train split."""
+    return ET.eta_oof(t.snapshots_of("train"), t.shipments_of("train"), t.cfg)
+
+
+@register("risk_predictions")
+def q_risk_predictions(t: Journeys) -> DataFrame:
+    """Stacked calibrated risk, fit on train, scored on validation."""
+    from milepost.session import cut_lineage
+    tr, ts, va = (cut_lineage(t.snapshots_of("train")), cut_lineage(t.shipments_of("train")),
+                  cut_lineage(t.snapshots_of("validation")))
+    _, eta_pred = ET.fit_eta(tr, ts, va, t.cfg)
+    _, pred = RK.fit_risk_stack(tr, ts, va, cut_lineage(eta_pred), t.cfg)
+    return pred.select("snapshot_id", "snapshot_stage", "predicted_final_delay_hours", *RK.RISK_OUTPUT)
