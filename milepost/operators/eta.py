@@ -169,11 +169,12 @@ def fit_eta(train_rows: DataFrame, train_shipments: DataFrame, prediction_rows:
     seed = cfg.seed
     train = with_eta_features(train_rows.withColumn("_is_member", F.lit(True)), train_rows,
                               train_shipments, cfg, level, True).drop("_is_member")
+    # the encoded fit rows feed four fits: materialise them once
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     pred = with_eta_features(prediction_rows, train_rows, train_shipments, cfg, level, False)
     # H1 direct residual model over all stages
     direct_train = v2_features(train, True, keep=("snapshot_id", "target_final_delay_hours")) \
         .withColumn("_residual", F.col("target_final_delay_hours") - F.col(PRIOR))
-    direct = _fit(direct_train, DIRECT_FEATURES, "_residual", cfg.direct, seed, cfg.approx_median)
     # H2-H5 structured models on stage subsets
     truth = train_shipments
     s2 = s2_targets(train.where(F.col("snapshot_stage") == S2), truth)
@@ -181,9 +182,18 @@ def fit_eta(train_rows: DataFrame, train_shipments: DataFrame, prediction_rows:
     s2f = v2_features(s2, False, keep=("snapshot_id", "customs_deviation_hours",
                                        "post_customs_deviation_hours"))
     s3f = v2_features(s3, False, keep=("snapshot_id", "inland_deviation_hours"))
-    customs = _fit(s2f, S2_FEATURES, "customs_deviation_hours", cfg.structured, seed, cfg.approx_median)
-    post = _fit(s2f, S2_FEATURES, "post_customs_deviation_hours", cfg.structured, seed, cfg.approx_median)
-    inland = _fit(s3f, S3_FEATURES, "inland_deviation_hours", cfg.structured, seed, cfg.approx_median)
+    jobs = [
+        (direct_train, DIRECT_FEATURES, "_residual", cfg.direct),
+        (s2f, S2_FEATURES, "customs_deviation_hours", cfg.structured),
+        (s2f, S2_FEATURES, "post_customs_deviation_hours", cfg.structured),
+        (s3f, S3_FEATURES, "inland_deviation_hours", cfg.structured),
+    ]
+    try:
+        direct, customs, post, inland = run_folds(
+            lambda i: _fit(jobs[i][0], jobs[i][1], jobs[i][2], jobs[i][3], seed, cfg.approx_median),
+            len(jobs), cfg.parallel_fits)
+    finally:
+        train.unpersist()
     models = EtaModels(direct, customs, post, inland)
     return models, predict_eta(models, pred, prediction_rows.columns, cfg)
 

@@ -18,7 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # AQE measures each materialised shuffle stage and only then turns a
     # sort-merge join into a broadcast join: the size check with a fallback.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -28,6 +29,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "milepost", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
+    if master.startswith("local"):
+        conf["spark.driver.memory"] = "8g"  # local mode: the driver JVM is the executor
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
