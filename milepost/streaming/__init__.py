@@ -1,0 +1,5 @@
+"""Structured Streaming form of the as-of snapshot operator."""
+
+from milepost.streaming.snapshots import snapshot_stream, snapshots_from_stream
+
+__all__ = ["snapshot_stream", "snapshots_from_stream"]
