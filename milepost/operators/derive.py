@@ -246,7 +246,11 @@ def iso_format(df: DataFrame, columns) -> DataFrame:
 
 def derive_all(legs: DataFrame, threshold: float = MATERIAL_DELAY_HOURS):
     """(journeys, shipments, events, snapshots) from journey legs."""
-    journeys = with_reports(shipments_from_legs(legs, threshold))
+    return derive_from_journeys(with_reports(shipments_from_legs(legs, threshold)), threshold)
+
+
+def derive_from_journeys(journeys: DataFrame, threshold: float = MATERIAL_DELAY_HOURS):
+    """(journeys, shipments, events, snapshots) from journey rows with reports."""
     return (journeys, shipments_table(journeys), milestone_events(journeys)
             .select(*EVENT_COLUMNS), snapshots_from_journeys(journeys, threshold))
 

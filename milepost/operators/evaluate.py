@@ -91,26 +91,33 @@ def precision_recall_f1(rows: DataFrame, prob: str = "risk_probability",
 
 def average_precision(rows: DataFrame, prob: str = "risk_probability",
                       label: str = "target_is_materially_delayed", stages=STAGES,
-                      bucket_bits: int = 12) -> DataFrame:
+                      buckets: int = 1024, rel_error: float = 2.5e-4) -> DataFrame:
     """AP = sum over distinct scores (desc) of (R_i - R_{i-1}) * P_i, tied
-    scores one step.  NULL if a scope has no positives."""
+    scores one step.  NULL if a scope has no positives.
+
+    Cumulative sums without a global window: distinct scores are cut into
+    ~``buckets`` ranges at approximate quantiles (bounded list of edges, so a
+    cluster of scores still spreads over many buckets); bucket totals give
+    offsets, and the running sum is only taken inside (scope, bucket)."""
+    from pyspark.ml.feature import Bucketizer
     s = _scoped(rows.select("snapshot_stage", F.col(prob).cast("double").alias("_p"),
                             F.col(label).cast("long").alias("_y")), stages)
-    per_score = s.groupBy("scope", "_p").agg(F.sum("_y").alias("_tp"),
-                                             F.count(F.lit(1)).alias("_n"))
-    # bucket = order-preserving key of the score, descending
-    nb = 1 << bucket_bits
-    bucket = (F.lit(nb - 1) - F.least(F.greatest(F.floor(F.col("_p") * nb), F.lit(0)),
-                                       F.lit(nb - 1))).cast("int")
-    keyed = per_score.withColumn("_b", bucket)
+    per_score = (s.where(F.col("_p").isNotNull()).groupBy("scope", "_p")
+                 .agg(F.sum("_y").alias("_tp"), F.count(F.lit(1)).alias("_n")))
+    probs = [i / buckets for i in range(1, buckets)]
+    edges = sorted(set(per_score.approxQuantile("_p", probs, rel_error)))  # <= buckets - 1 values
+    splits = [float("-inf")] + [e for e in edges if e not in (float("-inf"), float("inf"))] + [float("inf")]
+    keyed = Bucketizer(splits=splits, inputCol="_p", outputCol="_asc").transform(per_score) \
+        .withColumn("_b", (F.lit(len(splits) - 2) - F.col("_asc")).cast("int")).drop("_asc")
     hist = keyed.groupBy("scope", "_b").agg(F.sum("_tp").alias("_btp"), F.sum("_n").alias("_bn"))
+    # <= scopes x buckets rows
     w = Window.partitionBy("scope").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = hist.select("scope", "_b",
                           F.coalesce(F.sum("_btp").over(w), F.lit(0)).alias("_otp"),
                           F.coalesce(F.sum("_bn").over(w), F.lit(0)).alias("_on"))
     wi = Window.partitionBy("scope", "_b").orderBy(F.col("_p").desc()).rowsBetween(
         Window.unboundedPreceding, 0)
-    cum = (keyed.join(offsets, ["scope", "_b"])
+    cum = (keyed.join(F.broadcast(offsets), ["scope", "_b"])
            .withColumn("_ctp", F.col("_otp") + F.sum("_tp").over(wi))
            .withColumn("_cn", F.col("_on") + F.sum("_n").over(wi)))
     return (cum.groupBy("scope")

@@ -196,10 +196,20 @@ class Preprocessor:
         return out.drop(*exprs)
 
 
-def fit_preprocessor(train: DataFrame, columns, approx: bool = False,
-                     output_col: str = "features") -> Preprocessor:
-    """F12-F14 fit.  Columns all-missing at fit are dropped (no median exists)."""
+EXACT_MEDIAN_MAX_ROWS = 20_000_000
+
+
+def fit_preprocessor(train: DataFrame, columns, approx: bool | None = False,
+                     output_col: str = "features",
+                     exact_max_rows: int = EXACT_MEDIAN_MAX_ROWS) -> Preprocessor:
+    """F12-F14 fit.  Columns all-missing at fit are dropped (no median exists).
+
+    Exact medians keep every distinct value of a column in one aggregation
+    buffer; above ``exact_max_rows`` fit rows the fit switches to
+    ``percentile_approx`` (relative rank error 1e-4) so the buffer stays bounded."""
     numeric = [c for c in columns if c not in CATEGORICAL]
+    if not approx and numeric and exact_max_rows is not None:
+        approx = train.count() > exact_max_rows
     cats = [c for c in columns if c in CATEGORICAL]
     med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else F.median
     row = {}

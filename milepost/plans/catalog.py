@@ -27,6 +27,16 @@ class Journeys:
         ids = self.manifest.where(F.col("split").isin(list(splits))).select("shipment_id")
         return self.shipments.join(ids, "shipment_id", "left_semi")
 
+    def materialize(self) -> "Journeys":
+        """Cut lineage once at the journey grain (reliable checkpoint in the
+        shared checkpoint folder); every derived table then starts from it."""
+        from milepost.session import cut_lineage
+        journeys = cut_lineage(self.journeys)
+        _, shipments, events, snapshots = derive.derive_from_journeys(
+            journeys, self.cfg.material_delay_hours)
+        manifest = cut_lineage(split_manifest(shipments, self.cfg.seed, self.cfg.split_quotas))
+        return Journeys(journeys, shipments, events, snapshots, manifest, self.cfg)
+
     def snapshots_of(self, *splits) -> DataFrame:
         ids = self.manifest.where(F.col("split").isin(list(splits))).select("shipment_id")
         return self.snapshots.join(ids, "shipment_id", "left_semi")

@@ -91,8 +91,9 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
     """M3: validate -> split -> EDA -> validation pass -> refit pass -> sinks."""
     cfg = cfg or Config()
     t = load(spark, sf_dir, cfg)
+    if checkpoint:
+        t = t.materialize()
     lay = Layout(root)
-    t.manifest = cut_lineage(t.manifest) if checkpoint else t.manifest
     report = QA.quality_report(t.shipments, t.events, t.snapshots, stages=cfg.stages)
     report_rows = sorted(_rows(report), key=lambda r: r["rule"])  # 13 rows
     sinks.write_table(report, lay.path("quality", "quality_report"), fmt, small=True)
