@@ -8,8 +8,8 @@ them exactly.
 Plan at scale: lineitem is pruned to four columns and partially aggregated
 map-side before its shuffle on l_orderkey; the aggregate is already hash
 partitioned on the join key, so the join with orders shuffles orders only.
-customer joins by shuffle (AQE may turn it into a broadcast after measuring);
-nation (25 rows) and region (5 rows) are fixed-size dimensions and are broadcast.
+customer joins by shuffle as well (both sides grow with the data); nation
+(25 rows) and region (5 rows) are fixed-size dimensions and are broadcast.
 """
 
 from __future__ import annotations
@@ -42,9 +42,11 @@ def journey_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
            .select("n_nationkey", "n_name", "r_regionkey", "r_name"))
     cust = (t["customer"].select("c_custkey", "c_nationkey", "c_name", "c_mktsegment")
             .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
+    # orders, their line aggregate and customers all grow with the data: shuffle
+    # (sort-merge) joins, never a broadcast of a fact-sized side
     j = (t["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-         .join(cust, F.col("o_custkey") == F.col("c_custkey")))
+         .join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
+         .join(cust.hint("merge"), F.col("o_custkey") == F.col("c_custkey")))
     k = F.col("o_orderkey").cast("bigint")
     rk = F.col("r_regionkey").cast("bigint")
 
