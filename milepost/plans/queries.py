@@ -31,7 +31,9 @@ class Query:
 def register(name: str, sql: str | None = None):
     def deco(fn: Callable[[Journeys], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(load(spark, sf_dir, Config.fast()))
+            # one pass over the source tables: every sub-plan of the query then
+            # starts from the checkpointed journey grain and split manifest
+            return fn(load(spark, sf_dir, Config.fast()).materialize())
         REGISTRY[name] = Query(name, run, sql)
         return fn
     return deco
