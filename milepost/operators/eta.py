@@ -9,7 +9,7 @@ unions the held-out predictions; nested encoders use the next salt level.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.ml.regression import GBTRegressor, GBTRegressionModel
@@ -247,6 +247,9 @@ def eta_oof(rows: DataFrame, shipments: DataFrame, cfg: Config | None = None,
     from milepost.session import cut_lineage
     cfg = cfg or Config()
     salt = cfg.fold_salt(level)
+    # folds run concurrently; the fits inside one fold run one after another,
+    # so at most ``parallel_fits`` training sets are cached at any time
+    inner = replace(cfg, parallel_fits=1)
     r = rows.withColumn("_fold", fold_of("shipment_id", salt, cfg.folds))
     s = shipments.withColumn("_fold", fold_of("shipment_id", salt, cfg.folds))
     if checkpoint:
@@ -255,7 +258,7 @@ def eta_oof(rows: DataFrame, shipments: DataFrame, cfg: Config | None = None,
     def one_fold(k: int) -> DataFrame:
         fit_rows = r.where(F.col("_fold") != k).drop("_fold")
         held = r.where(F.col("_fold") == k).drop("_fold")
-        _, pred = fit_eta(fit_rows, s.where(F.col("_fold") != k).drop("_fold"), held, cfg, level + 1)
+        _, pred = fit_eta(fit_rows, s.where(F.col("_fold") != k).drop("_fold"), held, inner, level + 1)
         part = pred.select("snapshot_id", "shipment_id", "predicted_final_delay_hours",
                            F.lit(k).alias("fold"))
         return cut_lineage(part) if checkpoint else part

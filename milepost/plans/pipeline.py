@@ -172,3 +172,25 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
     }
     sinks.write_summary(spark, summary, lay.path("final_reports", "final_test_summary"))
     return summary
+
+
+def main(argv=None) -> None:
+    """Command line: python -m milepost.plans.pipeline --sf-dir DIR --out DIR [--fast]."""
+    import argparse
+    import json
+
+    from milepost.session import build_session
+    ap = argparse.ArgumentParser(description="milestone-journey pipeline")
+    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--fast", action="store_true", help="reduced boosted-tree preset")
+    ap.add_argument("--master", default="local[8]")
+    ap.add_argument("--no-strict", action="store_true", help="report quality rules without raising")
+    args = ap.parse_args(argv)
+    spark = build_session(args.master)
+    cfg = Config.fast() if args.fast else Config()
+    print(json.dumps(run(spark, args.sf_dir, args.out, cfg, strict=not args.no_strict), indent=2, default=str))
+
+
+if __name__ == "__main__":
+    main()
