@@ -95,3 +95,21 @@ def test_typical_map_fallbacks(spark):
     got = [r.observed_delay_vs_route_typical for r in EN.map_typical(rows, rs, st).collect()]
     got = sorted(got, key=lambda v: (v is None, v))
     assert got == [1.0, 2.0, None]  # 7-5 (route), 7-6 (stage median of 4,6,10), stage absent -> NULL
+
+
+def test_hot_route_matches_fold_loop(spark):
+    """One route holds most of the fit rows (skew): the complement encoders still
+    equal the per-fold loop."""
+    n = 3000
+    ships = spark.range(n).select(
+        F.concat(F.lit("H"), F.col("id").cast("string")).alias("shipment_id"),
+        F.when(F.col("id") % 10 < 7, "HOT").otherwise(F.concat(F.lit("R"), (F.col("id") % 3).cast("string"))).alias("route"),
+        ((F.col("id") * 7919) % 4001 / 100.0 - 8.0).alias("final_delay_hours"))
+    rows = ships.select(F.col("shipment_id").alias("snapshot_id"), "shipment_id", "route")
+    sp = ships.withColumn("fold", fold_of("shipment_id", SALT, 5)).toPandas()
+    rp = rows.withColumn("fold", fold_of("shipment_id", SALT, 5)).toPandas()
+    med = {r.snapshot_id: r.route_prior_final_delay for r in EN.oof_route_median(rows, ships.repartition(8, "route"), 5, SALT).collect()}
+    rate = {r.snapshot_id: r.route_material_delay_rate for r in EN.oof_route_rate(rows, ships, 5, SALT).collect()}
+    bm, br = _brute(sp, rp, "median"), _brute(sp, rp, "rate")
+    assert len(med) == n and all(abs(med[k] - bm[k]) < 1e-9 for k in bm)
+    assert all(abs(rate[k] - br[k]) < 1e-12 for k in br)
