@@ -156,9 +156,9 @@ def decode(encoded: DataFrame, tokenizer: str | None = None, id_col: str = "doc_
     return map_arrow(packed, run, "doc_id long, n_tokens long, ids binary, text string", text="ids")
 
 
-def digest(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def digest(docs: DataFrame, tokenizer: str | None = None, keep_ids: bool = False) -> DataFrame:
     both = decode(encode(docs, tokenizer), tokenizer)
-    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+    return both.select("doc_id", "n_tokens", *["ids"] * keep_ids, F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 

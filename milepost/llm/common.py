@@ -3,6 +3,8 @@ checkpoints in the cluster's shared folder and column naming."""
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,6 +46,22 @@ def bounded(batches: Iterator[pa.RecordBatch], text: str = "text",
             lo = hi
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers get this package's folder on their path, so that a session
+    started elsewhere can unpickle its functions; where the package is installed
+    on the executors this changes nothing."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """mapInArrow for functions of this package."""
+    workers_find_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
               limit: int = CHUNK_BYTES, text: str = "text") -> DataFrame:
     """mapInArrow over bounded batches; ``fn`` returns the output columns."""
@@ -59,7 +77,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
                 [x if isinstance(x, pa.Array) else pa.array(x, type=f.type)
                  for x, f in ((out[f.name], f) for f in target)], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

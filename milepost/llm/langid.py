@@ -25,11 +25,12 @@ a null id is never held out; every row gives one row; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from milepost.llm.common import map_arrow, read_table, texts
+from milepost.llm.common import bounded, map_arrow, map_batches, read_table, texts
 
 SAMPLE_DOCS = 24
 SAMPLE_CHARS = 24_000
@@ -228,14 +229,12 @@ def keep_recognised(docs: DataFrame) -> DataFrame:
         name += "_"
 
     def run(batches):
-        from milepost.llm.common import bounded
         for batch in bounded(batches, limit=1 << 20):
             lang, _ = _parser(sample).predict(texts(batch))
-            import pyarrow as pa
             yield batch.append_column(name, pa.array(lang, pa.string()))
 
     schema = StructType([*docs.schema.fields, StructField(name, StringType())])
-    return docs.mapInArrow(run, schema).where(F.col(name) != UNKNOWN).drop(name)
+    return map_batches(docs, run, schema).where(F.col(name) != UNKNOWN).drop(name)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from milepost.llm import bpe_codec, langid, secret_scan, token_count
+from milepost.llm import bpe_codec, decontaminate, langid, secret_scan, simhash, token_count
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.query,
+    "op3_simhash": simhash.query,
     "op4_bpe_codec": bpe_codec.query,
     "op5_language_id": langid.query,
     "op6_secret_scan": secret_scan.query,
     "op8_token_count": token_count.query,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op1_decontaminate": decontaminate.SQL}

@@ -17,10 +17,11 @@ import binascii
 import json
 import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from milepost.llm.common import id_text, map_arrow, read_table, texts
+from milepost.llm.common import bounded, id_text, map_arrow, map_batches, read_table, texts
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     r"([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -141,8 +142,6 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def mask(docs: DataFrame, marker: str = "[secret]") -> DataFrame:
     """``docs`` with every span of its text replaced; overlapping spans are one."""
-    import pyarrow as pa
-
     names = docs.columns
     at = names.index("text")
 
@@ -159,12 +158,11 @@ def mask(docs: DataFrame, marker: str = "[secret]") -> DataFrame:
         return "".join(out) + text[done:]
 
     def run(batches):
-        from milepost.llm.common import bounded
         for batch in bounded(batches):
             own = pa.array(map(clean, batch.column(at).to_pylist()), pa.string())
             yield batch.set_column(at, batch.schema.field(at), own)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
