@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from milepost.llm import bpe_codec, decontaminate, langid, secret_scan, simhash, token_count
+from milepost.llm import bpe_codec, decontaminate, langid, minhash, pii, secret_scan, simhash, token_count
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -10,7 +10,9 @@ QUERIES = {
     "op4_bpe_codec": bpe_codec.query,
     "op5_language_id": langid.query,
     "op6_secret_scan": secret_scan.query,
+    "op7_pii_surrogates": pii.query,
     "op8_token_count": token_count.query,
+    "op10_minhash": minhash.query,
 }
 
 SQL = {"op1_decontaminate": decontaminate.SQL}
