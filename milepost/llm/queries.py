@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from milepost.llm import bpe_codec, decontaminate, langid, minhash, pii, secret_scan, simhash, token_count
+from milepost.llm import bpe_codec, decontaminate, langid, minhash, pii, secret_scan, simhash, suffix_dedup, token_count
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_secret_scan": secret_scan.query,
     "op7_pii_surrogates": pii.query,
     "op8_token_count": token_count.query,
+    "op9_suffix_dedup": suffix_dedup.query,
     "op10_minhash": minhash.query,
 }
 
