@@ -59,8 +59,16 @@ def pack(docs: DataFrame, limit: int = CHUNK) -> DataFrame:
                 "chunk": pa.array([uuid.uuid4().int >> 65], pa.int64()),
                 "data": pa.array([Chunk(ids, null, utf8(batch)).pack()], pa.binary())})
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return checkpointed(map_batches(docs, run, "chunk long, data binary").repartition(parts, "chunk"))
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a checkpoint keeps its partitioning only if the plan is fixed beforehand;
+    # then the rounds' joins on the chunk number shuffle answers, not texts
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return checkpointed(map_batches(docs, run, "chunk long, data binary").repartition(parts, "chunk"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def buckets(packed: DataFrame, per_bucket: int, entries_per_byte: float) -> int:
@@ -77,11 +85,11 @@ def cut(bucket: np.ndarray, n: int) -> list[tuple[int, slice]]:
 
 
 def ask(packed: DataFrame, emit: Callable[[Chunk, list], Iterator[tuple[int, bytes]]],
-        answer: Callable[[list[bytes]], list[bytes]], name: str) -> DataFrame:
+        answer: Callable[[int, list[bytes]], list[bytes]], name: str) -> DataFrame:
     """``packed`` with a column ``name``: the answers to each chunk's entries, as
     bytes in the order of its buckets.  ``emit`` gives (bucket, entries) of a
-    chunk and of the answers it already has; ``answer`` gets the entries that
-    all chunks sent to a bucket."""
+    chunk and of the answers it already has; ``answer`` gets a bucket's number
+    and the entries that all chunks sent to it."""
     have = [c for c in packed.columns if c not in ("chunk", "data")]
 
     def questions(batches):
@@ -93,8 +101,8 @@ def ask(packed: DataFrame, emit: Callable[[Chunk, list], Iterator[tuple[int, byt
                     "chunk": pa.array([row["chunk"]] * len(sent), pa.int64()),
                     "entries": pa.array([e for _, e in sent], pa.binary())})
 
-    def reply(table: pa.Table) -> pa.Table:
-        out = answer(table.column("entries").to_pylist())
+    def reply(key: tuple, table: pa.Table) -> pa.Table:
+        out = answer(key[0].as_py(), table.column("entries").to_pylist())
         return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
                          "answer": pa.array(out, pa.binary())})
 
@@ -102,7 +110,7 @@ def ask(packed: DataFrame, emit: Callable[[Chunk, list], Iterator[tuple[int, byt
     sent = map_batches(packed, questions, "bucket long, chunk long, entries binary")
     got = sent.groupBy("bucket").applyInArrow(reply, "chunk long, bucket long, answer binary")
     own = checkpointed(got.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "answer")).alias(name)))
-    return packed.join(own, "chunk", "left")
+    return packed.join(own.hint("shuffle_hash"), "chunk", "left")
 
 
 def joined(answers: list[dict] | None) -> bytes:
@@ -121,7 +129,7 @@ def finish(packed: DataFrame, fn: Callable[[Chunk, list], pa.RecordBatch], schem
     return map_batches(packed, run, schema)
 
 
-def first_flags(entries: list[bytes]) -> list[bytes]:
+def first_flags(_: int, entries: list[bytes]) -> list[bytes]:
     """Entries are (key, smallest id in the chunk), 16 bytes; the answer is one
     byte each: 1 where another chunk has the key with a smaller id."""
     size = [len(e) // 16 for e in entries]

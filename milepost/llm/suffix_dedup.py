@@ -29,6 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milepost.llm import chunks
+from milepost.llm.anchors import (
+    FLAG, LOW39, SEGMENT, first_keys, five, groups, least_ids, pair_rank, runs, send, shared_anchors,
+    shared_keys, shared_only, stretches)
 from milepost.llm.chunks import Chunk
 from milepost.llm.common import id_text, read_table
 from milepost.llm.wordhash import mix
@@ -36,19 +39,7 @@ from milepost.llm.wordhash import mix
 LENGTH = 50
 GRAM = 24
 STEP = (LENGTH - GRAM) // 2
-SEGMENT = 1 << 19  # windows handled at once, below 2**20
-_PLACE = np.uint64((1 << 20) - 1)
 _SYMBOL = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-MANY = np.uint32(0xFFFFFFFF)
-
-
-def _pair(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
-    """Rank of a pair of ranks."""
-    x = a * np.uint64(0x9E3779B97F4A7C15 + 2 * salt) + b
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(32)
-    return x
 
 
 class Ranks:
@@ -57,31 +48,18 @@ class Ranks:
     def __init__(self, piece: np.ndarray):
         r = _SYMBOL[piece]
         for n, salt in ((1, 1), (2, 2), (4, 3), (8, 4)):
-            r = _pair(r[:-n], r[n:], salt)
+            r = pair_rank(r[:-n], r[n:], salt)
             if n == 4:
                 eight = r
-        self.gram = _pair(r[:-8], eight[16:], 5)  # 16 and 8 bytes
+        self.gram = pair_rank(r[:-8], eight[16:], 5)  # 16 and 8 bytes
 
     def longer(self):
         """37 and 50 bytes: pairs of ranks at distance STEP."""
-        self.mid = _pair(self.gram[:-STEP], self.gram[STEP:], 6)
-        self.full = _pair(self.mid[:-STEP], self.mid[STEP:], 7)
+        self.mid = pair_rank(self.gram[:-STEP], self.gram[STEP:], 6)
+        self.full = pair_rank(self.mid[:-STEP], self.mid[STEP:], 7)
         return self
 
 
-def runs(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, last window and anchor of each run."""
-    low = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64)
-    have, need = 1, LENGTH - GRAM + 1
-    while have < need:
-        n = min(have, need - have)
-        low = np.minimum(low[:-n], low[n:])
-        have += n
-    anchor = (low & _PLACE).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-    return first, np.r_[first[1:], len(anchor)] - 1, anchor[first]
-
-
 class Anchors:
     """The anchors of a chunk: document, first and last window, and ranks of the
     anchor (h), of its run (run), of the 37 bytes that end and begin with it."""
@@ -93,9 +71,9 @@ class Anchors:
             for lo in range(0, len(raw) - LENGTH + 1, SEGMENT):
                 piece = raw[lo:lo + SEGMENT + LENGTH - 1]
                 r = Ranks(piece).longer()
-                p, q, a = runs(r.gram)
+                p, q, a = runs(r.gram, LENGTH - GRAM + 1)
                 out = [np.full(len(p), d), p + lo, q + lo, a + lo, r.gram[a],
-                       _pair(r.full[p], r.full[q], 8) + (q - p).astype(np.uint64),
+                       pair_rank(r.full[p], r.full[q], 8) + (q - p).astype(np.uint64),
                        r.mid[np.maximum(a - STEP, 0)], r.mid[np.minimum(a, len(r.mid) - 1)]]
                 for k, v in zip(cols, out):
                     cols[k].append(v)
@@ -104,123 +82,41 @@ class Anchors:
             setattr(self, k, np.concatenate(v).astype(kind, copy=False) if v else np.zeros(0, kind))
 
 
-def _groups(sorted_key: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.r_[True, sorted_key[1:] != sorted_key[:-1]]) if len(sorted_key) else np.zeros(0, np.int64)
-
-
-def _five(x: np.ndarray) -> np.ndarray:
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-
-
-def _from_five(raw: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :5] = raw
-    return out.reshape(-1).view("<u8")
-
-
-_LOW39, _FLAG = np.uint64((1 << 39) - 1), np.uint64(1 << 39)
-
-
-def shared_keys(h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, whether two ids of the chunk have it, and each row's key number."""
-    key, inverse = np.unique(h, return_inverse=True)
-    low = np.full(len(key), chunks.NO_ID)
-    high = np.full(len(key), np.iinfo(np.int64).min)
-    np.minimum.at(low, inverse, ids)
-    np.maximum.at(high, inverse, ids)
-    return key, low < high, inverse
-
-
-def least_ids(h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the smallest id of each, and each row's key number."""
-    key, inverse = np.unique(h, return_inverse=True)
-    low = np.full(len(key), chunks.NO_ID)
-    np.minimum.at(low, inverse, ids)
-    return key, low, inverse
-
-
-def _first_keys(a: Anchors, chunk: Chunk):
-    """One entry per anchor rank: key, shared inside the chunk, run (or MANY)."""
-    key, shared, inverse = shared_keys(a.h, chunk.ids[a.doc])
-    run = (a.run & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    run[run == MANY] = 0
-    low = np.full(len(key), MANY)
-    np.minimum.at(low, inverse, run)
-    high = np.zeros(len(key), np.uint32)
-    np.maximum.at(high, inverse, run)
-    return key, shared, np.where(low == high, low, MANY).astype(np.uint32), inverse
-
-
-def _shared_anchors(entries: list[bytes]) -> list[bytes]:
-    """Per entry: 0 unique, 1 shared and all runs equal, 2 shared with several runs."""
-    size = [len(e) // 9 for e in entries]
-    raw = np.frombuffer(b"".join(entries), np.uint8).reshape(-1, 9)
-    h = _from_five(raw[:, :5])
-    run = np.ascontiguousarray(raw[:, 5:]).reshape(-1).view("<u4")
-    order = np.argsort(h & _LOW39, kind="stable")
-    start = _groups((h & _LOW39)[order])
-    n = np.diff(np.r_[start, len(h)])
-    shared = (n > 1) | (np.bitwise_or.reduceat(h[order] & _FLAG, start) > 0)
-    several = np.minimum.reduceat(run[order], start) != np.maximum.reduceat(run[order], start)
-    several |= np.maximum.reduceat(run[order], start) == MANY
-    state = np.empty(len(h), np.uint8)
-    state[order] = np.repeat(np.where(shared, 1 + several, 0), n)
-    return chunks.split(state, size)
-
-
-def _shared_only(entries: list[bytes]) -> list[bytes]:
-    """Per entry of a key and its flag: 1 where two documents have it."""
-    size = [len(e) // 5 for e in entries]
-    h = _from_five(np.frombuffer(b"".join(entries), np.uint8).reshape(-1, 5))
-    order = np.argsort(h & _LOW39, kind="stable")
-    start = _groups((h & _LOW39)[order])
-    n = np.diff(np.r_[start, len(h)])
-    shared = (n > 1) | (np.bitwise_or.reduceat(h[order] & _FLAG, start) > 0)
-    out = np.empty(len(h), np.uint8)
-    out[order] = np.repeat(shared, n)
-    return chunks.split(out, size)
-
-
 class Rounds:
     """The questions of the three rounds, and what the answers mean, for one chunk."""
 
     def __init__(self, n_buckets: int):
         self.n = n_buckets
-        self.shift = np.uint64(64 - int(np.log2(n_buckets)))
-
-    def _send(self, key: np.ndarray, *columns: np.ndarray):
-        """Rows of bytes by bucket; keys are sorted, so buckets are too."""
-        rows = np.concatenate([c if c.ndim == 2 else c.reshape(len(key), 1).view(np.uint8) for c in columns], axis=1)
-        for b, part in chunks.cut((key >> self.shift).astype(np.int64), self.n):
-            yield b, rows[part].tobytes()
 
     # round 1: anchors
     def ask_anchors(self, chunk: Chunk, _):
         a = Anchors(chunk)
-        key, shared, run, _ = _first_keys(a, chunk)
-        return self._send(key, _five((key & _LOW39) | np.where(shared, _FLAG, np.uint64(0))), run)
+        key, shared, run, _ = first_keys(a, chunk)
+        return send(key, self.n, five((key & LOW39) | np.where(shared, FLAG, np.uint64(0))), run)
 
     def state(self, chunk: Chunk, answers: list):
         a = Anchors(chunk)
-        _, _, _, inverse = _first_keys(a, chunk)
+        _, _, _, inverse = first_keys(a, chunk)
         return a, np.frombuffer(answers[0], np.uint8)[inverse]
 
-    # round 2: whole runs of shared anchors, and 37 bytes around those with several runs
+    # round 2: whole runs of shared anchors (buckets below n), and 37 bytes around
+    # those with several runs (buckets from n on)
     def ask_runs(self, chunk: Chunk, answers: list):
         a, state = self.state(chunk, answers)
         some = state > 0
         key, low, _ = least_ids(a.run[some], chunk.ids[a.doc[some]])
-        return self._send(key, key, low)
+        yield from send(key, self.n, key, low)
+        key, shared, _ = self._around(chunk, a, state == 2)
+        entries = five((key & LOW39) | np.where(shared, FLAG, np.uint64(0)))
+        yield from ((self.n + b, e) for b, e in send(key, self.n, entries))
+
+    def answer_runs(self, bucket: int, entries: list[bytes]) -> list[bytes]:
+        return chunks.first_flags(bucket, entries) if bucket < self.n else shared_only(entries)
 
     def _around(self, chunk: Chunk, a: Anchors, several: np.ndarray):
         both = np.r_[a.left[several], a.right[several]]
         return shared_keys(both, np.tile(chunk.ids[a.doc[several]], 2))
 
-    def ask_around(self, chunk: Chunk, answers: list):
-        a, state = self.state(chunk, answers)
-        key, shared, _ = self._around(chunk, a, state == 2)
-        return self._send(key, _five((key & _LOW39) | np.where(shared, _FLAG, np.uint64(0))))
-
     # round 3: windows
     def after_runs(self, chunk: Chunk, answers: list):
         """Anchors, runs to remove whole, and the windows (document, start, rank)
@@ -228,12 +124,12 @@ class Rounds:
         a, state = self.state(chunk, answers)
         some = state > 0
         _, low, inverse = least_ids(a.run[some], chunk.ids[a.doc[some]])
-        smaller = np.frombuffer(answers[1], np.uint8)[inverse] > 0
+        reply = np.frombuffer(answers[1], np.uint8)
+        smaller = reply[:len(low)][inverse] > 0
         whole = np.zeros(len(a.h), bool)
         whole[some] = smaller | (chunk.ids[a.doc[some]] > low[inverse])
         several = state == 2
-        _, _, inverse = self._around(chunk, a, several)
-        near = np.frombuffer(answers[2], np.uint8)[inverse].astype(bool)
+        near = reply[len(low):][self._around(chunk, a, several)[2]].astype(bool)
         left, right = np.zeros(len(a.h), bool), np.zeros(len(a.h), bool)
         left[several], right[several] = near[:several.sum()], near[several.sum():]
         open_run = np.flatnonzero(several & ~whole & (left | right))
@@ -244,27 +140,27 @@ class Rounds:
         run, start = run[keep], start[keep]
         doc = a.doc[run]
         rank = np.zeros(len(start), np.uint64)
-        for d, lo, hi in _stretches(doc):
+        for d, lo, hi in stretches(doc):
             rank[lo:hi] = _window_ranks(chunk.texts[d], start[lo:hi])
         return a, whole, doc, start, rank
 
     def ask_windows(self, chunk: Chunk, answers: list):
         _, _, doc, _, rank = self.after_runs(chunk, answers)
         key, low, _ = least_ids(rank, chunk.ids[doc])
-        return self._send(key, key, low)
+        return send(key, self.n, key, low)
 
     def removed(self, chunk: Chunk, answers: list) -> list[np.ndarray]:
         """For each document, whether each byte is removed."""
         a, whole, doc, start, rank = self.after_runs(chunk, answers)
         _, low, inverse = least_ids(rank, chunk.ids[doc])
-        gone = (np.frombuffer(answers[3], np.uint8)[inverse] > 0) | (chunk.ids[doc] > low[inverse])
+        gone = (np.frombuffer(answers[2], np.uint8)[inverse] > 0) | (chunk.ids[doc] > low[inverse])
         first = np.r_[a.first[whole], start[gone]]
         last = np.r_[a.last[whole], start[gone]] + LENGTH
         owner = np.r_[a.doc[whole], doc[gone]]
         order = np.argsort(owner, kind="stable")
         first, last, owner = first[order], last[order], owner[order]
         out = [np.zeros(len(t), bool) for t in chunk.texts]
-        for d, lo, hi in _stretches(owner):
+        for d, lo, hi in stretches(owner):
             edge = np.zeros(len(out[d]) + 1, np.int32)
             np.add.at(edge, first[lo:hi], 1)
             np.add.at(edge, last[lo:hi], -1)
@@ -272,12 +168,6 @@ class Rounds:
         return out
 
 
-def _stretches(doc: np.ndarray):
-    """(value, start, end) of each run of equal values."""
-    at = _groups(doc)
-    return zip(doc[at].tolist(), at.tolist(), np.r_[at[1:], len(doc)].tolist()) if len(doc) else ()
-
-
 def _window_ranks(text: bytes, start: np.ndarray) -> np.ndarray:
     raw = np.frombuffer(text, np.uint8)
     out = np.zeros(len(start), np.uint64)
@@ -292,9 +182,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
     packed = chunks.pack(id_text(docs, id_col, text_col))
     rounds = Rounds(chunks.buckets(packed, 1 << 20, 1 / 14))
-    asked = chunks.ask(packed, rounds.ask_anchors, _shared_anchors, "anchors")
-    asked = chunks.ask(asked, rounds.ask_runs, chunks.first_flags, "runs")
-    asked = chunks.ask(asked, rounds.ask_around, _shared_only, "around")
+    asked = chunks.ask(packed, rounds.ask_anchors, shared_anchors, "anchors")
+    asked = chunks.ask(asked, rounds.ask_runs, rounds.answer_runs, "runs")
     asked = chunks.ask(asked, rounds.ask_windows, chunks.first_flags, "windows")
 
     def rows(chunk: Chunk, answers: list) -> pa.RecordBatch:
