@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from milepost.llm import bpe_codec, decontaminate, langid, minhash, pii, secret_scan, simhash, suffix_dedup, token_count
+from milepost.llm import bpe_codec, decontaminate, langid, minhash, pii, secret_scan, simhash, substring_fm, suffix_dedup, token_count
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
+    "op2_substring_fm": substring_fm.query,
     "op3_simhash": simhash.query,
     "op4_bpe_codec": bpe_codec.query,
     "op5_language_id": langid.query,
