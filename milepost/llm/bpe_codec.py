@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from milepost.llm import bpe_tables
 from milepost.llm.bpe_tables import NO_RANK, BpeTables, pre_tokens
-from milepost.llm.common import id_text, map_arrow, read_table, texts
+from milepost.llm.common import id_text, kept, map_arrow, read_table, texts
 
 #: Distinct pre-tokens that a worker remembers before it starts afresh.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 200_000
 
 
 def merge_rounds(tables: BpeTables, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -117,15 +117,9 @@ def _binary(flat: np.ndarray, count: np.ndarray) -> pa.Array:
                                  [None, pa.py_buffer(offset), pa.py_buffer(flat.astype("<u4").tobytes())])
 
 
-_WORDS: dict[int, WordTable] = {}
-
-
 def _words(shared) -> WordTable:
-    tables = bpe_tables.tables(shared)
-    if id(tables) not in _WORDS:
-        _WORDS.clear()
-        _WORDS[id(tables)] = WordTable(tables)
-    return _WORDS[id(tables)]
+    raw = shared.value
+    return kept(("words", hash(raw)), lambda: WordTable(BpeTables(raw)))
 
 
 def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id",
@@ -150,16 +144,31 @@ def decode(encoded: DataFrame, tokenizer: str | None = None, id_col: str = "doc_
         count = np.array([len(x) // 4 for x in raw], np.int64)
         ids = np.frombuffer(b"".join(raw), "<u4").astype(np.int64)
         return {"doc_id": batch.column("doc_id"), "n_tokens": count, "ids": batch.column("ids"),
-                "text": decode_ids(bpe_tables.tables(shared), ids, count)}
+                "text": decode_ids(_words(shared).tables, ids, count)}
 
     packed = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids"))
     return map_arrow(packed, run, "doc_id long, n_tokens long, ids binary, text string", text="ids")
 
 
+def round_trip(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids, text: encoded, and decoded again from the ids, in one
+    pass (one Python worker per task instead of two)."""
+    shared = bpe_tables.load(docs.sparkSession, tokenizer)
+
+    def run(batch):
+        words = _words(shared)
+        flat, count = words.encode(texts(batch))
+        return {"doc_id": batch.column("doc_id"), "n_tokens": count, "ids": _binary(flat, count),
+                "text": decode_ids(words.tables, flat.astype(np.int64), count)}
+
+    return map_arrow(id_text(docs, id_col, text_col), run, "doc_id long, n_tokens long, ids binary, text string")
+
+
 def digest(docs: DataFrame, tokenizer: str | None = None, keep_ids: bool = False) -> DataFrame:
-    both = decode(encode(docs, tokenizer), tokenizer)
-    return both.select("doc_id", "n_tokens", *["ids"] * keep_ids, F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    return round_trip(docs, tokenizer).select(
+        "doc_id", "n_tokens", *["ids"] * keep_ids, F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -95,16 +95,3 @@ def pre_tokens(text: str, special: re.Pattern | None) -> list[str]:
 def load(spark: SparkSession, path: str | None = None) -> Broadcast:
     with open(path or default_path(), encoding="utf-8") as f:
         return spark.sparkContext.broadcast(f.read())
-
-
-_TABLES: dict[int, BpeTables] = {}
-
-
-def tables(shared: Broadcast) -> BpeTables:
-    """The tables, built once in each Python worker."""
-    raw = shared.value
-    key = hash(raw)
-    if key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key] = BpeTables(raw)
-    return _TABLES[key]

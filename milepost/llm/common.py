@@ -80,6 +80,18 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
     return map_batches(df, run, schema)
 
 
+_KEPT: dict = {}
+
+
+def kept(key: tuple, build: Callable):
+    """What a Python worker keeps between tasks: one object, the last one used, so
+    that operators that follow one another don't add up in its memory."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the session names (see milepost.session)."""
     ensure_checkpoint_dir(df.sparkSession)

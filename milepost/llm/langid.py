@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from milepost.llm.common import bounded, map_arrow, map_batches, read_table, texts
+from milepost.llm.common import bounded, kept, map_arrow, map_batches, read_table, texts
 
 SAMPLE_DOCS = 24
 SAMPLE_CHARS = 24_000
@@ -189,15 +189,8 @@ class CrossParser:
         return lang, score
 
 
-_PARSERS: dict[tuple, CrossParser] = {}
-
-
 def _parser(sample: dict[str, str]) -> CrossParser:
-    key = tuple(sample.items())
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = CrossParser(sample)
-    return _PARSERS[key]
+    return kept(("parser", tuple(sample.items())), lambda: CrossParser(sample))
 
 
 def predict(docs: DataFrame, sample: dict[str, str], id_col: str = "doc_id",

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from milepost.llm import bpe_tables
 from milepost.llm.bpe_tables import NO_RANK, BpeTables, pre_tokens
-from milepost.llm.common import id_text, map_arrow, read_table, texts
+from milepost.llm.common import id_text, kept, map_arrow, read_table, texts
 
 TOKEN_LIMIT = 1024
 #: Distinct pre-tokens that a worker remembers before it starts afresh.
@@ -87,15 +87,9 @@ class CountTable:
         return np.array([sum(map(look, s)) for s in split], np.int64)
 
 
-_COUNTS: dict[int, CountTable] = {}
-
-
 def _counter(shared) -> CountTable:
-    tables = bpe_tables.tables(shared)
-    if id(tables) not in _COUNTS:
-        _COUNTS.clear()
-        _COUNTS[id(tables)] = CountTable(tables)
-    return _COUNTS[id(tables)]
+    raw = shared.value
+    return kept(("counts", hash(raw)), lambda: CountTable(BpeTables(raw)))
 
 
 def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = TOKEN_LIMIT,
