@@ -198,9 +198,9 @@ class Rounds:
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 hot_chunks: int = HOT_CHUNKS) -> DataFrame:
+                 hot_chunks: int = HOT_CHUNKS, chunk_bytes: int = chunks.CHUNK) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the remaining words, joined by a space)."""
-    packed = chunks.pack(id_text(docs, id_col, text_col))
+    packed = chunks.pack(id_text(docs, id_col, text_col), chunk_bytes)
     rounds = Rounds(chunks.buckets(packed, 1 << 20, 1 / 130), chunks.buckets(packed, 6000, 1 / 440), hot_chunks)
     asked = chunks.ask(packed, rounds.ask_anchors, rounds.answer_anchors, "anchors")
     asked = chunks.ask(asked, rounds.ask_stretches, lambda _, entries: search(entries), "stretches")

@@ -178,9 +178,10 @@ def _window_ranks(text: bytes, start: np.ndarray) -> np.ndarray:
     return out
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 chunk_bytes: int = chunks.CHUNK) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
-    packed = chunks.pack(id_text(docs, id_col, text_col))
+    packed = chunks.pack(id_text(docs, id_col, text_col), chunk_bytes)
     rounds = Rounds(chunks.buckets(packed, 1 << 20, 1 / 14))
     asked = chunks.ask(packed, rounds.ask_anchors, shared_anchors, "anchors")
     asked = chunks.ask(asked, rounds.ask_runs, rounds.answer_runs, "runs")
