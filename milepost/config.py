@@ -70,8 +70,6 @@ class Config:
     eta_policy: dict = field(default_factory=lambda: dict(ETA_POLICY))
     direct: GBTPreset = DIRECT_FULL
     structured: GBTPreset = STRUCTURED_FULL
-    # exact medians by default; approximate (percentile_approx) is opt-in
-    approx_median: bool = False
     # independent fold fits submitted concurrently from the driver (each fit
     # is itself distributed); 1 = sequential
     parallel_fits: int = 4

@@ -1,8 +1,8 @@
 """Reusable Column expressions (all native Spark, codegen-friendly)."""
 
 from milepost.functions.time import (
-    add_hours, add_seconds, hours_between, iso_instant, round_hours_from_seconds,
-    seconds_between,
+    add_hours, add_seconds, hours_between, iso_instant, round_hours_from_micros,
+    micros_between,
 )
 from milepost.functions.expr import (
     fold_of, hash_bucket, latest_observed, md5_int, right_closed_bin, sql_str,
@@ -10,6 +10,6 @@ from milepost.functions.expr import (
 
 __all__ = [
     "add_hours", "add_seconds", "hours_between", "iso_instant",
-    "round_hours_from_seconds", "seconds_between", "fold_of", "hash_bucket",
+    "round_hours_from_micros", "micros_between", "fold_of", "hash_bucket",
     "latest_observed", "md5_int", "right_closed_bin", "sql_str",
 ]

@@ -10,9 +10,9 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def seconds_between(a, b) -> Column:
-    """Whole seconds b - a (inputs carry whole seconds)."""
-    return F.timestamp_diff("SECOND", _c(a), _c(b))
+def micros_between(a, b) -> Column:
+    """Exact microseconds b - a."""
+    return F.timestamp_diff("MICROSECOND", _c(a), _c(b))
 
 
 def hours_between(a, b) -> Column:
@@ -20,11 +20,11 @@ def hours_between(a, b) -> Column:
     return F.timestamp_diff("MICROSECOND", _c(a), _c(b)).cast("double") / F.lit(3.6e9)
 
 
-def round_hours_from_seconds(seconds) -> Column:
-    """round(seconds / 3600, 3), half away from zero, in exact integer arithmetic
+def round_hours_from_micros(micros) -> Column:
+    """round(micros / 3.6e9, 3), half away from zero, in exact integer arithmetic
     so every engine agrees on ties."""
-    s = _c(seconds).cast("bigint")
-    mag = F.floor((F.abs(s) * 2000 + 3600) / 7200)
+    s = _c(micros).cast("bigint")
+    mag = F.floor((F.abs(s) * 2 + 3_600_000) / 7_200_000)
     return (F.signum(s) * mag).cast("double") / F.lit(1000.0)
 
 

@@ -15,9 +15,9 @@ def scheduled(rows: DataFrame, out: str = "b0_predicted_delay_hours") -> DataFra
 
 
 def route_median_baseline(fit_shipments: DataFrame, rows: DataFrame,
-                          out: str = "b1_predicted_delay_hours", approx: bool = False) -> DataFrame:
+                          out: str = "b1_predicted_delay_hours") -> DataFrame:
     """G1: fit-shipment median final delay per route, overall median fallback."""
-    return route_median(fit_shipments, rows, out, approx)
+    return route_median(fit_shipments, rows, out)
 
 
 def carry_forward(rows: DataFrame, out: str = "b2_predicted_delay_hours") -> DataFrame:
@@ -25,5 +25,5 @@ def carry_forward(rows: DataFrame, out: str = "b2_predicted_delay_hours") -> Dat
     return rows.withColumn(out, latest_observed())
 
 
-def all_baselines(fit_shipments: DataFrame, rows: DataFrame, approx: bool = False) -> DataFrame:
-    return carry_forward(route_median_baseline(fit_shipments, scheduled(rows), approx=approx))
+def all_baselines(fit_shipments: DataFrame, rows: DataFrame) -> DataFrame:
+    return carry_forward(route_median_baseline(fit_shipments, scheduled(rows)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from milepost.config import MATERIAL_DELAY_HOURS, LATE_UPDATE_HOURS, MILESTONES, STAGES
 from milepost.functions.time import (
-    add_seconds, hours_between, iso_instant, round_hours_from_seconds, seconds_between,
+    add_seconds, hours_between, iso_instant, round_hours_from_micros, micros_between,
 )
 
 SCHEDULED = ("scheduled_departure_at", "scheduled_port_arrival_at",
@@ -54,7 +54,7 @@ SNAPSHOT_COLUMNS = (
 
 def hours(a, b) -> Column:
     """B2: round((b - a) / 3600 s, 3), signed."""
-    return round_hours_from_seconds(seconds_between(a, b))
+    return round_hours_from_micros(micros_between(a, b))
 
 
 def planned_schedule(df: DataFrame) -> DataFrame:
@@ -96,19 +96,19 @@ def delay_hours(df: DataFrame) -> DataFrame:
 
 def incremental_delays(df: DataFrame) -> DataFrame:
     """Customs increment = customs leg over plan; inland = final - customs."""
-    port_s = seconds_between("scheduled_port_arrival_at", "actual_port_arrival_at")
-    customs_s = seconds_between("scheduled_customs_clearance_at", "actual_customs_clearance_at")
-    final_s = seconds_between("scheduled_final_eta", "actual_final_delivery_at")
+    port_s = micros_between("scheduled_port_arrival_at", "actual_port_arrival_at")
+    customs_s = micros_between("scheduled_customs_clearance_at", "actual_customs_clearance_at")
+    final_s = micros_between("scheduled_final_eta", "actual_final_delivery_at")
     return df.withColumns({
-        "customs_incremental_delay_hours": round_hours_from_seconds(customs_s - port_s),
-        "inland_incremental_delay_hours": round_hours_from_seconds(final_s - customs_s),
+        "customs_incremental_delay_hours": round_hours_from_micros(customs_s - port_s),
+        "inland_incremental_delay_hours": round_hours_from_micros(final_s - customs_s),
     })
 
 
 def material_label(col: str = "final_delay_hours",
                    threshold: float = MATERIAL_DELAY_HOURS) -> Column:
     """Strictly greater than the threshold."""
-    return (F.col(col) > F.lit(threshold)).cast("int")
+    return F.coalesce(F.col(col) > F.lit(threshold), F.lit(False)).cast("int")
 
 
 def shipments_from_legs(legs: DataFrame, threshold: float = MATERIAL_DELAY_HOURS) -> DataFrame:
@@ -157,7 +157,7 @@ def update_status(events: DataFrame, late_hours: float = LATE_UPDATE_HOURS) -> D
         "is_update_missing": F.col("reported_at").isNull(),
         "update_delay_hours": delay,
         "is_late_update": F.coalesce(
-            seconds_between("actual_at", "reported_at") > F.lit(int(late_hours * 3600)),
+            micros_between("actual_at", "reported_at") > F.lit(int(late_hours * 3_600_000_000)),
             F.lit(False)),
     })
 

@@ -6,13 +6,12 @@ F8     generic OOF encoder: a row of fold k gets the statistic fitted on the
 F9     OOF typical deviation
 G1/I1  full-fit route median / route material-delay rate with overall fallback
 
-Complement statistics never loop over folds:
-* mean / rate: per-(fold, key) sums -> complement = (total - fold) / (N - n),
-  one aggregation, no replication;
-* median: every fit row is emitted once per *other* fold (k-1 copies, k is a
-  small constant) and a single grouped median over (hold, key) follows.
-Lookups join on their keys; AQE broadcasts them once it has measured them and
-falls back to a sort-merge join when they are large.
+Complement statistics never loop over folds and never copy fact rows:
+* mean / rate: per-(fold, key) sums -> complement = (total - fold) / (N - n);
+* median: counts per (fold, key, value), summed over the other folds, then the
+  exact median of the counts (operators.quantile).
+Lookups join through operators.lookup: broadcast below a counted bound, salted
+beyond it.
 """
 
 from __future__ import annotations
@@ -24,31 +23,41 @@ from pyspark.sql import functions as F
 
 from milepost.config import MATERIAL_DELAY_HOURS
 from milepost.functions.expr import fold_of, latest_observed
+from milepost.operators.lookup import lookup_join
+from milepost.operators.quantile import grouped_median, grouped_medians, median_of_counts, value_counts
 
 
-def median_of(col: str, approx: bool = False) -> Column:
-    """Exact (interpolating) median; ``approx`` switches to percentile_approx."""
-    return F.percentile_approx(col, 0.5, 10000) if approx else F.median(col)
+def _overall(rows: DataFrame, how: str, value: str, out: str) -> DataFrame:
+    """One row: the statistic over all rows."""
+    if how == "median":
+        return grouped_medians(rows, [], [value]).withColumnRenamed(value, out)
+    return rows.agg(F.avg(value).alias(out))
 
 
-def _agg(how: str, col: str, approx: bool) -> Column:
+def _by_key(rows: DataFrame, keys: Sequence[str], how: str, value: str, out: str) -> DataFrame:
     if how == "median":
-        return median_of(col, approx)
+        return grouped_median(rows, keys, value, out)
     if how == "mean":
-        return F.avg(col)
+        return rows.groupBy(*keys).agg(F.avg(value).alias(out))
     raise ValueError(how)
 
 
+def _has_keys(keys: Sequence[str]) -> Column:
+    """A row belongs to a group only if none of its keys is NULL."""
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & F.col(c).isNotNull()
+    return cond
+
+
 def full_fit_lookup(fit: DataFrame, rows: DataFrame, keys: Sequence[str], value: str,
-                    how: str = "median", out: str = "encoded", approx: bool = False) -> DataFrame:
+                    how: str = "median", out: str = "encoded") -> DataFrame:
     """rows + ``out`` = statistic of ``value`` by ``keys`` over ``fit``; unknown or
     NULL key -> statistic over all of ``fit``."""
     keys = list(keys)
-    nonnull = F.greatest(*[F.col(c).isNull() for c in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
-    by_key = (fit.where(~nonnull).groupBy(*keys)
-              .agg(_agg(how, value, approx).alias("_by_key")))
-    overall = fit.agg(_agg(how, value, approx).alias("_overall"))
-    return (rows.join(by_key, keys, "left")
+    by_key = _by_key(fit.where(_has_keys(keys)), keys, how, value, "_by_key")
+    overall = _overall(fit, how, value, "_overall")
+    return (lookup_join(rows, by_key, keys)
             .crossJoin(F.broadcast(overall))  # one row
             .withColumn(out, F.coalesce("_by_key", "_overall").cast("double"))
             .drop("_by_key", "_overall"))
@@ -62,13 +71,17 @@ def _membership(rows: DataFrame, fit_ids: DataFrame, member_col: str | None) ->
         "_member", F.coalesce("_member", F.lit(False)))
 
 
-def _other_folds(k: int) -> Column:
-    return F.explode(F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda h: h != F.col("_fold")))
+def _held_out_counts(counts: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """Counts per (fold, keys, value) -> per (fold, keys, value) of the *other* folds."""
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda h: h != F.col("_fold")))
+    return (counts.select(*keys, "_v", "_n", other.alias("_hold"))
+            .groupBy("_hold", *keys, "_v").agg(F.sum("_n").alias("_n"))
+            .withColumnRenamed("_hold", "_fold"))
 
 
 def oof_encode(rows: DataFrame, fit: DataFrame, keys: Sequence[str], value: str,
                k: int, salt: str, how: str = "median", out: str = "oof_encoded",
-               member_col: str | None = None, approx: bool = False) -> DataFrame:
+               member_col: str | None = None) -> DataFrame:
     """F8: leave-fold-out statistic of ``value`` by ``keys``.
 
     ``fit`` holds one row per fit shipment (shipment_id, keys..., value); the
@@ -76,15 +89,14 @@ def oof_encode(rows: DataFrame, fit: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     f = fit.withColumn("_fold", fold_of("shipment_id", salt, k))
     r = _membership(rows, fit, member_col).withColumn("_fold", fold_of("shipment_id", salt, k))
-    keyed = f.where(F.greatest(*[F.col(c).isNotNull() for c in keys]) if len(keys) > 1
-                    else F.col(keys[0]).isNotNull())
+    keyed = f.where(_has_keys(keys))
     if how == "mean":
         # complement = (key total - fold part) / (key count - fold count)
         per = keyed.groupBy("_fold", *keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
         tot = per.groupBy(*keys).agg(F.sum("_s").alias("_ts"), F.sum("_n").alias("_tn"))
         pf = f.groupBy("_fold").agg(F.sum(value).alias("_fs"), F.count(value).alias("_fn"))  # <= k rows
         everything = pf.agg(F.sum("_fs").alias("_as"), F.sum("_fn").alias("_an"))  # one row
-        res = (r.join(tot, keys, "left").join(per, ["_fold", *keys], "left")
+        res = (lookup_join(lookup_join(r, tot, keys), per, ["_fold", *keys])
                .join(F.broadcast(pf), "_fold", "left")
                .crossJoin(F.broadcast(everything)))
         by_key = F.try_divide(F.col("_ts") - F.coalesce("_s", F.lit(0.0)),
@@ -93,14 +105,12 @@ def oof_encode(rows: DataFrame, fit: DataFrame, keys: Sequence[str], value: str,
                                (F.col("_an") - F.coalesce("_fn", F.lit(0))).cast("double"))
         return (res.withColumn(out, F.when(F.col("_member"), F.coalesce(by_key, overall)).cast("double"))
                 .drop("_s", "_n", "_ts", "_tn", "_fs", "_fn", "_as", "_an", "_fold", "_member"))
-    rep = f.select("*", _other_folds(k).alias("_hold"))
-    # median: each fit row once per other fold (k-1 copies), one grouped median
-    by_key = (rep.where(F.greatest(*[F.col(c).isNotNull() for c in keys]) if len(keys) > 1
-                        else F.col(keys[0]).isNotNull())
-              .groupBy("_hold", *keys).agg(_agg(how, value, approx).alias("_by_key")))
-    overall = rep.groupBy("_hold").agg(_agg(how, value, approx).alias("_overall"))  # <= k rows
-    res = (r.join(by_key.withColumnRenamed("_hold", "_fold"), ["_fold", *keys], "left")
-           .join(F.broadcast(overall.withColumnRenamed("_hold", "_fold")), "_fold", "left"))
+    per_key = _held_out_counts(value_counts(keyed, ["_fold", *keys], value), keys, k)
+    by_key = median_of_counts(per_key, ["_fold", *keys], "_by_key")
+    everyone = _held_out_counts(value_counts(f, ["_fold"], value), [], k)
+    overall = median_of_counts(everyone, ["_fold"], "_overall")  # <= k rows
+    res = (lookup_join(r, by_key, ["_fold", *keys])
+           .join(F.broadcast(overall), "_fold", "left"))
     return (res.withColumn(out, F.when(F.col("_member"), F.coalesce("_by_key", "_overall"))
                            .cast("double"))
             .drop("_by_key", "_overall", "_fold", "_member"))
@@ -108,15 +118,15 @@ def oof_encode(rows: DataFrame, fit: DataFrame, keys: Sequence[str], value: str,
 
 # --- G1 / I1 ---------------------------------------------------------------
 
-def route_median(fit_shipments: DataFrame, rows: DataFrame, out: str = "route_median_prediction",
-                 approx: bool = False) -> DataFrame:
+def route_median(fit_shipments: DataFrame, rows: DataFrame, out: str = "route_median_prediction") -> DataFrame:
     """G1: median final delay per route over fit shipments; unknown -> overall."""
     return full_fit_lookup(fit_shipments.select("route", "final_delay_hours"), rows,
-                           ["route"], "final_delay_hours", "median", out, approx)
+                           ["route"], "final_delay_hours", "median", out)
 
 
 def _material(threshold: float) -> Column:
-    return (F.col("final_delay_hours") > F.lit(threshold)).cast("double")
+    """A missing delay is not a material one (it counts as 0)."""
+    return F.coalesce(F.col("final_delay_hours") > F.lit(threshold), F.lit(False)).cast("double")
 
 
 def route_rate(fit_shipments: DataFrame, rows: DataFrame, out: str = "route_material_delay_rate",
@@ -127,11 +137,10 @@ def route_rate(fit_shipments: DataFrame, rows: DataFrame, out: str = "route_mate
 
 
 def oof_route_median(rows: DataFrame, fit_shipments: DataFrame, k: int, salt: str,
-                     out: str = "route_prior_final_delay", member_col: str | None = None,
-                     approx: bool = False) -> DataFrame:
+                     out: str = "route_prior_final_delay", member_col: str | None = None) -> DataFrame:
     fit = fit_shipments.select("shipment_id", "route", "final_delay_hours")
     return oof_encode(rows, fit, ["route"], "final_delay_hours", k, salt, "median", out,
-                      member_col, approx)
+                      member_col)
 
 
 def oof_route_rate(rows: DataFrame, fit_shipments: DataFrame, k: int, salt: str,
@@ -143,46 +152,45 @@ def oof_route_rate(rows: DataFrame, fit_shipments: DataFrame, k: int, salt: str,
 
 # --- F5-F7, F9 -------------------------------------------------------------
 
-def with_latest(df: DataFrame, out: str = "latest_observed_delay_hours") -> DataFrame:
-    return df.withColumn(out, latest_observed())
-
-
-def typical_fit(rows: DataFrame, approx: bool = False):
+def typical_fit(rows: DataFrame):
     """(route x stage medians, stage medians) of the latest observed delay."""
     lat = rows.select("route", "snapshot_stage", latest_observed().alias("_latest"))
-    rs = (lat.where(F.col("route").isNotNull() & F.col("snapshot_stage").isNotNull())
-          .groupBy("route", "snapshot_stage").agg(median_of("_latest", approx).alias("typical_route_stage")))
-    st = (lat.where(F.col("snapshot_stage").isNotNull())
-          .groupBy("snapshot_stage").agg(median_of("_latest", approx).alias("typical_stage")))
-    return rs, st
+    by_stage = lat.where(F.col("snapshot_stage").isNotNull())
+    rs = _present(by_stage.where(F.col("route").isNotNull()), ["route", "snapshot_stage"], "typical_route_stage")
+    return rs, _present(by_stage, ["snapshot_stage"], "typical_stage")
+
+
+def _present(rows: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Medians of _latest with a row for every group, NULL where it has no value."""
+    return grouped_medians(rows, keys, ["_latest"]).withColumnRenamed("_latest", out)
 
 
 def map_typical(rows: DataFrame, route_stage: DataFrame, stage: DataFrame,
                 out: str = "observed_delay_vs_route_typical") -> DataFrame:
     """latest - coalesce(route x stage typical, stage typical)."""
-    return (rows.join(route_stage, ["route", "snapshot_stage"], "left")
-            .join(stage, "snapshot_stage", "left")
+    return (lookup_join(rows, route_stage, ["route", "snapshot_stage"])
+            .join(F.broadcast(stage), "snapshot_stage", "left")  # one row per stage
             .withColumn(out, latest_observed() - F.coalesce("typical_route_stage", "typical_stage"))
             .drop("typical_route_stage", "typical_stage"))
 
 
 def oof_typical(rows: DataFrame, fit_rows: DataFrame, k: int, salt: str,
-                out: str = "observed_delay_vs_route_typical", member_col: str | None = None,
-                approx: bool = False) -> DataFrame:
+                out: str = "observed_delay_vs_route_typical", member_col: str | None = None) -> DataFrame:
     """F6/F7 fitted on the snapshots of complement-fold shipments.
 
     ``fit_rows`` are the snapshots of fit shipments; membership of a row means
     its shipment is a fit shipment."""
     f = (fit_rows.select("shipment_id", "route", "snapshot_stage", latest_observed().alias("_latest"))
          .withColumn("_fold", fold_of("shipment_id", salt, k)))
-    rep = f.select("*", _other_folds(k).alias("_hold"))
-    rs = (rep.where(F.col("route").isNotNull() & F.col("snapshot_stage").isNotNull())
-          .groupBy("_hold", "route", "snapshot_stage").agg(median_of("_latest", approx).alias("_rs")))
-    st = (rep.where(F.col("snapshot_stage").isNotNull())
-          .groupBy("_hold", "snapshot_stage").agg(median_of("_latest", approx).alias("_st")))
+    known = f.where(F.col("snapshot_stage").isNotNull())
+    counts = value_counts(known.where(F.col("route").isNotNull()), ["_fold", "route", "snapshot_stage"], "_latest")
+    pair = ["route", "snapshot_stage"]
+    rs = median_of_counts(_held_out_counts(counts, pair, k), ["_fold", *pair], "_rs")
+    counts = value_counts(known, ["_fold", "snapshot_stage"], "_latest")
+    st = median_of_counts(_held_out_counts(counts, ["snapshot_stage"], k), ["_fold", "snapshot_stage"], "_st")
     r = _membership(rows, fit_rows, member_col).withColumn("_fold", fold_of("shipment_id", salt, k))
-    res = (r.join(rs.withColumnRenamed("_hold", "_fold"), ["_fold", "route", "snapshot_stage"], "left")
-           .join(st.withColumnRenamed("_hold", "_fold"), ["_fold", "snapshot_stage"], "left"))
+    res = (lookup_join(r, rs, ["_fold", *pair])
+           .join(F.broadcast(st), ["_fold", "snapshot_stage"], "left"))  # folds x stages
     return (res.withColumn(out, F.when(F.col("_member"),
                                        latest_observed() - F.coalesce("_rs", "_st")))
             .drop("_rs", "_st", "_fold", "_member"))

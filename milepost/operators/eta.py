@@ -62,11 +62,10 @@ class FittedModel:
         return m.transform(self.prep.transform(df, vec)).drop(vec)
 
 
-def _fit(train: DataFrame, columns, label: str, preset: GBTPreset, seed: int,
-         approx: bool) -> FittedModel:
+def _fit(train: DataFrame, columns, label: str, preset: GBTPreset, seed: int) -> FittedModel:
     train = train.select(*columns, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        prep = fit_preprocessor(train, columns, approx=approx, output_col="_vec")
+        prep = fit_preprocessor(train, columns, output_col="_vec")
         data = prep.transform(train).select("_vec", F.col(label).cast("double").alias("_label"))
         model = gbt_regressor(preset, seed, "_vec", "_label", "_pred").fit(data)
     finally:
@@ -150,15 +149,15 @@ def with_eta_features(rows: DataFrame, fit_rows: DataFrame, fit_shipments: DataF
     salt = cfg.fold_salt(level)
     if is_fit:
         r = encode.oof_route_median(rows, fit_shipments, cfg.folds, salt, out=PRIOR,
-                                    member_col="_is_member", approx=cfg.approx_median) \
+                                    member_col="_is_member") \
             if "_is_member" in rows.columns else \
             encode.oof_route_median(rows, fit_shipments, cfg.folds, salt, out=PRIOR,
-                                    approx=cfg.approx_median)
+                                    )
         member = "_is_member" if "_is_member" in rows.columns else None
         return encode.oof_typical(r, fit_rows, cfg.folds, salt, out=TYPICAL,
-                                  member_col=member, approx=cfg.approx_median)
-    r = encode.route_median(fit_shipments, rows, out=PRIOR, approx=cfg.approx_median)
-    rs, st = encode.typical_fit(fit_rows, approx=cfg.approx_median)
+                                  member_col=member)
+    r = encode.route_median(fit_shipments, rows, out=PRIOR)
+    rs, st = encode.typical_fit(fit_rows)
     return encode.map_typical(r, rs, st, out=TYPICAL)
 
 
@@ -190,7 +189,7 @@ def fit_eta(train_rows: DataFrame, train_shipments: DataFrame, prediction_rows:
     ]
     try:
         direct, customs, post, inland = run_folds(
-            lambda i: _fit(jobs[i][0], jobs[i][1], jobs[i][2], jobs[i][3], seed, cfg.approx_median),
+            lambda i: _fit(jobs[i][0], jobs[i][1], jobs[i][2], jobs[i][3], seed),
             len(jobs), cfg.parallel_fits)
     finally:
         train.unpersist()

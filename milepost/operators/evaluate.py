@@ -1,6 +1,6 @@
 """Evaluation aggregates.
 
-Scopes are ALL plus each stage, computed with GROUPING SETS in one aggregation.
+Scopes are ALL plus each stage, computed in one aggregation over both.
 Average precision needs a cumulative sum in score order; instead of one global
 window it uses a score histogram (bounded: scopes x 2^bits rows) for bucket
 offsets and ranks only inside (scope, bucket).
@@ -20,7 +20,7 @@ CALIBRATION_LABELS = ("(-0.001, 0.2]", "(0.2, 0.4]", "(0.4, 0.6]", "(0.6, 0.8]",
 
 
 def _scoped(df: DataFrame, stages=STAGES) -> DataFrame:
-    """Duplicate each row into scope ALL and its own stage (2 copies)."""
+    """Each row in scope ALL and in its own stage (2 copies, aggregated map-side)."""
     return df.withColumn("scope", F.explode(F.array(F.lit("ALL"), F.col("snapshot_stage")))) \
              .where(F.col("scope").isin("ALL", *stages))
 
@@ -107,8 +107,10 @@ def average_precision(rows: DataFrame, prob: str = "risk_probability",
     probs = [i / buckets for i in range(1, buckets)]
     edges = sorted(set(per_score.approxQuantile("_p", probs, rel_error)))  # <= buckets - 1 values
     splits = [float("-inf")] + [e for e in edges if e not in (float("-inf"), float("inf"))] + [float("inf")]
-    keyed = Bucketizer(splits=splits, inputCol="_p", outputCol="_asc").transform(per_score) \
-        .withColumn("_b", (F.lit(len(splits) - 2) - F.col("_asc")).cast("int")).drop("_asc")
+    # without an edge (no scores at all, or infinite ones only) there is one range
+    ranged = (Bucketizer(splits=splits, inputCol="_p", outputCol="_asc").transform(per_score)
+              if len(splits) > 2 else per_score.withColumn("_asc", F.lit(0.0)))
+    keyed = ranged.withColumn("_b", (F.lit(len(splits) - 2) - F.col("_asc")).cast("int")).drop("_asc")
     hist = keyed.groupBy("scope", "_b").agg(F.sum("_tp").alias("_btp"), F.sum("_n").alias("_bn"))
     # <= scopes x buckets rows
     w = Window.partitionBy("scope").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milepost.config import MATERIAL_DELAY_HOURS
+from milepost.operators.quantile import grouped_medians
 from milepost.functions.expr import latest_observed
 from milepost.functions.time import hours_between
 
@@ -79,7 +80,12 @@ def calendar_dow() -> Column:
 
 def numeric_coerce(col: str) -> Column:
     """to double, anything unparsable becomes NULL."""
-    return F.expr(f"try_cast(`{col}` as double)")
+    return _number(F.expr(f"try_cast(`{col}` as double)"))
+
+
+def _number(c: Column) -> Column:
+    """NaN is a missing value."""
+    return F.when(~F.isnan(c), c)
 
 
 def with_base_features(rows: DataFrame) -> DataFrame:
@@ -151,6 +157,21 @@ def level_name(value) -> str:
     return re.sub(r"\W", "_", str(value))
 
 
+def level_names(column: str, levels) -> list[str]:
+    """A distinct column name per level: levels that clean to the same name are
+    numbered in their order ("A B", "A-B" -> x_A_B, x_A_B_2)."""
+    taken, out = set(), []
+    for v in levels:
+        base = name = f"{column}_{level_name(v)}"
+        n = 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{base}_{n}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 @dataclass
 class Preprocessor:
     numeric: list
@@ -161,21 +182,22 @@ class Preprocessor:
     output_col: str = "features"
 
     def _exprs(self, prefix: str) -> dict:
-        out = {f"{prefix}{c}": F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c]))
+        out = {f"{prefix}{c}": F.coalesce(_number(F.col(c).cast("double")), F.lit(self.medians[c]))
                for c in self.numeric}
-        out.update({f"{prefix}missingindicator_{c}": F.col(c).isNull().cast("double")
+        out.update({f"{prefix}missingindicator_{c}": _number(F.col(c).cast("double")).isNull().cast("double")
                     for c in self.indicators})
         for c, vs in self.levels.items():
             filled = F.coalesce(F.col(c), F.lit(self.modes.get(c)))
-            out.update({f"{prefix}{c}_{level_name(v)}": (filled == F.lit(v)).cast("double")
-                        for v in vs})
+            for v, name in zip(vs, level_names(c, vs)):
+                out[f"{prefix}{name}"] = (filled == F.lit(v)).cast("double")
         return out
 
     def imputed(self, df: DataFrame) -> DataFrame:
         """F12/F13 in place: median-imputed numerics, missing indicators,
         mode-imputed categoricals."""
-        cols = {c: F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c])) for c in self.numeric}
-        cols.update({f"missingindicator_{c}": F.col(c).isNull().cast("double") for c in self.indicators})
+        cols = {c: F.coalesce(_number(F.col(c).cast("double")), F.lit(self.medians[c])) for c in self.numeric}
+        cols.update({f"missingindicator_{c}": _number(F.col(c).cast("double")).isNull().cast("double")
+                     for c in self.indicators})
         cols.update({c: F.coalesce(F.col(c), F.lit(m)) for c, m in self.modes.items()})
         return df.withColumns(cols)
 
@@ -196,27 +218,17 @@ class Preprocessor:
         return out.drop(*exprs)
 
 
-EXACT_MEDIAN_MAX_ROWS = 20_000_000
-
-
-def fit_preprocessor(train: DataFrame, columns, approx: bool | None = False,
-                     output_col: str = "features",
-                     exact_max_rows: int = EXACT_MEDIAN_MAX_ROWS) -> Preprocessor:
-    """F12-F14 fit.  Columns all-missing at fit are dropped (no median exists).
-
-    Exact medians keep every distinct value of a column in one aggregation
-    buffer; above ``exact_max_rows`` fit rows the fit switches to
-    ``percentile_approx`` (relative rank error 1e-4) so the buffer stays bounded."""
+def fit_preprocessor(train: DataFrame, columns, output_col: str = "features") -> Preprocessor:
+    """F12-F14 fit.  Columns all-missing at fit are dropped (no median exists);
+    medians are exact (operators.quantile)."""
     numeric = [c for c in columns if c not in CATEGORICAL]
-    if not approx and numeric and exact_max_rows is not None:
-        approx = train.count() > exact_max_rows
     cats = [c for c in columns if c in CATEGORICAL]
-    med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else F.median
     row = {}
-    if numeric:
-        row = train.agg(*[med(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(numeric)],
-                        *[F.sum(F.col(c).isNull().cast("int")).alias(f"n{i}")
-                          for i, c in enumerate(numeric)]).collect()[0].asDict()  # one row
+    if numeric:  # two one-row results
+        gaps = train.agg(*[F.sum(_number(F.col(c).cast("double")).isNull().cast("int")).alias(f"n{i}")
+                           for i, c in enumerate(numeric)]).first()
+        middle = grouped_medians(train, [], numeric).first()
+        row = gaps.asDict() | {f"m{i}": middle[c] for i, c in enumerate(numeric)}
     medians = {c: float(row[f"m{i}"]) for i, c in enumerate(numeric) if row[f"m{i}"] is not None}
     kept = [c for c in numeric if c in medians]
     indicators = [c for i, c in enumerate(numeric) if c in medians and row[f"n{i}"]]

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milepost.config import MATERIAL_DELAY_HOURS, STAGES
+from milepost.operators.quantile import grouped_medians
 
 # Delay bucket labels and edges (right-closed).
 DELAY_BUCKETS = (("early_or_on_time", None, 0.0), ("1_to_6h", 0.0, 6.0),
@@ -45,18 +46,17 @@ def counts_by(shipments: DataFrame, col: str) -> DataFrame:
 
 def planned_duration_by_route(shipments: DataFrame) -> DataFrame:
     """K4: median planned ocean / customs / inland hours per route."""
-    return (shipments.groupBy("route").agg(
-        F.median("planned_ocean_hours").alias("planned_ocean_hours"),
-        F.median("planned_customs_hours").alias("planned_customs_hours"),
-        F.median("planned_inland_hours").alias("planned_inland_hours")).orderBy("route"))
+    return grouped_medians(shipments, ["route"], [
+        "planned_ocean_hours", "planned_customs_hours", "planned_inland_hours"]).orderBy("route")
 
 
 def route_delay(shipments: DataFrame, threshold: float = MATERIAL_DELAY_HOURS) -> DataFrame:
     """K5: shipments, material-delay rate, median final delay per route."""
-    return (shipments.groupBy("route").agg(
-        _n().alias("shipments"),
-        F.avg((F.col("final_delay_hours") > threshold).cast("double")).alias("material_delay_rate"),
-        F.median("final_delay_hours").alias("median_final_delay_hours")).orderBy("route"))
+    material = F.coalesce(F.col("final_delay_hours") > threshold, F.lit(False)).cast("double")
+    counts = shipments.groupBy("route").agg(_n().alias("shipments"), F.avg(material).alias("material_delay_rate"))
+    middle = grouped_medians(shipments, ["route"], ["final_delay_hours"]).select(
+        F.col("route").alias("_route"), F.col("final_delay_hours").alias("median_final_delay_hours"))
+    return (counts.join(middle, F.col("route").eqNullSafe(F.col("_route"))).drop("_route").orderBy("route"))
 
 
 def delay_buckets(shipments: DataFrame) -> DataFrame:
@@ -78,9 +78,12 @@ def delay_buckets(shipments: DataFrame) -> DataFrame:
 
 def delay_distribution(shipments: DataFrame) -> DataFrame:
     """K7: mean, median, sample standard deviation of the final delay."""
-    return shipments.agg(F.avg("final_delay_hours").alias("mean_final_delay_hours"),
-                         F.median("final_delay_hours").alias("median_final_delay_hours"),
-                         F.stddev_samp("final_delay_hours").alias("std_final_delay_hours"))
+    spread = shipments.agg(F.avg("final_delay_hours").alias("mean_final_delay_hours"),
+                           F.stddev_samp("final_delay_hours").alias("std_final_delay_hours"))
+    middle = grouped_medians(shipments, [], ["final_delay_hours"]).withColumnRenamed(
+        "final_delay_hours", "median_final_delay_hours")
+    return spread.crossJoin(middle).select(  # one row each
+        "mean_final_delay_hours", "median_final_delay_hours", "std_final_delay_hours")
 
 
 def propagation(shipments: DataFrame) -> DataFrame:

@@ -89,7 +89,8 @@ def snapshot_violations(snapshots: DataFrame, stages=STAGES) -> DataFrame:
         return F.greatest(*[F.col(c).isNotNull() for c in cols])
     return snapshots.agg(
         _count_if(stage.isNull() | ~stage.isin(list(stages))).alias("C05"),
-        _count_if(F.col("target_final_delay_hours").isNull()).alias("C07"),
+        _count_if(F.col("target_final_delay_hours").isNull()
+                  | F.isnan(F.col("target_final_delay_hours").cast("double"))).alias("C07"),
         _count_if((stage == stages[0]) & any_present(s1_future)).alias("C12"),
         _count_if((stage == stages[1]) & any_present(s2_future)).alias("C13"),
     )

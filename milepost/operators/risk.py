@@ -62,7 +62,7 @@ class Classifier:
 def fit_classifier(train: DataFrame, cfg: Config, label: str = "_label") -> Classifier:
     train = train.select(*RISK_COLUMNS, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        prep = fit_preprocessor(train, RISK_COLUMNS, approx=cfg.approx_median, output_col="_vec")
+        prep = fit_preprocessor(train, RISK_COLUMNS, output_col="_vec")
         data = prep.transform(train).select("_vec", F.col(label).cast("double").alias("_y"))
         model = gbt_classifier(cfg, "_vec", "_y").fit(data)
     finally:
@@ -94,8 +94,8 @@ def risk_level(prob: str = "risk_probability") -> Column:
 
 
 def risk_alert(prob: str = "risk_probability", threshold: float = 0.29) -> Column:
-    """I8: probability >= threshold; NULL -> false."""
-    return F.coalesce(F.col(prob) >= F.lit(threshold), F.lit(False))
+    """I8: probability >= threshold; NULL and NaN -> false."""
+    return F.coalesce((F.col(prob) >= F.lit(threshold)) & ~F.isnan(prob), F.lit(False))
 
 
 @dataclass
@@ -111,7 +111,7 @@ def risk_training_frame(train_rows: DataFrame, train_shipments: DataFrame, cfg:
     salt = cfg.fold_salt(level)
     rows = train_rows.withColumn("_is_member", F.lit(True))
     r = encode.oof_typical(rows, train_rows, cfg.folds, salt, out=TYPICAL,
-                           member_col="_is_member", approx=cfg.approx_median)
+                           member_col="_is_member")
     r = encode.oof_route_rate(r, train_shipments, cfg.folds, salt, out=RATE,
                               member_col="_is_member", threshold=cfg.material_delay_hours)
     eta = eta_oof(train_rows, train_shipments, cfg, level, checkpoint).select(
@@ -151,7 +151,7 @@ def fit_risk_stack(train_rows: DataFrame, train_shipments: DataFrame,
     platt = fit_platt(raw)
     final = fit_classifier(frame, cfg)
     # prediction side: full-fit typical and rate, routed ETA from the ETA pass
-    rs, st = encode.typical_fit(train_rows, approx=cfg.approx_median)
+    rs, st = encode.typical_fit(train_rows)
     p = encode.map_typical(prediction_eta, rs, st, out=TYPICAL)
     p = encode.route_rate(train_shipments, p, out=RATE, threshold=cfg.material_delay_hours)
     p = p.withColumn(ROUTED, F.col("predicted_final_delay_hours"))

@@ -65,16 +65,10 @@ def split_by_ratio(shipments: DataFrame, seed: int = SEED, quotas=SPLIT_QUOTAS)
                             F.lit(seed).cast("int").alias("split_seed")).distinct()
 
 
-def rows_in_splits(rows: DataFrame, manifest: DataFrame, splits) -> DataFrame:
-    """Rows of the given splits (join the manifest once, filter on split)."""
-    splits = [splits] if isinstance(splits, str) else list(splits)
-    m = manifest.where(F.col("split").isin(splits)).select("shipment_id")
-    return rows.join(m, "shipment_id", "left_semi")
-
-
 def with_split(rows: DataFrame, manifest: DataFrame) -> DataFrame:
     """Attach the split label to every row (one join, reused by all filters)."""
-    return rows.join(manifest.select("shipment_id", "split"), "shipment_id", "left")
+    return rows.join(manifest.select("shipment_id", *[c for c in manifest.columns if c.startswith("split")]),
+                     "shipment_id", "left")
 
 
 def group_folds(df: DataFrame, k: int, salt: str, key: str = "shipment_id",

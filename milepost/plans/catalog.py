@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from milepost.config import Config
 from milepost.operators import derive
-from milepost.operators.split import split_manifest
+from milepost.operators.split import split_manifest, with_split
 from milepost.session import configure
 from milepost.sources.testdata import journey_legs
 
@@ -23,23 +24,32 @@ class Journeys:
     manifest: DataFrame
     cfg: Config
 
+    def _of(self, *splits) -> DataFrame:
+        """Journey rows of the splits: one join for the split label (none where the
+        table carries it); everything derived from them is row-local."""
+        j = self.journeys
+        if "split" not in j.columns:
+            j = with_split(j, self.manifest)
+        return j.where(F.col("split").isin(list(splits))).drop("split")
+
     def shipments_of(self, *splits) -> DataFrame:
-        ids = self.manifest.where(F.col("split").isin(list(splits))).select("shipment_id")
-        return self.shipments.join(ids, "shipment_id", "left_semi")
+        return derive.shipments_table(self._of(*splits))
 
     def materialize(self) -> "Journeys":
-        """Cut lineage once at the journey grain (reliable checkpoint in the
-        shared checkpoint folder); every derived table then starts from it."""
-        from milepost.session import cut_lineage
-        journeys = cut_lineage(self.journeys)
+        """Write the journey table once, as columnar files with its split, in the
+        shared checkpoint folder; what is derived from it reads pruned columns."""
+        from milepost.session import ensure_checkpoint_dir
+        spark = self.journeys.sparkSession
+        path = f"{ensure_checkpoint_dir(spark)}/journeys-{uuid.uuid4().hex}"
+        with_split(self.journeys, self.manifest.select("shipment_id", "split", "split_seed")).write.parquet(path)
+        journeys = spark.read.parquet(path)
         _, shipments, events, snapshots = derive.derive_from_journeys(
             journeys, self.cfg.material_delay_hours)
-        manifest = cut_lineage(split_manifest(shipments, self.cfg.seed, self.cfg.split_quotas))
+        manifest = journeys.select("shipment_id", "split", "split_seed")
         return Journeys(journeys, shipments, events, snapshots, manifest, self.cfg)
 
     def snapshots_of(self, *splits) -> DataFrame:
-        ids = self.manifest.where(F.col("split").isin(list(splits))).select("shipment_id")
-        return self.snapshots.join(ids, "shipment_id", "left_semi")
+        return derive.snapshots_from_journeys(self._of(*splits), self.cfg.material_delay_hours)
 
 
 def load(spark: SparkSession, sf_dir: str, cfg: Config | None = None) -> Journeys:

@@ -147,8 +147,9 @@ trig AS (
   WHERE milestone_idx < 3 AND reported_at IS NOT NULL),
 avail AS (
   SELECT t.shipment_id, t.i, e.milestone_idx AS j, e.milestone
-  FROM trig t JOIN mevents e ON e.shipment_id = t.shipment_id AND e.milestone_idx <= t.i
-       AND e.reported_at IS NOT NULL AND e.reported_at <= t.snapshot_at),
+  FROM (SELECT shipment_id, i, snapshot_at, unnest(range(0, i + 1)) AS j FROM trig) t
+  JOIN mevents e ON e.shipment_id = t.shipment_id AND e.milestone_idx = t.j
+  WHERE e.reported_at IS NOT NULL AND e.reported_at <= t.snapshot_at),
 av AS (
   SELECT t.shipment_id, t.i, t.snapshot_at, count(*) AS n_avail,
          bool_or(a.j = 0) AS a0, bool_or(a.j = 1) AS a1, bool_or(a.j = 2) AS a2

@@ -55,7 +55,7 @@ def evaluate_pass(t: Journeys, fit_splits, predict_split: str, cfg: Config,
     eta_pred = cut(eta_pred)
     risk_models, pred = fit_risk_stack(fit_rows, fit_ships, pred_rows, eta_pred, cfg,
                                        checkpoint=checkpoint)
-    pred = cut(BL.all_baselines(fit_ships, pred, cfg.approx_median))
+    pred = cut(BL.all_baselines(fit_ships, pred))
     comparison = EV.regression_metrics(pred, PREDICTION_COLUMNS, cfg.stages)
     risk = EV.risk_metrics(pred, threshold=cfg.risk_threshold, stages=cfg.stages)
     calibration = EV.calibration_table(pred)
