@@ -24,22 +24,8 @@ from pyspark.sql import functions as F
 from milepost.config import MATERIAL_DELAY_HOURS
 from milepost.functions.expr import fold_of, latest_observed
 from milepost.operators.lookup import lookup_join
-from milepost.operators.quantile import grouped_median, grouped_medians, median_of_counts, value_counts
-
-
-def _overall(rows: DataFrame, how: str, value: str, out: str) -> DataFrame:
-    """One row: the statistic over all rows."""
-    if how == "median":
-        return grouped_medians(rows, [], [value]).withColumnRenamed(value, out)
-    return rows.agg(F.avg(value).alias(out))
-
-
-def _by_key(rows: DataFrame, keys: Sequence[str], how: str, value: str, out: str) -> DataFrame:
-    if how == "median":
-        return grouped_median(rows, keys, value, out)
-    if how == "mean":
-        return rows.groupBy(*keys).agg(F.avg(value).alias(out))
-    raise ValueError(how)
+from milepost.operators.quantile import median_of_counts, rolled_up, value_counts
+from milepost.session import cut_lineage
 
 
 def _has_keys(keys: Sequence[str]) -> Column:
@@ -55,8 +41,17 @@ def full_fit_lookup(fit: DataFrame, rows: DataFrame, keys: Sequence[str], value:
     """rows + ``out`` = statistic of ``value`` by ``keys`` over ``fit``; unknown or
     NULL key -> statistic over all of ``fit``."""
     keys = list(keys)
-    by_key = _by_key(fit.where(_has_keys(keys)), keys, how, value, "_by_key")
-    overall = _overall(fit, how, value, "_overall")
+    if how == "median":
+        counts = cut_lineage(value_counts(fit, keys, value))
+        by_key = median_of_counts(counts.where(_has_keys(keys)), keys, "_by_key")
+        overall = median_of_counts(rolled_up(counts, []), [], "_overall")
+    elif how == "mean":
+        sums = cut_lineage(fit.groupBy(*keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n")))
+        by_key = sums.where(_has_keys(keys)).select(
+            *keys, F.try_divide(F.col("_s"), F.col("_n").cast("double")).alias("_by_key"))
+        overall = sums.agg(F.try_divide(F.sum("_s"), F.sum("_n").cast("double")).alias("_overall"))
+    else:
+        raise ValueError(how)
     return (lookup_join(rows, by_key, keys)
             .crossJoin(F.broadcast(overall))  # one row
             .withColumn(out, F.coalesce("_by_key", "_overall").cast("double"))
@@ -89,12 +84,12 @@ def oof_encode(rows: DataFrame, fit: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     f = fit.withColumn("_fold", fold_of("shipment_id", salt, k))
     r = _membership(rows, fit, member_col).withColumn("_fold", fold_of("shipment_id", salt, k))
-    keyed = f.where(_has_keys(keys))
     if how == "mean":
         # complement = (key total - fold part) / (key count - fold count)
-        per = keyed.groupBy("_fold", *keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+        sums = cut_lineage(f.groupBy("_fold", *keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n")))
+        per = sums.where(_has_keys(keys))
         tot = per.groupBy(*keys).agg(F.sum("_s").alias("_ts"), F.sum("_n").alias("_tn"))
-        pf = f.groupBy("_fold").agg(F.sum(value).alias("_fs"), F.count(value).alias("_fn"))  # <= k rows
+        pf = sums.groupBy("_fold").agg(F.sum("_s").alias("_fs"), F.sum("_n").alias("_fn"))  # <= k rows
         everything = pf.agg(F.sum("_fs").alias("_as"), F.sum("_fn").alias("_an"))  # one row
         res = (lookup_join(lookup_join(r, tot, keys), per, ["_fold", *keys])
                .join(F.broadcast(pf), "_fold", "left")
@@ -105,9 +100,10 @@ def oof_encode(rows: DataFrame, fit: DataFrame, keys: Sequence[str], value: str,
                                (F.col("_an") - F.coalesce("_fn", F.lit(0))).cast("double"))
         return (res.withColumn(out, F.when(F.col("_member"), F.coalesce(by_key, overall)).cast("double"))
                 .drop("_s", "_n", "_ts", "_tn", "_fs", "_fn", "_as", "_an", "_fold", "_member"))
-    per_key = _held_out_counts(value_counts(keyed, ["_fold", *keys], value), keys, k)
-    by_key = median_of_counts(per_key, ["_fold", *keys], "_by_key")
-    everyone = _held_out_counts(value_counts(f, ["_fold"], value), [], k)
+    counts = cut_lineage(value_counts(f, ["_fold", *keys], value))
+    others = _held_out_counts(counts.where(_has_keys(keys)), keys, k)
+    by_key = median_of_counts(others, ["_fold", *keys], "_by_key")
+    everyone = _held_out_counts(rolled_up(counts, ["_fold"]), [], k)
     overall = median_of_counts(everyone, ["_fold"], "_overall")  # <= k rows
     res = (lookup_join(r, by_key, ["_fold", *keys])
            .join(F.broadcast(overall), "_fold", "left"))
@@ -155,14 +151,10 @@ def oof_route_rate(rows: DataFrame, fit_shipments: DataFrame, k: int, salt: str,
 def typical_fit(rows: DataFrame):
     """(route x stage medians, stage medians) of the latest observed delay."""
     lat = rows.select("route", "snapshot_stage", latest_observed().alias("_latest"))
-    by_stage = lat.where(F.col("snapshot_stage").isNotNull())
-    rs = _present(by_stage.where(F.col("route").isNotNull()), ["route", "snapshot_stage"], "typical_route_stage")
-    return rs, _present(by_stage, ["snapshot_stage"], "typical_stage")
-
-
-def _present(rows: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """Medians of _latest with a row for every group, NULL where it has no value."""
-    return grouped_medians(rows, keys, ["_latest"]).withColumnRenamed("_latest", out)
+    counts = cut_lineage(value_counts(lat.where(F.col("snapshot_stage").isNotNull()),
+                                      ["route", "snapshot_stage"], "_latest"))
+    rs = median_of_counts(counts.where(F.col("route").isNotNull()), ["route", "snapshot_stage"], "typical_route_stage")
+    return rs, median_of_counts(rolled_up(counts, ["snapshot_stage"]), ["snapshot_stage"], "typical_stage")
 
 
 def map_typical(rows: DataFrame, route_stage: DataFrame, stage: DataFrame,
@@ -183,11 +175,11 @@ def oof_typical(rows: DataFrame, fit_rows: DataFrame, k: int, salt: str,
     f = (fit_rows.select("shipment_id", "route", "snapshot_stage", latest_observed().alias("_latest"))
          .withColumn("_fold", fold_of("shipment_id", salt, k)))
     known = f.where(F.col("snapshot_stage").isNotNull())
-    counts = value_counts(known.where(F.col("route").isNotNull()), ["_fold", "route", "snapshot_stage"], "_latest")
     pair = ["route", "snapshot_stage"]
-    rs = median_of_counts(_held_out_counts(counts, pair, k), ["_fold", *pair], "_rs")
-    counts = value_counts(known, ["_fold", "snapshot_stage"], "_latest")
-    st = median_of_counts(_held_out_counts(counts, ["snapshot_stage"], k), ["_fold", "snapshot_stage"], "_st")
+    counts = cut_lineage(value_counts(known, ["_fold", *pair], "_latest"))
+    rs = median_of_counts(_held_out_counts(counts.where(F.col("route").isNotNull()), pair, k), ["_fold", *pair], "_rs")
+    per_stage = _held_out_counts(rolled_up(counts, ["_fold", "snapshot_stage"]), ["snapshot_stage"], k)
+    st = median_of_counts(per_stage, ["_fold", "snapshot_stage"], "_st")
     r = _membership(rows, fit_rows, member_col).withColumn("_fold", fold_of("shipment_id", salt, k))
     res = (lookup_join(r, rs, ["_fold", *pair])
            .join(F.broadcast(st), ["_fold", "snapshot_stage"], "left"))  # folds x stages

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from milepost.config import METHODS, RISK_METHOD, RISK_THRESHOLD, STAGES
+from milepost.session import cut_lineage
 
 # Calibration bin edges as produced by numpy linspace(0, 1, 6)
 # and the labels pandas prints for them (first bin closed at 0).
@@ -61,18 +62,25 @@ def _f1(tp: Column, fp: Column, fn: Column) -> Column:
     return F.when(d == 0, F.lit(0.0)).otherwise((2 * tp).cast("double") / d)
 
 
-def classification_counts(rows: DataFrame, prob: str, label: str, threshold: float,
-                          stages=STAGES) -> DataFrame:
-    y = F.col(label).cast("int")
-    pred = F.coalesce(F.col(prob) >= F.lit(threshold), F.lit(False))
-    s = _scoped(rows.select("snapshot_stage", F.col(prob).alias("_p"), y.alias("_y"),
-                            pred.alias("_pred")), stages)
-    return s.groupBy("scope").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_snapshots"),
-        F.sum((F.col("_pred") & (F.col("_y") == 1)).cast("long")).alias("tp"),
-        F.sum((F.col("_pred") & (F.col("_y") == 0)).cast("long")).alias("fp"),
-        F.sum((~F.col("_pred") & (F.col("_y") == 1)).cast("long")).alias("fn"),
-        F.avg((F.col("_p") - F.col("_y")) * (F.col("_p") - F.col("_y"))).alias("brier_score"),
+def score_counts(rows: DataFrame, prob: str, label: str) -> DataFrame:
+    """snapshot_stage, _p, _y, _n: all that the risk metrics need, in one partially
+    aggregated pass (a NaN score is a missing one)."""
+    p = F.col(prob).cast("double")
+    return (rows.select("snapshot_stage", F.when(~F.isnan(p), p).alias("_p"), F.col(label).cast("int").alias("_y"))
+            .groupBy("snapshot_stage", "_p", "_y").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def classification_counts(counts: DataFrame, threshold: float, stages=STAGES) -> DataFrame:
+    pred = F.coalesce(F.col("_p") >= F.lit(threshold), F.lit(False))
+    p, y, n = F.col("_p"), F.col("_y"), F.col("_n")
+
+    def total(cond: Column) -> Column:
+        return F.sum(F.when(cond, n).otherwise(F.lit(0)))
+    return _scoped(counts, stages).groupBy("scope").agg(
+        F.sum("_n").cast("bigint").alias("n_snapshots"),
+        total(pred & (y == 1)).alias("tp"), total(pred & (y == 0)).alias("fp"),
+        total(~pred & (y == 1)).alias("fn"),
+        F.try_divide(F.sum((p - y) * (p - y) * n), total((p - y).isNotNull()).cast("double")).alias("brier_score"),
     )
 
 
@@ -80,7 +88,11 @@ def precision_recall_f1(rows: DataFrame, prob: str = "risk_probability",
                         label: str = "target_is_materially_delayed",
                         threshold: float = RISK_THRESHOLD, stages=STAGES) -> DataFrame:
     """J2 (+J4): precision, recall, F1 at the threshold per scope; 0/0 = 0."""
-    c = classification_counts(rows, prob, label, threshold, stages)
+    return _precision_recall(score_counts(rows, prob, label), threshold, stages)
+
+
+def _precision_recall(counts: DataFrame, threshold: float, stages) -> DataFrame:
+    c = classification_counts(counts, threshold, stages)
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return c.select(
         "scope", "n_snapshots",
@@ -99,11 +111,13 @@ def average_precision(rows: DataFrame, prob: str = "risk_probability",
     ~``buckets`` ranges at approximate quantiles (bounded list of edges, so a
     cluster of scores still spreads over many buckets); bucket totals give
     offsets, and the running sum is only taken inside (scope, bucket)."""
+    return _average_precision(cut_lineage(score_counts(rows, prob, label)), stages, buckets, rel_error)
+
+
+def _average_precision(counts: DataFrame, stages, buckets: int = 1024, rel_error: float = 2.5e-4) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
-    s = _scoped(rows.select("snapshot_stage", F.col(prob).cast("double").alias("_p"),
-                            F.col(label).cast("long").alias("_y")), stages)
-    per_score = (s.where(F.col("_p").isNotNull()).groupBy("scope", "_p")
-                 .agg(F.sum("_y").alias("_tp"), F.count(F.lit(1)).alias("_n")))
+    per_score = (_scoped(counts.where(F.col("_p").isNotNull()), stages).groupBy("scope", "_p")
+                 .agg(F.sum(F.col("_y") * F.col("_n")).alias("_tp"), F.sum("_n").alias("_n")))
     probs = [i / buckets for i in range(1, buckets)]
     edges = sorted(set(per_score.approxQuantile("_p", probs, rel_error)))  # <= buckets - 1 values
     splits = [float("-inf")] + [e for e in edges if e not in (float("-inf"), float("inf"))] + [float("inf")]
@@ -134,8 +148,9 @@ def risk_metrics(rows: DataFrame, prob: str = "risk_probability",
                  method: str = RISK_METHOD) -> DataFrame:
     """J2-J4 in the published column order; empty scopes give n=0, NULL metrics."""
     spark = rows.sparkSession
-    prf = precision_recall_f1(rows, prob, label, threshold, stages)
-    ap = average_precision(rows, prob, label, stages)
+    counts = cut_lineage(score_counts(rows, prob, label))
+    prf = _precision_recall(counts, threshold, stages)
+    ap = _average_precision(counts, stages)
     dim = F.broadcast(scope_dimension(spark, stages))
     return (dim.join(prf, "scope", "left").join(ap, "scope", "left")
             .orderBy("scope_order")

@@ -1,7 +1,7 @@
 """Exact medians by group without gathering a group in one task.
 
-Rows shrink to counts per (group, value) in a partially aggregated pass; what
-follows works on counts.  The values of a group are cut into equal ranges between
+Rows shrink to counts per (group, value) in one partially aggregated pass over the
+rows, written once (cut_lineage); what follows works on that small table.  The values of a group are cut into equal ranges between
 its minimum and maximum, the ranges' totals give rank offsets (at most ``RANGES``
 rows a group), and only the one or two ranges that hold the middle ranks are
 sorted.  The same code runs at every size.
@@ -14,17 +14,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from milepost.session import cut_lineage
+
 RANGES = 1024
 
 
 def value_counts(rows: DataFrame, keys: Sequence[str], value: str | Column) -> DataFrame:
-    """keys..., _v, _n: how often each non-NULL value occurs in each group."""
-    v = F.col(value) if isinstance(value, str) else value
-    v = v.cast("double")
-    return (rows.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    """keys..., _v, _n: how often each value occurs in each group (_v NULL: missing)."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    return (rows.select(*keys, F.when(~F.isnan(v), v).alias("_v"))
             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
 
 
+def rolled_up(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts by fewer keys."""
+    return counts.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
+
+
 def _same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on keys, NULL equal to NULL; the right side's keys are dropped."""
     right = b.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in b.columns])
@@ -37,9 +43,10 @@ def _same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -
 
 def median_of_counts(counts: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """One row per group of ``counts`` (see value_counts): its median, the mean of
-    the two middle values where the count is even."""
+    the two middle values where the count is even, NULL without a value.  Without
+    keys there is always one row."""
     g = list(keys) or ["_all"]
-    c = counts if keys else counts.withColumn("_all", F.lit(0))
+    c = (counts if keys else counts.withColumn("_all", F.lit(0))).where(F.col("_v").isNotNull())
     span = c.groupBy(*g).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total"))
     place = F.when(F.col("_hi") > F.col("_lo"), F.least(
         F.lit(RANGES - 1), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * RANGES))).otherwise(0)
@@ -57,26 +64,21 @@ def median_of_counts(counts: DataFrame, keys: Sequence[str], out: str) -> DataFr
     def holds(rank: Column) -> Column:
         return F.max(F.when((F.col("_end") > rank) & (F.col("_end") - F.col("_n") <= rank), F.col("_v")))
 
-    found = at.groupBy(*g).agg(holds(low).alias("_a"), holds(high).alias("_z"))
     mid = F.when(F.col("_a") == F.col("_z"), F.col("_a")).otherwise(F.col("_a") * 0.5 + F.col("_z") * 0.5)
-    return found.select(*keys, mid.alias(out))
+    found = at.groupBy(*keys).agg(holds(low).alias("_a"), holds(high).alias("_z")).select(*keys, mid.alias(out))
+    return _same(counts.select(*keys).distinct(), found, keys, "left") if keys else found
 
 
 def grouped_median(rows: DataFrame, keys: Sequence[str], value: str | Column, out: str) -> DataFrame:
-    """Median of ``value`` for each group that has a value."""
-    return median_of_counts(value_counts(rows, keys, value), keys, out)
+    """Median of ``value`` for each group of ``rows``."""
+    return median_of_counts(cut_lineage(value_counts(rows, keys, value)), keys, out)
 
 
 def grouped_medians(rows: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Medians of several columns, one row per group of ``rows`` (NULL where a
-    column has no value); the columns are counted in one pass."""
-    g = list(keys) or ["_all"]
-    base = rows if keys else rows.withColumn("_all", F.lit(0))
-    long = base.select(*g, F.inline(F.array(*[F.struct(
+    """Medians of several columns, one row per group of ``rows`` (one row in all
+    without keys); the columns are counted in one pass."""
+    long = rows.select(*keys, F.inline(F.array(*[F.struct(
         F.lit(i).alias("_c"), F.col(v).cast("double").alias("_x")) for i, v in enumerate(values)])))
-    med = median_of_counts(value_counts(long, [*g, "_c"], "_x"), [*g, "_c"], "_m")
-    wide = med.groupBy(*g).agg(*[F.max(F.when(F.col("_c") == i, F.col("_m"))).alias(v) for i, v in enumerate(values)])
-    if not keys:
-        # a table without any value still has its one row
-        return rows.sparkSession.range(1).select(F.lit(0).alias("_all")).join(wide, "_all", "left").drop("_all")
-    return _same(rows.select(*keys).distinct(), wide, keys, "left")
+    counts = cut_lineage(value_counts(long, [*keys, "_c"], "_x"))
+    med = median_of_counts(counts, [*keys, "_c"], "_m")
+    return med.groupBy(*keys).agg(*[F.max(F.when(F.col("_c") == i, F.col("_m"))).alias(v) for i, v in enumerate(values)])
