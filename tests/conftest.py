@@ -21,7 +21,7 @@ def spark():
 @pytest.fixture(scope="session")
 def small(spark):
     from milepost.plans.catalog import load
-    return load(spark, SF_SMALL)
+    return load(spark, SF_SMALL).materialize()  # one journey table for the whole session
 
 
 @pytest.fixture(scope="session")
