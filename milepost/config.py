@@ -70,9 +70,9 @@ class Config:
     eta_policy: dict = field(default_factory=lambda: dict(ETA_POLICY))
     direct: GBTPreset = DIRECT_FULL
     structured: GBTPreset = STRUCTURED_FULL
-    # independent fold fits submitted concurrently from the driver (each fit
-    # is itself distributed); 1 = sequential
-    parallel_fits: int = 4
+    # independent fits submitted concurrently from the driver (each fit is itself
+    # distributed): two in each of the five folds; 1 = sequential
+    parallel_fits: int = 10
 
     @staticmethod
     def fast(**overrides) -> "Config":

@@ -246,9 +246,9 @@ def eta_oof(rows: DataFrame, shipments: DataFrame, cfg: Config | None = None,
     from milepost.session import cut_lineage
     cfg = cfg or Config()
     salt = cfg.fold_salt(level)
-    # folds run concurrently; the fits inside one fold run one after another,
-    # so at most ``parallel_fits`` training sets are cached at any time
-    inner = replace(cfg, parallel_fits=1)
+    # folds run concurrently and share the fits they may have under way, so at
+    # most ``parallel_fits`` training sets are cached at any time
+    inner = replace(cfg, parallel_fits=max(1, cfg.parallel_fits // cfg.folds))
     r = rows.withColumn("_fold", fold_of("shipment_id", salt, cfg.folds))
     s = shipments.withColumn("_fold", fold_of("shipment_id", salt, cfg.folds))
     if checkpoint:

@@ -84,8 +84,11 @@ def fit_platt(raw_oof: DataFrame, prob: str = "raw_oof_probability",
 
 def calibrate(platt: LogisticRegressionModel, df: DataFrame, raw: str, out: str) -> DataFrame:
     """Raw -> calibrated probability (sigmoid of the fitted line)."""
-    w, b = float(platt.coefficients[0]), float(platt.intercept)
-    return df.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(w) * F.col(raw) + F.lit(b)))))
+    return df.withColumn(out, sigmoid_of_line(raw, float(platt.coefficients[0]), float(platt.intercept)))
+
+
+def sigmoid_of_line(raw: str, w: float, b: float) -> Column:
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(w) * F.col(raw) + F.lit(b))))
 
 
 def risk_level(prob: str = "risk_probability") -> Column:
@@ -146,10 +149,11 @@ def fit_risk_stack(train_rows: DataFrame, train_shipments: DataFrame,
     """I1-I8.  ``prediction_eta`` = prediction rows + ETA columns (from fit_eta)."""
     cfg = cfg or Config()
     frame = risk_training_frame(train_rows, train_shipments, cfg, level, checkpoint)
-    raw = raw_oof_probabilities(frame, cfg)
+    # the final classifier doesn't wait for those of the folds
+    raw, final = run_folds(lambda i: (raw_oof_probabilities, fit_classifier)[i](frame, cfg), 2,
+                           cfg.parallel_fits)
     raw = cut_lineage(raw) if checkpoint else raw
     platt = fit_platt(raw)
-    final = fit_classifier(frame, cfg)
     # prediction side: full-fit typical and rate, routed ETA from the ETA pass
     rs, st = encode.typical_fit(train_rows)
     p = encode.map_typical(prediction_eta, rs, st, out=TYPICAL)

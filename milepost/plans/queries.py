@@ -947,17 +947,17 @@ def q_eta_predictions(t: Journeys) -> DataFrame:
     return pred.select("snapshot_id", "snapshot_stage", *ET.ETA_COLUMNS)
 
 
-@register("eta_oof", cfg=Config.fast())
+@register("eta_oof")
 def q_eta_oof(t: Journeys) -> DataFrame:
-    """Cross-fitted ETA over the train split (20 fits: reduced learner settings)."""
+    """Cross-fitted ETA over the train split (20 fits, full learner settings)."""
     t = t.materialize()
     return ET.eta_oof(t.snapshots_of("train"), t.shipments_of("train"), t.cfg)
 
 
-@register("risk_predictions", cfg=Config.fast())
+@register("risk_predictions")
 def q_risk_predictions(t: Journeys) -> DataFrame:
-    """Stacked calibrated risk, fit on train, scored on validation (over 100
-    nested fits: reduced learner settings)."""
+    """Stacked calibrated risk, fit on train, scored on validation (30 fits,
+    full learner settings)."""
     t = t.materialize()
     from milepost.session import cut_lineage
     tr, ts, va = (cut_lineage(t.snapshots_of("train")), cut_lineage(t.shipments_of("train")),
@@ -965,3 +965,99 @@ def q_risk_predictions(t: Journeys) -> DataFrame:
     _, eta_pred = ET.fit_eta(tr, ts, va, t.cfg)
     _, pred = RK.fit_risk_stack(tr, ts, va, cut_lineage(eta_pred), t.cfg)
     return pred.select("snapshot_id", "snapshot_stage", "predicted_final_delay_hours", *RK.RISK_OUTPUT)
+
+
+# ---------------------------------------------------------------- further rows of H-J, L
+# Deterministic stand-ins for model outputs: a direct and a structured delay, and
+# a score with as many values as rows (ties, buckets and all bins are used).
+_WEATHER_P = "(coalesce(rmed.rate, rall.rate) + s.weather_severity) / 2 AS p"
+_SCORED = _FINAL.replace("coalesce(rmed.rate, rall.rate) AS p", _WEATHER_P) + """,
+te6 AS (SELECT *, (b1 + b2) / 2 AS direct,
+               CASE WHEN snapshot_stage <> 'ORIGIN_DEPARTED' THEN b1 * 0.25 + b2 * 0.75 END AS structured FROM te),
+long6 AS (
+  SELECT method, snapshot_stage, y, pr FROM long
+  UNION ALL SELECT 'Direct HGB v2', snapshot_stage, target_final_delay_hours, direct FROM te6
+  UNION ALL SELECT 'Structured HGB v2', snapshot_stage, target_final_delay_hours, structured FROM te6
+  UNION ALL SELECT 'Stage-routed v2 policy', snapshot_stage, target_final_delay_hours,
+                   CASE WHEN snapshot_stage = 'ORIGIN_DEPARTED' THEN direct ELSE structured END FROM te6),
+reg6 AS (
+  SELECT method, coalesce(snapshot_stage, 'ALL') AS scope, CAST(count(*) AS BIGINT) AS n_snapshots,
+         avg(abs(pr - y)) AS mae_hours, sqrt(avg((pr - y) * (pr - y))) AS rmse_hours
+  FROM long6 WHERE pr IS NOT NULL GROUP BY GROUPING SETS ((method), (method, snapshot_stage)))"""
+
+
+def _scored_rows(t: Journeys) -> DataFrame:
+    b1, b2 = F.col("b1_predicted_delay_hours"), F.col("b2_predicted_delay_hours")
+    rows = _final_rows(t).withColumns({
+        "risk_probability": (F.col("risk_probability") + F.col("weather_severity")) / 2,
+        "direct": (b1 + b2) / 2,
+        "structured": F.when(F.col("snapshot_stage") != ET.S1, b1 * 0.25 + b2 * 0.75)})
+    return rows.withColumn("routed", ET.routed_delay("direct", "structured", t.cfg.eta_policy))
+
+
+_ALL_METHODS = _BASELINES | {"Direct HGB v2": "direct", "Structured HGB v2": "structured",
+                             "Stage-routed v2 policy": "routed"}
+
+
+@register("regression_metrics_all_methods", O.sql(
+    "SELECT method, scope, n_snapshots, round(mae_hours, 6) AS mae_hours, round(rmse_hours, 6) AS rmse_hours FROM reg6",
+    _SCORED))
+def q_all_methods(t: Journeys) -> DataFrame:
+    m = EV.regression_metrics(_scored_rows(t), _ALL_METHODS)
+    return m.withColumns({"mae_hours": r6("mae_hours"), "rmse_hours": r6("rmse_hours")})
+
+
+@register("risk_metrics_continuous", O.sql(
+    "SELECT prf.scope, prf.n_snapshots, round(prf.precision, 6) AS precision, round(prf.recall, 6) AS recall, "
+    "round(prf.f1, 6) AS f1, round(ap.pr_auc, 6) AS pr_auc, round(prf.brier_score, 6) AS brier_score "
+    "FROM prf JOIN ap USING (scope)", _SCORED))
+def q_risk_metrics_continuous(t: Journeys) -> DataFrame:
+    m = EV.risk_metrics(_scored_rows(t))
+    return m.select("scope", "n_snapshots", *[r6(c).alias(c) for c in
+                    ("precision", "recall", "f1", "pr_auc", "brier_score")])
+
+
+@register("calibration_continuous", REGISTRY["calibration_table"].sql.replace(
+    "coalesce(rmed.rate, rall.rate) AS p", _WEATHER_P))
+def q_calibration_continuous(t: Journeys) -> DataFrame:
+    c = EV.calibration_table(_scored_rows(t))
+    return c.select("bin", "n", r6("mean_predicted_probability").alias("mean_predicted_probability"),
+                    r6("observed_material_delay_rate").alias("observed_material_delay_rate"))
+
+
+@register("headline_metrics", O.sql(
+    "SELECT round(r.mae_hours, 6) AS eta_mae_hours, round(r.rmse_hours, 6) AS eta_rmse_hours, "
+    "round(ap.pr_auc, 6) AS risk_pr_auc, round(prf.brier_score, 6) AS risk_brier_score, round(prf.f1, 6) AS risk_f1 "
+    "FROM reg6 r JOIN prf USING (scope) JOIN ap USING (scope) "
+    "WHERE r.method = 'Stage-routed v2 policy' AND r.scope = 'ALL'", _SCORED))
+def q_headline(t: Journeys) -> DataFrame:
+    rows = _scored_rows(t)
+    h = EV.headline(EV.regression_metrics(rows, _ALL_METHODS), EV.risk_metrics(rows))
+    return h.select(*[r6(c).alias(c) for c in h.columns])
+
+
+@register("risk_report", O.sql(
+    f"SELECT '{EV.RISK_METHOD}' AS method, scope, round(ap.pr_auc, 3) AS pr_auc, round(prf.brier_score, 3) AS brier_score, "
+    "round(prf.f1, 3) AS f1 FROM prf JOIN ap USING (scope)", _SCORED))
+def q_risk_report(t: Journeys) -> DataFrame:
+    return RP.risk_report(EV.risk_metrics(_scored_rows(t)))
+
+
+@register("calibrated_probability", O.sql(
+    "SELECT snapshot_id, round(1.0 / (1.0 + exp(-(3.0 * p - 1.5))), 9) AS risk_probability FROM te", _SCORED))
+def q_calibrated(t: Journeys) -> DataFrame:
+    """I6 with given coefficients."""
+    return _scored_rows(t).select("snapshot_id", F.round(
+        RK.sigmoid_of_line("risk_probability", 3.0, -1.5), 9).alias("risk_probability"))
+
+
+@register("oof_contract", O.sql(
+    "SELECT (SELECT CAST(count(*) AS BIGINT) FROM snaps_s s ANTI JOIN oof USING (snapshot_id) WHERE s.split = 'train') AS missing, "
+    "CAST(count(*) FILTER (WHERE route_material_delay_rate IS NULL) AS BIGINT) AS nulls, "
+    "CAST(count(*) FILTER (WHERE route_material_delay_rate < 0 OR route_material_delay_rate > 1) AS BIGINT) AS out_of_range "
+    "FROM oof", _oof_ctes()))
+def q_oof_contract(t: Journeys) -> DataFrame:
+    """I9 on the out-of-fold route rate."""
+    tr = t.snapshots_of("train")
+    raw = EN.oof_route_rate(tr, t.shipments_of("train"), t.cfg.folds, t.cfg.fold_salt(0), out="raw_oof_probability")
+    return RK.oof_contract(raw, tr)
