@@ -28,7 +28,7 @@ HEADLINE = (
     "calibration_table",         # J5
     "eda_delay_histogram",       # K12
     "recommendations",           # L5
-    "eta_predictions",           # H1-H9: four GBT fits (fast preset) + scoring
+    "eta_predictions",           # H1-H9: four GBT fits + scoring
 )
 
 

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 
-TABLES = ["region", "nation", "customer", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "orders", "lineitem", "documents", "benchmark"]
 SKIP_SLOW = {"eta_predictions", "eta_oof", "risk_predictions"}
 
 
