@@ -1,7 +1,10 @@
 """Chunks of documents that ask questions of the whole corpus.
 
 A chunk is one row: a few MB of documents, compressed, written once to the
-shared checkpoint folder and hash partitioned by its number.  In a round every
+shared checkpoint folder and hash partitioned by its number.  The number is the
+input partition and the chunk's place in it, so a task that runs again gives the
+same chunks (the documents must come from a scan or a written table, whose
+partitions repeat their rows in order).  In a round every
 chunk sends at most one entry per key (its own repeats are merged before the
 shuffle, so a key that a third of the documents share costs one entry a chunk)
 to the key's bucket; the bucket sorts its entries and answers each chunk in the
@@ -10,12 +13,12 @@ order of its entries.  Texts are never shuffled again.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,12 +54,13 @@ class Chunk:
 def pack(docs: DataFrame, limit: int = CHUNK) -> DataFrame:
     """chunk, data: the documents (doc_id, text) in chunks, checkpointed."""
     def run(batches):
-        for batch in bounded(batches, limit=limit):
+        first = TaskContext.get().partitionId() << 40
+        for n, batch in enumerate(bounded(batches, limit=limit)):
             column = batch.column("doc_id")
             null = np.array(column.is_null(), bool)
             ids = np.where(null, NO_ID, column.fill_null(0).to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_pydict({
-                "chunk": pa.array([uuid.uuid4().int >> 65], pa.int64()),
+                "chunk": pa.array([first + n], pa.int64()),
                 "data": pa.array([Chunk(ids, null, utf8(batch)).pack()], pa.binary())})
 
     spark = docs.sparkSession

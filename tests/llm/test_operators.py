@@ -96,6 +96,13 @@ def test_substring_fm(spark, rows, chunk_bytes, hot):
     assert sum(x[2] for x in got) > 500
 
 
+def test_chunks_keep_their_numbers_when_a_task_runs_again(spark, rows):
+    from milepost.llm import chunks
+    docs = frame(spark, rows).select("doc_id", "text")
+    once, again = (sorted((x.chunk, bytes(x.data)) for x in chunks.pack(docs, 3000).collect()) for _ in range(2))
+    assert once == again and len({n for n, _ in once}) == len(once) > 20
+
+
 @pytest.mark.parametrize("chunk_bytes", [2 << 20, 3000])
 def test_suffix_dedup(spark, rows, chunk_bytes):
     truth = smaller_windows(rows, lambda t: (t or "").encode(), 50)
