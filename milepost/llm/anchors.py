@@ -41,13 +41,13 @@ def groups(sorted_key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, sorted_key[1:] != sorted_key[:-1]]) if len(sorted_key) else np.zeros(0, np.int64)
 
 
-def five(x: np.ndarray) -> np.ndarray:
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+def low_bytes(x: np.ndarray, n: int = 5) -> np.ndarray:
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]
 
 
-def _from_five(raw: np.ndarray) -> np.ndarray:
+def from_low_bytes(raw: np.ndarray) -> np.ndarray:
     out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :5] = raw
+    out[:, :raw.shape[1]] = raw
     return out.reshape(-1).view("<u8")
 
 
@@ -89,7 +89,7 @@ def shared_anchors(_: int, entries: list[bytes], hot: int | None = None) -> list
     3 the same in more than ``hot`` chunks."""
     size = [len(e) // 9 for e in entries]
     raw = np.frombuffer(b"".join(entries), np.uint8).reshape(-1, 9)
-    h = _from_five(raw[:, :5])
+    h = from_low_bytes(raw[:, :5])
     run = np.ascontiguousarray(raw[:, 5:]).reshape(-1).view("<u4")
     order = np.argsort(h & LOW39, kind="stable")
     start = groups((h & LOW39)[order])
@@ -108,7 +108,7 @@ def shared_anchors(_: int, entries: list[bytes], hot: int | None = None) -> list
 def shared_only(entries: list[bytes]) -> list[bytes]:
     """Per entry of a key and its flag: 1 where two documents have it."""
     size = [len(e) // 5 for e in entries]
-    h = _from_five(np.frombuffer(b"".join(entries), np.uint8).reshape(-1, 5))
+    h = from_low_bytes(np.frombuffer(b"".join(entries), np.uint8).reshape(-1, 5))
     order = np.argsort(h & LOW39, kind="stable")
     start = groups((h & LOW39)[order])
     n = np.diff(np.r_[start, len(h)])

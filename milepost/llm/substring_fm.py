@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from milepost.llm import chunks
 from milepost.llm.anchors import (
-    FLAG, LOW39, SEGMENT, bucket_of, first_keys, five, pair_rank, runs, send, shared_anchors, stretches)
+    FLAG, LOW39, SEGMENT, bucket_of, first_keys, from_low_bytes, low_bytes, pair_rank, runs, send, shared_anchors, stretches)
 from milepost.llm.chunks import Chunk
 from milepost.llm.common import id_text, read_table
 from milepost.llm.fm_index import FmIndex
@@ -40,6 +40,8 @@ from milepost.llm.wordhash import span_hashes, spans
 
 LENGTH = 50
 GRAM = 8
+#: Bytes of a word's hash that an index compares.
+SYMBOL_BYTES = 6
 #: Chunks from which an anchor with differing stretches is cut into windows.
 HOT_CHUNKS = 2000
 _BLANK = np.zeros(256, bool)
@@ -79,13 +81,14 @@ class Stretches:
 
 def _pack(key, low, size, words) -> bytes:
     return b"".join((np.array([len(key)], np.int64).tobytes(), key.tobytes(), low.tobytes(),
-                     size.astype(np.int64).tobytes(), words.astype("<u4").tobytes()))
+                     size.astype(np.int64).tobytes(), low_bytes(words, SYMBOL_BYTES).tobytes()))
 
 
 def _unpack(raw: bytes):
     n = int(np.frombuffer(raw, np.int64, 1)[0])
     key, low, size = (np.frombuffer(raw, t, n, 8 + 8 * n * i) for i, t in enumerate((np.uint64, np.int64, np.int64)))
-    return key, low, size, np.frombuffer(raw, "<u4", -1, 8 + 24 * n)
+    words = np.frombuffer(raw, np.uint8, -1, 8 + 24 * n).reshape(-1, SYMBOL_BYTES)
+    return key, low, size, from_low_bytes(words)
 
 
 def search(entries: list[bytes]) -> list[bytes]:
@@ -141,7 +144,7 @@ class Rounds:
 
     def ask_anchors(self, chunk: Chunk, _):
         key, shared, run, _ = first_keys(Stretches(chunk), chunk)
-        return send(key, self.n, five((key & LOW39) | np.where(shared, FLAG, np.uint64(0))), run)
+        return send(key, self.n, low_bytes((key & LOW39) | np.where(shared, FLAG, np.uint64(0))), run)
 
     def answer_anchors(self, bucket: int, entries: list[bytes]) -> list[bytes]:
         return shared_anchors(bucket, entries, self.hot)
@@ -173,7 +176,7 @@ class Rounds:
         for b, part in chunks.cut(shard, self.shards):
             some = pick[part]
             words = [s.words[d][a:z] for d, a, z in zip(doc[some], first[some], last[some] + LENGTH)]
-            yield b, _pack(key[part], low[part], size[part], np.concatenate(words) & np.uint64(0xFFFFFFFF))
+            yield b, _pack(key[part], low[part], size[part], np.concatenate(words))
 
     def removed(self, chunk: Chunk, answers: list) -> list[np.ndarray]:
         """For each document, whether each word is removed."""

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from milepost.llm import chunks
 from milepost.llm.anchors import (
-    FLAG, LOW39, SEGMENT, first_keys, five, groups, least_ids, pair_rank, runs, send, shared_anchors,
+    FLAG, LOW39, SEGMENT, first_keys, least_ids, low_bytes, pair_rank, runs, send, shared_anchors,
     shared_keys, shared_only, stretches)
 from milepost.llm.chunks import Chunk
 from milepost.llm.common import id_text, read_table
@@ -92,7 +92,7 @@ class Rounds:
     def ask_anchors(self, chunk: Chunk, _):
         a = Anchors(chunk)
         key, shared, run, _ = first_keys(a, chunk)
-        return send(key, self.n, five((key & LOW39) | np.where(shared, FLAG, np.uint64(0))), run)
+        return send(key, self.n, low_bytes((key & LOW39) | np.where(shared, FLAG, np.uint64(0))), run)
 
     def state(self, chunk: Chunk, answers: list):
         a = Anchors(chunk)
@@ -107,7 +107,7 @@ class Rounds:
         key, low, _ = least_ids(a.run[some], chunk.ids[a.doc[some]])
         yield from send(key, self.n, key, low)
         key, shared, _ = self._around(chunk, a, state == 2)
-        entries = five((key & LOW39) | np.where(shared, FLAG, np.uint64(0)))
+        entries = low_bytes((key & LOW39) | np.where(shared, FLAG, np.uint64(0)))
         yield from ((self.n + b, e) for b, e in send(key, self.n, entries))
 
     def answer_runs(self, bucket: int, entries: list[bytes]) -> list[bytes]:
