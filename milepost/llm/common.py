@@ -92,6 +92,13 @@ def kept(key: tuple, build: Callable):
     return _KEPT[key]
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until it clashes with no column (of any case)."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the session names (see milepost.session)."""
     ensure_checkpoint_dir(df.sparkSession)

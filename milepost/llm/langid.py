@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from milepost.llm.common import bounded, kept, map_arrow, map_batches, read_table, texts
+from milepost.llm.common import bounded, free_name, kept, map_arrow, map_batches, read_table, texts
 
 SAMPLE_DOCS = 24
 SAMPLE_CHARS = 24_000
@@ -217,9 +217,7 @@ def keep_recognised(docs: DataFrame) -> DataFrame:
     from pyspark.sql.types import StringType, StructField, StructType
 
     sample = labelled_sample(docs)
-    name = "lang_found"
-    while name in docs.columns:
-        name += "_"
+    name = free_name("lang_found", docs.columns)
 
     def run(batches):
         for batch in bounded(batches, limit=1 << 20):

@@ -83,5 +83,15 @@ def test_near_duplicate_stage_with_odd_ids(spark):
     from milepost.llm import simhash
     rows = [(1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e"), (None, "a b c d e"), (None, "x y z v w"),
             (None, "x y z v w"), (3, None), (4, "")]
-    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", *[f"'x' AS {c}" for c in ("keep_id", "Label", "fp", "rank", "n", "component_id", "least")])
+    got = simhash.keep_one(docs).collect()
     assert sorted((repr(x.doc_id), x.text) for x in got) == [("1", "a b c d e"), ("3", None), ("None", "x y z v w")]
+
+
+def test_language_stage_with_clashing_columns(spark):
+    from milepost.llm import langid
+    rows = [(i, "the cat and the dog", "en", "x") for i in range(9)] + [(9, None, "en", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, Lang_Found string")
+    got = langid.keep_recognised(docs)
+    assert got.columns == docs.columns and got.count() == 9
