@@ -238,6 +238,11 @@ def run_folds(fn, k: int, parallel: int) -> list:
         return list(pool.map(fn, range(k)))
 
 
+def fold_parts(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """What fold k is fitted on, and what it predicts (rows carry ``_fold``)."""
+    return rows.where(F.col("_fold") != k).drop("_fold"), rows.where(F.col("_fold") == k).drop("_fold")
+
+
 def eta_oof(rows: DataFrame, shipments: DataFrame, cfg: Config | None = None,
             level: int = 0, checkpoint: bool = True) -> DataFrame:
     """For each fold fit H1-H9 on the other folds (inner encoders re-folded
@@ -255,9 +260,8 @@ def eta_oof(rows: DataFrame, shipments: DataFrame, cfg: Config | None = None,
         r, s = cut_lineage(r), cut_lineage(s)
 
     def one_fold(k: int) -> DataFrame:
-        fit_rows = r.where(F.col("_fold") != k).drop("_fold")
-        held = r.where(F.col("_fold") == k).drop("_fold")
-        _, pred = fit_eta(fit_rows, s.where(F.col("_fold") != k).drop("_fold"), held, inner, level + 1)
+        fit_rows, held = fold_parts(r, k)
+        _, pred = fit_eta(fit_rows, fold_parts(s, k)[0], held, inner, level + 1)
         part = pred.select("snapshot_id", "shipment_id", "predicted_final_delay_hours",
                            F.lit(k).alias("fold"))
         return cut_lineage(part) if checkpoint else part

@@ -1,6 +1,7 @@
 """Evaluation aggregates.
 
-Scopes are ALL plus each stage, computed in one aggregation over both.
+Scopes are ALL plus each stage: the rows are aggregated by stage once, and the
+few resulting rows are rolled up to ALL.
 Average precision needs a cumulative sum in score order; instead of one global
 window it uses a score histogram (bounded: scopes x 2^bits rows) for bucket
 offsets and ranks only inside (scope, bucket).
@@ -41,15 +42,21 @@ def regression_metrics(rows: DataFrame, prediction_cols: dict, stages=STAGES,
     """N, MAE, RMSE per (method, scope) over rows whose prediction is not
     NULL; empty scopes are omitted.  ``prediction_cols``: method -> column."""
     spark = rows.sparkSession
-    long = rows.select(
-        "snapshot_stage", F.col(target).cast("double").alias("_y"),
-        F.inline(F.array(*[F.struct(F.lit(m).alias("method"), F.col(c).cast("double").alias("_p"))
-                           for m, c in prediction_cols.items()])))
-    err = long.where(F.col("_p").isNotNull()).withColumn("_e", F.col("_p") - F.col("_y"))
-    agg = (_scoped(err, stages).groupBy("method", "scope")
-           .agg(F.count(F.lit(1)).cast("bigint").alias("n_snapshots"),
-                F.avg(F.abs("_e")).alias("mae_hours"),
-                F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("rmse_hours")))
+    y, sums = F.col(target).cast("double"), []
+    for i, c in enumerate(prediction_cols.values()):
+        p = F.col(c).cast("double")
+        e = p - y
+        sums += [F.count(p).alias(f"_n{i}"), F.count(e).alias(f"_k{i}"),
+                 F.sum(F.abs(e)).alias(f"_a{i}"), F.sum(e * e).alias(f"_s{i}")]
+    per_stage = rows.groupBy("snapshot_stage").agg(*sums)  # a row per stage
+    long = per_stage.select("snapshot_stage", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("method"), *[F.col(f"_{x}{i}").alias(f"_{x}") for x in "nkas"])
+        for i, m in enumerate(prediction_cols)])))
+    agg = (_scoped(long, stages).groupBy("method", "scope")
+           .agg(F.sum("_n").cast("bigint").alias("n_snapshots"),
+                F.try_divide(F.sum("_a"), F.sum("_k").cast("double")).alias("mae_hours"),
+                F.sqrt(F.try_divide(F.sum("_s"), F.sum("_k").cast("double"))).alias("rmse_hours"))
+           .where(F.col("n_snapshots") > 0))
     order = (F.broadcast(method_dimension(spark, tuple(prediction_cols))),
              F.broadcast(scope_dimension(spark, stages)))
     return (agg.join(order[0], "method").join(order[1], "scope")

@@ -9,8 +9,9 @@ inside whole-stage codegen.
 
 from __future__ import annotations
 
+import json
 import re
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -181,6 +182,13 @@ class Preprocessor:
     levels: dict = field(default_factory=dict)
     output_col: str = "features"
 
+    def to_json(self) -> str:
+        return json.dumps(asdict(self), sort_keys=True)
+
+    @staticmethod
+    def from_json(text: str) -> "Preprocessor":
+        return Preprocessor(**json.loads(text))
+
     def _exprs(self, prefix: str) -> dict:
         out = {f"{prefix}{c}": F.coalesce(_number(F.col(c).cast("double")), F.lit(self.medians[c]))
                for c in self.numeric}
@@ -220,7 +228,10 @@ class Preprocessor:
 
 def fit_preprocessor(train: DataFrame, columns, output_col: str = "features") -> Preprocessor:
     """F12-F14 fit.  Columns all-missing at fit are dropped (no median exists);
-    medians are exact (operators.quantile)."""
+    medians are exact (operators.quantile).  Ids, targets and future columns are refused."""
+    denied = leakage_columns(columns)
+    if denied:
+        raise ValueError(f"not allowed as features: {denied}")
     numeric = [c for c in columns if c not in CATEGORICAL]
     cats = [c for c in columns if c in CATEGORICAL]
     row = {}

@@ -31,21 +31,7 @@ RULES = (
     ("C12", "S1 snapshot holds no port, customs or truck evidence"),
     ("C13", "S2 snapshot holds no customs or truck evidence"),
 )
-MESSAGES = {
-    "C01": "Invalid shipment population",
-    "C02": "Events or snapshots reference an unknown shipment",
-    "C03": "Events or snapshots reference an unknown shipment",
-    "C04": "Every shipment must have five events",
-    "C05": "Unsupported snapshot stage",
-    "C06": "Invalid snapshots",
-    "C07": "Invalid snapshots",
-    "C08": "Shipment actual milestone chronology is invalid",
-    "C09": "Event reporting-time contract is invalid",
-    "C10": "Event reporting-time contract is invalid",
-    "C11": "Event reporting-time contract is invalid",
-    "C12": "Snapshot contains future-stage evidence",
-    "C13": "Snapshot contains future-stage evidence",
-}
+MESSAGES = {rule: f"data quality rule broken: {text}" for rule, text in RULES}
 
 
 def _count_if(cond) -> F.Column:
@@ -96,17 +82,27 @@ def snapshot_violations(snapshots: DataFrame, stages=STAGES) -> DataFrame:
     )
 
 
+def rows_per_shipment(child: DataFrame) -> DataFrame:
+    """shipment_id, n_rows: all that the reference and count rules need of a table."""
+    return child.groupBy("shipment_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def unknown_references(child: DataFrame, shipments: DataFrame) -> DataFrame:
-    """Child rows whose shipment_id is absent (NULL ids count as unknown)."""
-    return child.select("shipment_id").join(
-        shipments.select("shipment_id"), "shipment_id", "left_anti")
+    """Ids of child rows that are absent from the shipments, with their number
+    of rows (NULL ids count as unknown)."""
+    return rows_per_shipment(child).join(shipments.select("shipment_id"), "shipment_id", "left_anti")
+
+
+def unknown_rows(child: DataFrame, shipments: DataFrame, name: str = "violations") -> DataFrame:
+    return unknown_references(child, shipments).agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias(name))
 
 
 def event_count_violations(events: DataFrame, shipments: DataFrame | None = None,
                            per_shipment: int = 5, strict: bool = False) -> DataFrame:
     """C4: shipments present in events without exactly five events; with
     ``strict`` also shipments that have no events at all."""
-    counts = events.groupBy("shipment_id").agg(F.count(F.lit(1)).alias("n_events"))
+    counts = rows_per_shipment(events).withColumnRenamed("n_rows", "n_events")
     bad = counts.where(F.col("n_events") != per_shipment)
     if strict and shipments is not None:
         absent = (shipments.select("shipment_id").join(counts, "shipment_id", "left_anti")
@@ -135,8 +131,8 @@ def quality_report(shipments: DataFrame, events: DataFrame, snapshots: DataFrame
     dup = duplicate_ids(snapshots).agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("C06"))
     wide = (sv.crossJoin(ev).crossJoin(nv)  # single-row frames
-            .crossJoin(n_rows(unknown_references(events, shipments), "C02"))
-            .crossJoin(n_rows(unknown_references(snapshots, shipments), "C03"))
+            .crossJoin(unknown_rows(events, shipments, "C02"))
+            .crossJoin(unknown_rows(snapshots, shipments, "C03"))
             .crossJoin(n_rows(event_count_violations(events, shipments,
                                                      strict=strict_event_count), "C04"))
             .crossJoin(dup))
@@ -166,9 +162,9 @@ def rule_violations(rule: str, shipments: DataFrame, events: DataFrame, snapshot
     if rule == "C01":
         return shipment_violations(shipments, expected_shipments).select(F.col("C01").alias("violations"))
     if rule == "C02":
-        return n_rows(unknown_references(events, shipments))
+        return unknown_rows(events, shipments)
     if rule == "C03":
-        return n_rows(unknown_references(snapshots, shipments))
+        return unknown_rows(snapshots, shipments)
     if rule == "C04":
         return n_rows(event_count_violations(events, shipments))
     if rule == "C06":

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from milepost.config import Config
 from milepost.operators import derive
 from milepost.operators.split import split_manifest, with_split
 from milepost.session import configure
+from milepost.sources.readers import read_journey_tables
 from milepost.sources.testdata import journey_legs
 
 
@@ -52,6 +53,35 @@ class Journeys:
         return derive.snapshots_from_journeys(self._of(*splits), self.cfg.material_delay_hours)
 
 
+@dataclass
+class StoredJourneys(Journeys):
+    """Journey tables that exist already; ``journeys`` is the shipments table."""
+
+    def _in(self, table: DataFrame, splits) -> DataFrame:
+        t = table if "split" in table.columns else with_split(table, self.manifest)
+        return t.where(F.col("split").isin(list(splits))).drop("split", "split_seed")
+
+    def shipments_of(self, *splits) -> DataFrame:
+        return self._in(self.shipments, splits)
+
+    def snapshots_of(self, *splits) -> DataFrame:
+        return self._in(self.snapshots, splits)
+
+    def materialize(self) -> "StoredJourneys":
+        """The tables are files already: only the manifest is written, once."""
+        from milepost.session import cut_lineage
+        return replace(self, manifest=cut_lineage(self.manifest))
+
+
+def load_tables(spark: SparkSession, root: str, fmt: str = "parquet", cfg: Config | None = None) -> StoredJourneys:
+    """A1: shipments, events and snapshots as stored under ``root``."""
+    configure(spark)
+    cfg = cfg or Config()
+    t = read_journey_tables(spark, root, fmt)
+    manifest = split_manifest(t["shipments"], cfg.seed, cfg.split_quotas)
+    return StoredJourneys(t["shipments"], t["shipments"], t["events"], t["snapshots"], manifest, cfg)
+
+
 def load(spark: SparkSession, sf_dir: str, cfg: Config | None = None) -> Journeys:
     configure(spark)
     cfg = cfg or Config()

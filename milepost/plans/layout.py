@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+# The folder names of the original outputs.
 FOLDERS = {
     "data": "data",
     "quality": "outputs/01_data_quality",

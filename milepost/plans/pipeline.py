@@ -8,7 +8,7 @@ whole cross-fitting history.
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +21,11 @@ from milepost.operators import quality as QA
 from milepost.operators import report as RP
 from milepost.operators.eta import EtaModels, fit_eta
 from milepost.operators.risk import RiskModels, fit_risk_stack
-from milepost.plans.catalog import Journeys, load
+from milepost.plans.catalog import Journeys, load, load_tables
 from milepost.plans.layout import Layout
 from milepost.session import cut_lineage
 from milepost.sources import sinks
+from milepost.sources.testdata import expected_journeys
 
 PREDICTION_COLUMNS = dict(zip(METHODS, (
     "b0_predicted_delay_hours", "b1_predicted_delay_hours", "b2_predicted_delay_hours",
@@ -87,14 +88,20 @@ def _rows(df: DataFrame) -> list[dict]:
 
 
 def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
-        strict: bool = True, fmt: str = "parquet", checkpoint: bool = True) -> dict:
-    """M3: validate -> split -> EDA -> validation pass -> refit pass -> sinks."""
+        strict: bool = True, fmt: str = "parquet", checkpoint: bool = True,
+        tables: Journeys | None = None, expected_shipments: int | None = None) -> dict:
+    """M3: validate -> split -> EDA -> validation pass -> refit pass -> sinks.
+
+    Input: the mapped tables of ``sf_dir``, or ``tables`` (catalog.load_tables), whose
+    population is ``expected_shipments`` (unknown: only repeated ids break C1)."""
     cfg = cfg or Config()
-    t = load(spark, sf_dir, cfg)
+    if tables is None and expected_shipments is None:
+        expected_shipments = expected_journeys(spark, sf_dir)
+    t = tables or load(spark, sf_dir, cfg)
     if checkpoint:
         t = t.materialize()
     lay = Layout(root)
-    report = QA.quality_report(t.shipments, t.events, t.snapshots, stages=cfg.stages)
+    report = QA.quality_report(t.shipments, t.events, t.snapshots, expected_shipments, stages=cfg.stages)
     report_rows = sorted(_rows(report), key=lambda r: r["rule"])  # 13 rows
     sinks.write_table(report, lay.path("quality", "quality_report"), fmt, small=True)
     if strict:
@@ -114,6 +121,11 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
                       lay.path("validation", "eta/eta_validation_metrics"), fmt, small=True)
     sinks.write_table(val.predictions, lay.path("validation", "eta/eta_validation_predictions"), fmt)
     sinks.write_table(val.risk, lay.path("validation", "risk/risk_validation_metrics"), fmt, small=True)
+    sinks.write_risk_predictions(val.predictions, lay.path("validation", "risk/risk_validation_predictions"), fmt)
+    sinks.write_table(RP.report_metrics(comp, RP.ETA_REPORT_METHODS),
+                      lay.path("validation", "eta/eta_validation_report_table"), fmt, small=True)
+    sinks.write_table(RP.risk_report(val.risk), lay.path("validation", "risk/risk_validation_report_table"),
+                      fmt, small=True)
 
     # M2: refit on train + validation, score test once
     fin = evaluate_pass(t, ("train", "validation"), "test", cfg, checkpoint)
@@ -127,11 +139,8 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
     m = fin.eta_models
     for name, fm in (("direct", m.direct), ("customs", m.customs), ("post_customs", m.post_customs),
                      ("inland", m.inland)):
-        sinks.save_model(fm.model, lay.path("artifacts", f"eta_v2/{name}/model"))
-        sinks.save_json(spark, asdict(fm.prep), lay.path("artifacts", f"eta_v2/{name}/preprocessor"))
-    sinks.save_model(fin.risk_models.classifier.model, lay.path("artifacts", "risk_hgb_v2_stack/model"))
-    sinks.save_json(spark, asdict(fin.risk_models.classifier.prep),
-                    lay.path("artifacts", "risk_hgb_v2_stack/preprocessor"))
+        sinks.save_fitted(spark, fm, lay.path("artifacts", f"eta_v2/{name}"))
+    sinks.save_fitted(spark, fin.risk_models.classifier, lay.path("artifacts", "risk_hgb_v2_stack"))
     sinks.save_model(fin.risk_models.platt, lay.path("artifacts", "platt_calibrator"))
 
     # L1-L9 report tables
@@ -150,6 +159,7 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
     by_stage = {r["snapshot_stage"]: r["n_snapshots"] for r in _rows(EV.counts_by_stage(fin.predictions))}
     head = _rows(EV.headline(fin.comparison, fin.risk))
     head = head[0] if head else {}
+    # The keys and the policy text of the original summary.
     summary = {
         "policy": "Stage-routed v2 ETA plus Risk HGB v2 Stack",
         "seed": cfg.seed,
@@ -181,7 +191,11 @@ def main(argv=None) -> None:
 
     from milepost.session import build_session
     ap = argparse.ArgumentParser(description="milestone-journey pipeline")
-    ap.add_argument("--sf-dir", required=True)
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--sf-dir", help="folder of the order tables the journeys are mapped from")
+    source.add_argument("--tables", help="folder of stored shipments, events and snapshots")
+    ap.add_argument("--format", default="parquet", help="of the stored tables")
+    ap.add_argument("--expected-shipments", type=int)
     ap.add_argument("--out", required=True)
     ap.add_argument("--fast", action="store_true", help="reduced boosted-tree preset")
     ap.add_argument("--master", default="local[8]")
@@ -189,7 +203,9 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     cfg = Config.fast() if args.fast else Config()
-    print(json.dumps(run(spark, args.sf_dir, args.out, cfg, strict=not args.no_strict), indent=2, default=str))
+    tables = load_tables(spark, args.tables, args.format, cfg) if args.tables else None
+    print(json.dumps(run(spark, args.sf_dir, args.out, cfg, strict=not args.no_strict, tables=tables,
+                         expected_shipments=args.expected_shipments), indent=2, default=str))
 
 
 if __name__ == "__main__":

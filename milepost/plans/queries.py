@@ -300,18 +300,23 @@ def q_leak(t: Journeys) -> DataFrame:
 
 
 @register("fold_isolation", O.sql(
-    f"SELECT f.fold, CAST(count(*) AS BIGINT) AS held_shipments, CAST(0 AS BIGINT) AS overlap "
-    f"FROM (SELECT shipment_id, {O.FOLD('shipment_id')} AS fold FROM ship_s WHERE split = 'train') f GROUP BY f.fold"))
+    "SELECT h.fold, CAST(count(*) AS BIGINT) AS held_shipments, "
+    "CAST(count(*) FILTER (WHERE EXISTS (SELECT 1 FROM f WHERE f.shipment_id = h.shipment_id AND f.fold <> h.fold)) AS BIGINT) AS overlap "
+    "FROM f h GROUP BY h.fold",
+    f"f AS (SELECT DISTINCT shipment_id, {O.FOLD('shipment_id')} AS fold FROM snaps_s WHERE split = 'train')"))
 def q_fold_isolation(t: Journeys) -> DataFrame:
-    """D4 per fold: held-out size and |fit ids ∩ held ids| (expected 0)."""
-    f = S.group_folds(t.shipments_of("train").select("shipment_id"), t.cfg.folds, t.cfg.fold_salt(0))
-    held = f.groupBy("fold").agg(F.count(F.lit(1)).cast("bigint").alias("held_shipments"))
-    # an id is in fit set k iff its fold != k: count ids whose fold both is and is not k
-    overlap = (f.alias("a").join(f.alias("b"), "shipment_id")
-               .where(F.col("a.fold") != F.col("b.fold"))
-               .groupBy(F.col("a.fold").alias("fold")).agg(F.count(F.lit(1)).cast("bigint").alias("overlap")))
-    return held.join(overlap, "fold", "left").select(
-        "fold", "held_shipments", F.coalesce("overlap", F.lit(0).cast("bigint")).alias("overlap"))
+    """D4 on the row sets that each fold's fit and prediction get: shipments held
+    out, and those among them that the fit sees too (expected 0)."""
+    from milepost.operators.eta import fold_parts
+    rows = S.group_folds(t.snapshots_of("train"), t.cfg.folds, t.cfg.fold_salt(0), name="_fold")
+    out = None
+    for k in range(t.cfg.folds):
+        fit, held = fold_parts(rows, k)
+        held = held.select("shipment_id").distinct()
+        one = held.agg(F.lit(k).alias("fold"), F.count(F.lit(1)).cast("bigint").alias("held_shipments")).crossJoin(
+            S.fold_overlap(fit, held).agg(F.count(F.lit(1)).cast("bigint").alias("overlap")))  # one row each
+        out = one if out is None else out.unionByName(one)
+    return out.where("held_shipments > 0")
 
 
 # ---------------------------------------------------------------- F1-F15
@@ -500,6 +505,30 @@ def q_mode_impute(t: Journeys) -> DataFrame:
     return u.withColumn("is_mode", F.row_number().over(w) == 1)
 
 
+# categories are missing where a score is low, so that the fill is used
+_GAPS = {"route_id": ("weather_severity", 0.3), "carrier": ("congestion_score", 0.4), "snapshot_stage": ("weather_severity", 0.1)}
+_GAPPED = ", ".join(f"CASE WHEN {g} >= {x} THEN {c} END AS {c}" for c, (g, x) in _GAPS.items())
+
+
+@register("mode_impute_fitted", O.sql(
+    "SELECT snapshot_id, " + ", ".join(f"coalesce({c}, (SELECT level FROM mode_of WHERE col = '{c}')) AS {c}" for c in _GAPS)
+    + " FROM gapped WHERE split = 'validation'",
+    _IMPUTE_CTES + f""",
+gapped AS (SELECT snapshot_id, split, {_GAPPED} FROM bf),
+level_n AS (""" + " UNION ALL ".join(
+        f"SELECT '{c}' AS col, {c} AS level, count(*) AS n FROM gapped WHERE split = 'train' AND {c} IS NOT NULL GROUP BY {c}"
+        for c in _GAPS) + """),
+mode_of AS (SELECT col, level FROM (SELECT *, row_number() OVER (PARTITION BY col ORDER BY n DESC, level) AS r FROM level_n) WHERE r = 1)"""))
+def q_mode_impute_fitted(t: Journeys) -> DataFrame:
+    """F13 by the preprocessor that the models use: fitted on train, applied to validation."""
+    def gapped(split: str) -> DataFrame:
+        return FE.base_features(t.snapshots_of(split)).withColumns(
+            {c: F.when(F.col(g) >= x, F.col(c)) for c, (g, x) in _GAPS.items()})
+
+    fitted = FE.fit_preprocessor(gapped("train"), FE.CATEGORICAL)
+    return fitted.imputed(gapped("validation")).select("snapshot_id", *FE.CATEGORICAL)
+
+
 # Category levels of the TPC-H-derived test data (route = region
 # name, carrier = order priority) used to spell out the one-hot oracle.
 _LEVELS = {
@@ -1061,3 +1090,70 @@ def q_oof_contract(t: Journeys) -> DataFrame:
     tr = t.snapshots_of("train")
     raw = EN.oof_route_rate(tr, t.shipments_of("train"), t.cfg.folds, t.cfg.fold_salt(0), out="raw_oof_probability")
     return RK.oof_contract(raw, tr)
+
+
+@register("stored_snapshots", O.sql("SELECT * FROM snaps"))
+def q_stored_snapshots(t: Journeys) -> DataFrame:
+    """A2, A1: the base tables written and read again with their fixed schemas."""
+    import uuid
+    from milepost.plans.layout import Layout
+    from milepost.session import ensure_checkpoint_dir
+    from milepost.sources import readers, sinks
+    spark = t.snapshots.sparkSession
+    lay = Layout(f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}")
+    paths = sinks.write_base_tables(lay, t.shipments, t.events, t.snapshots, t.manifest)
+    return readers.read_table(spark, paths["snapshots"], "snapshots")
+
+
+_CASE_COLUMNS = ("\"case\", shipment_id, snapshot_id, route, snapshot_stage, actions, "
+                 "round(p, 3) AS risk_probability, p >= 0.29 AS alert, round(b2, 2) AS predicted_delay_hours, "
+                 "round(target_final_delay_hours, 2) AS actual_final_delay_hours")
+
+
+@register("case_rows", O.sql(
+    f"SELECT {_CASE_COLUMNS} FROM ("
+    f"(SELECT 'S1 highest risk' AS \"case\", *, {_REC_SQL} AS actions FROM te6 WHERE snapshot_stage = 'ORIGIN_DEPARTED' ORDER BY p DESC NULLS LAST, snapshot_id LIMIT 1) UNION ALL "
+    f"(SELECT 'S2 highest structured deviation', *, {_REC_SQL} FROM te6 WHERE snapshot_stage = 'PORT_ARRIVED' ORDER BY direct + structured DESC NULLS LAST, snapshot_id LIMIT 1) UNION ALL "
+    f"(SELECT 'S3 lowest risk', *, {_REC_SQL} FROM te6 WHERE snapshot_stage = 'CUSTOMS_CLEARED' ORDER BY p NULLS LAST, snapshot_id LIMIT 1))", _SCORED))
+def q_case_rows(t: Journeys) -> DataFrame:
+    """L4 on the deterministic predictions (delay: carry-forward; deviations: direct, structured)."""
+    zero = F.lit(0.0)
+    rows = _scored_rows(t).withColumns({
+        "predicted_customs_deviation_hours": F.col("direct"), "predicted_post_customs_deviation_hours": F.col("structured"),
+        "predicted_inland_deviation_hours": zero, "planned_customs_remaining_hours": zero,
+        "planned_post_customs_remaining_hours": zero, "planned_inland_remaining_hours": zero,
+        "predicted_final_delay_hours": F.col("b2_predicted_delay_hours"),
+        "predicted_final_eta": F.col("scheduled_final_eta"),
+        "predicted_material_delay": RK.risk_alert()})
+    return RP.case_rows(rows).drop("predicted_final_eta", "waterfall").withColumn("actions", F.array_join("actions", " | "))
+
+
+@register("validation_report", O.sql(
+    "SELECT method, scope, n_snapshots, round(mae_hours, 3) AS mae_hours, round(rmse_hours, 3) AS rmse_hours FROM reg6 "
+    "WHERE method NOT LIKE 'B%'", _SCORED))
+def q_validation_report(t: Journeys) -> DataFrame:
+    """The table of the three ETA methods."""
+    return RP.report_metrics(EV.regression_metrics(_scored_rows(t), _ALL_METHODS), RP.ETA_REPORT_METHODS)
+
+
+@register("run_summary", O.sql(
+    "SELECT (SELECT CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) FROM manifest) AS train, "
+    "(SELECT CAST(count(*) FILTER (WHERE split = 'validation') AS BIGINT) FROM manifest) AS validation, "
+    "(SELECT CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) FROM manifest) AS test, "
+    "(SELECT CAST(count(*) AS BIGINT) FROM te) AS test_snapshots, round(r.mae_hours, 6) AS eta_mae_hours "
+    "FROM reg6 r WHERE r.method = 'Stage-routed v2 policy' AND r.scope = 'ALL'", _SCORED))
+def q_run_summary(t: Journeys) -> DataFrame:
+    """A4: the record that the job writes as JSON, written and read again."""
+    import uuid
+    from milepost.session import ensure_checkpoint_dir
+    from milepost.sources import sinks
+    spark = t.snapshots.sparkSession
+    rows = _scored_rows(t)
+    sizes = {r.split: r.n for r in t.manifest.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    routed = EV.regression_metrics(rows, {"Stage-routed v2 policy": "routed"}).where("scope = 'ALL'").first()
+    path = f"{ensure_checkpoint_dir(spark)}/summary-{uuid.uuid4().hex}"
+    sinks.write_summary(spark, sizes | {
+        "test_snapshots": sum(r.n_snapshots for r in EV.counts_by_stage(rows).collect()),
+        "eta_mae_hours": routed.mae_hours if routed else None}, path)
+    out = spark.read.schema("train long, validation long, test long, test_snapshots long, eta_mae_hours double").json(path)
+    return out.withColumn("eta_mae_hours", r6("eta_mae_hours"))

@@ -6,10 +6,10 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from milepost.plans.layout import Layout
 
+# The columns of the published risk predictions.
 RISK_PREDICTION_COLUMNS = ("shipment_id", "snapshot_id", "snapshot_stage", "risk_raw_probability",
                            "risk_probability", "risk_level", "predicted_material_delay",
                            "target_is_materially_delayed")
@@ -59,13 +59,16 @@ def save_model(model, path: str) -> str:
     return path
 
 
-def save_json(spark: SparkSession, obj: dict, path: str) -> str:
-    spark.createDataFrame([(json.dumps(obj, sort_keys=True, default=str),)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(path)
+def save_fitted(spark: SparkSession, fitted, path: str) -> str:
+    """A5: a model with its preprocessor, in one folder."""
+    save_model(fitted.model, f"{path}/model")
+    spark.createDataFrame([(fitted.prep.to_json(),)], "value string") \
+        .coalesce(1).write.mode("overwrite").text(f"{path}/preprocessor")
     return path
 
 
-def summary_frame(spark: SparkSession, summary: dict) -> DataFrame:
-    """The summary as a one-row DataFrame (JSON column parsed by Spark)."""
-    return spark.createDataFrame([(json.dumps(summary, sort_keys=True),)], "value string") \
-        .select(F.col("value").alias("summary_json"))
+def load_fitted(spark: SparkSession, path: str, fitted: type, model: type):
+    """What ``save_fitted`` wrote, as ``fitted(prep, model)``: it scores new rows."""
+    from milepost.operators.features import Preprocessor
+    text = spark.read.text(f"{path}/preprocessor").first().value
+    return fitted(Preprocessor.from_json(text), model.load(f"{path}/model"))

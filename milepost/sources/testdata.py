@@ -26,6 +26,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def expected_journeys(spark: SparkSession, sf_dir: str) -> int:
+    """How many journeys the mapping must give: the orders that have lines, counted
+    on the order keys alone."""
+    lines = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return read_table(spark, sf_dir, "orders").select("o_orderkey").distinct() \
+        .join(lines, "o_orderkey", "left_semi").count()
+
+
 def journey_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per journey with planned durations, leg delays (seconds) and the
     five milestone update delays (seconds, NULL = update missing)."""

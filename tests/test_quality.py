@@ -23,7 +23,7 @@ def test_each_mutation_is_detected(small, rule):
 
 def test_strict_mode_raises_first_failed_rule(small):
     sh, ev, sn = QS._mutate("C05", small)
-    with pytest.raises(ValueError, match="Unsupported snapshot stage"):
+    with pytest.raises(ValueError, match="supported stages .C05"):
         Q.validate(sh, ev, sn)
 
 
