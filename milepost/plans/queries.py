@@ -1102,7 +1102,8 @@ def q_stored_snapshots(t: Journeys) -> DataFrame:
     spark = t.snapshots.sparkSession
     lay = Layout(f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}")
     paths = sinks.write_base_tables(lay, t.shipments, t.events, t.snapshots, t.manifest)
-    return readers.read_table(spark, paths["snapshots"], "snapshots")
+    back = readers.read_table(spark, paths["snapshots"], "snapshots")
+    return back.select([F.col(c).cast(kind) for c, kind in t.snapshots.dtypes])
 
 
 _CASE_COLUMNS = ("\"case\", shipment_id, snapshot_id, route, snapshot_stage, actions, "
