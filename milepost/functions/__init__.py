@@ -5,11 +5,11 @@ from milepost.functions.time import (
     micros_between,
 )
 from milepost.functions.expr import (
-    fold_of, hash_bucket, latest_observed, md5_int, right_closed_bin, sql_str,
+    fold_of, latest_observed, md5_int, right_closed_bin,
 )
 
 __all__ = [
     "add_hours", "add_seconds", "hours_between", "iso_instant",
-    "round_hours_from_micros", "micros_between", "fold_of", "hash_bucket",
-    "latest_observed", "md5_int", "right_closed_bin", "sql_str",
+    "round_hours_from_micros", "micros_between", "fold_of",
+    "latest_observed", "md5_int", "right_closed_bin",
 ]

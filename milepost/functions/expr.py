@@ -24,11 +24,6 @@ def fold_of(key, salt: str, k: int) -> Column:
     return F.pmod(md5_int(salt, key), F.lit(k)).cast("int")
 
 
-def hash_bucket(key, salt: str, bits: int) -> Column:
-    """Top ``bits`` of the 32-bit md5 prefix (histogram bucket for rank-free cuts)."""
-    return F.shiftright(md5_int(salt, key), 32 - bits).cast("int")
-
-
 def latest_observed(stage="snapshot_stage",
                     departure="observed_departure_delay_hours",
                     port="observed_port_arrival_delay_hours",
@@ -52,7 +47,3 @@ def right_closed_bin(x, edges: Sequence[float], labels: Sequence[str],
         cond = lower & (x <= hi)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr
-
-
-def sql_str(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
