@@ -84,13 +84,23 @@ def first_keys(a, chunk: Chunk):
     return key, shared, np.where(low == high, low, MANY).astype(np.uint32), inverse
 
 
-def shared_anchors(_: int, entries: list[bytes], hot: int | None = None) -> list[bytes]:
+def runs_per_key(inverse: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """How many distinct runs each key (by its number) has in a chunk."""
+    order = np.lexsort((run, inverse))
+    key, run = inverse[order], run[order]
+    fresh = np.r_[True, (key[1:] != key[:-1]) | (run[1:] != run[:-1])][:len(key)]
+    return np.bincount(key[fresh]).astype(np.uint32)
+
+
+def shared_anchors(_: int, entries: list[bytes], hot: int | None = None, hot_runs: int | None = None) -> list[bytes]:
     """Per entry: 0 unique, 1 shared and all runs equal, 2 shared with several runs,
-    3 the same in more than ``hot`` chunks."""
-    size = [len(e) // 9 for e in entries]
-    raw = np.frombuffer(b"".join(entries), np.uint8).reshape(-1, 9)
+    3 the same in more than ``hot`` chunks or with more than ``hot_runs`` runs, each
+    chunk's distinct ones added up (entries then end with their number)."""
+    width = 9 if hot_runs is None else 13
+    size = [len(e) // width for e in entries]
+    raw = np.frombuffer(b"".join(entries), np.uint8).reshape(-1, width)
     h = from_low_bytes(raw[:, :5])
-    run = np.ascontiguousarray(raw[:, 5:]).reshape(-1).view("<u4")
+    run = np.ascontiguousarray(raw[:, 5:9]).reshape(-1).view("<u4")
     order = np.argsort(h & LOW39, kind="stable")
     start = groups((h & LOW39)[order])
     n = np.diff(np.r_[start, len(h)])
@@ -101,6 +111,9 @@ def shared_anchors(_: int, entries: list[bytes], hot: int | None = None) -> list
     kind = np.where(shared, 1 + several, 0)
     if hot is not None:
         kind[(kind == 2) & (n > hot)] = 3
+    if hot_runs is not None:
+        count = np.ascontiguousarray(raw[:, 9:]).reshape(-1).view("<u4").astype(np.int64)
+        kind[(kind == 2) & (np.add.reduceat(count[order], start) > hot_runs)] = 3
     state[order] = np.repeat(kind, n)
     return chunks.split(state, size)
 

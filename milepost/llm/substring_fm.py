@@ -13,10 +13,10 @@ are reported.  All windows of a stretch contain its middle, so a stretch whose
 middle has no smaller occurrence is settled at once; else the right end of each
 maximal match is found by bisection and its left end by one search.
 
-Skew: a chunk sends equal stretches once, with their smallest id; an anchor in
-very many chunks whose stretches differ is cut into single windows, which go to
-shards by their own hash, so a phrase in a third of all documents is one entry a
-chunk.  Shards have a bounded number of entries.
+Skew: a chunk sends equal stretches once, with their smallest id; an anchor with
+very many differing stretches (each chunk tells how many it has) is cut into
+single windows, which go to shards by their own hash, so that no shard gets all
+stretches around a phrase that a third of all documents hold.
 
 Defined results: null has no words; every row gives one row; rows with equal ids
 remove nothing from each other; null ids come after all ids and remove nothing
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from milepost.llm import chunks
 from milepost.llm.anchors import (
-    FLAG, LOW39, SEGMENT, bucket_of, first_keys, from_low_bytes, low_bytes, pair_rank, runs, send, shared_anchors, stretches)
+    FLAG, LOW39, SEGMENT, bucket_of, first_keys, from_low_bytes, low_bytes, pair_rank, runs, runs_per_key, send,
+    shared_anchors, stretches)
 from milepost.llm.chunks import Chunk
 from milepost.llm.common import id_text, read_table
 from milepost.llm.fm_index import FmIndex
@@ -44,6 +45,8 @@ GRAM = 8
 SYMBOL_BYTES = 6
 #: Chunks from which an anchor with differing stretches is cut into windows.
 HOT_CHUNKS = 2000
+#: Differing stretches from which an anchor is cut, whatever the number of chunks.
+HOT_STRETCHES = 2000
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -139,15 +142,17 @@ def matched_windows(index: FmIndex, n: np.ndarray, weight: np.ndarray) -> np.nda
 
 
 class Rounds:
-    def __init__(self, n_buckets: int, n_shards: int, hot_chunks: int):
-        self.n, self.shards, self.hot = n_buckets, n_shards, hot_chunks
+    def __init__(self, n_buckets: int, n_shards: int, hot_chunks: int, hot_stretches: int = HOT_STRETCHES):
+        self.n, self.shards, self.hot, self.hot_stretches = n_buckets, n_shards, hot_chunks, hot_stretches
 
     def ask_anchors(self, chunk: Chunk, _):
-        key, shared, run, _ = first_keys(Stretches(chunk), chunk)
-        return send(key, self.n, low_bytes((key & LOW39) | np.where(shared, FLAG, np.uint64(0))), run)
+        s = Stretches(chunk)
+        key, shared, run, inverse = first_keys(s, chunk)
+        return send(key, self.n, low_bytes((key & LOW39) | np.where(shared, FLAG, np.uint64(0))), run,
+                    runs_per_key(inverse, s.run))
 
     def answer_anchors(self, bucket: int, entries: list[bytes]) -> list[bytes]:
-        return shared_anchors(bucket, entries, self.hot)
+        return shared_anchors(bucket, entries, self.hot, self.hot_stretches)
 
     def sent(self, chunk: Chunk, answers: list):
         """Stretches of shared anchors, hot ones as single windows: document, first
@@ -201,10 +206,12 @@ class Rounds:
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 hot_chunks: int = HOT_CHUNKS, chunk_bytes: int = chunks.CHUNK) -> DataFrame:
+                 hot_chunks: int = HOT_CHUNKS, chunk_bytes: int = chunks.CHUNK,
+                 hot_stretches: int = HOT_STRETCHES) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the remaining words, joined by a space)."""
     packed = chunks.pack(id_text(docs, id_col, text_col), chunk_bytes)
-    rounds = Rounds(chunks.buckets(packed, 1 << 20, 1 / 130), chunks.buckets(packed, 6000, 1 / 440), hot_chunks)
+    rounds = Rounds(chunks.buckets(packed, 1 << 20, 1 / 130), chunks.buckets(packed, 6000, 1 / 440),
+                    hot_chunks, hot_stretches)
     asked = chunks.ask(packed, rounds.ask_anchors, rounds.answer_anchors, "anchors")
     asked = chunks.ask(asked, rounds.ask_stretches, lambda _, entries: search(entries), "stretches")
 

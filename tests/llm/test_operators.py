@@ -96,6 +96,24 @@ def test_substring_fm(spark, rows, chunk_bytes, hot):
     assert sum(x[2] for x in got) > 500
 
 
+def test_substring_fm_spreads_a_phrase_that_one_chunk_holds_often():
+    from milepost.llm.chunks import Chunk
+    r = random.Random(3)
+    phrase = b" ".join(b"p%d" % i for i in range(44))
+    texts = [b" ".join([*(b"%x" % r.getrandbits(40) for _ in range(12)), phrase,
+                        *(b"%x" % r.getrandbits(40) for _ in range(12))]) for _ in range(3000)]
+    chunk = Chunk(np.arange(len(texts)), np.zeros(len(texts), bool), texts)
+    rounds = substring_fm.Rounds(2, 64, substring_fm.HOT_CHUNKS)
+    replies = b"".join(rounds.answer_anchors(b, [e])[0] for b, e in rounds.ask_anchors(chunk, []))
+    sent = [len(substring_fm._unpack(e)[0]) for _, e in rounds.ask_stretches(chunk, [replies])]
+    assert len(sent) == 64 and max(sent) < 2 * sum(sent) / 64
+
+
+def test_substring_fm_cuts_anchors_by_their_stretches(spark, rows):
+    whole = collected(substring_fm.deduplicated(frame(spark, rows)))
+    assert collected(substring_fm.deduplicated(frame(spark, rows), hot_stretches=1)) == whole
+
+
 def test_chunks_keep_their_numbers_when_a_task_runs_again(spark, rows):
     from milepost.llm import chunks
     docs = frame(spark, rows).select("doc_id", "text")
