@@ -89,6 +89,17 @@ def test_near_duplicate_stage_with_odd_ids(spark):
     assert sorted((repr(x.doc_id), x.text) for x in got) == [("1", "a b c d e"), ("3", None), ("None", "x y z v w")]
 
 
+def test_near_duplicate_stage_keeps_one_row_of_every_group(spark):
+    from milepost.llm import simhash
+    rows = [(7, "apple pear plum fig lime"), (7, "zebra lion wolf bear lynx"), (7, "zebra lion wolf bear lynx"),
+            (2, "copy of one text here"), (8, "copy of one text here"), (8, "alone in its own group"),
+            (None, "zebra lion wolf bear lynx"), (None, "without any id at all")]
+    want = [(2, rows[3][1]), (7, rows[0][1]), (7, rows[1][1]), (8, rows[5][1]), (None, rows[7][1])]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", *[f"'x' AS {c}" for c in ("keep_id", "Label", "fp", "rank", "n", "key_id", "key_fp", "least")])).collect()
+    assert sorted(((x.doc_id, x.text) for x in got), key=repr) == sorted(want, key=repr)
+
+
 def test_language_stage_with_clashing_columns(spark):
     from milepost.llm import langid
     rows = [(i, "the cat and the dog", "en", "x") for i in range(9)] + [(9, None, "en", "x")]
