@@ -3,8 +3,13 @@
 Base patterns (assignments, access keys, hex runs) report as they are.  Beyond
 them, base64 and hex candidates are decoded and reported only when their
 structure confirms a secret: a signed token whose header is JSON with an
-``alg``, or a key encoding (DER) whose nested lengths add up, bare or between
-PEM lines.  Spans are code points, end exclusive.
+``alg``, or a key encoding (DER, also password-encrypted) whose nested lengths
+add up, bare or between PEM lines.  Line ends inside a key may be real or escaped
+(backslash and n or r), base64 of either alphabet, hex of either case; a bare key
+is read as far as its outer length says and must end there.  A PEM body that its
+headers call encrypted has no structure of its own: its headers must name cipher
+and vector, and its length must fit the cipher's blocks.  Spans are code points,
+end exclusive.
 
 Defined results: null text is empty text (no spans); every row gives one row;
 a null id stays null; other columns are ignored; an empty table gives no rows.
@@ -27,9 +32,23 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
                     r"([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a shorter run holds no match at all
 HEX = re.compile(r"[0-9a-f]{24,}")
-SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/])M[A-Za-z0-9+/]{39,}={0,2}")
+# The first byte of a header is a brace or a JSON blank.
+SIGNED = re.compile(r"(?:(?<![A-Za-z0-9_-])|(?<=\\[nrt]))([CDIe][A-Za-z0-9_-]{10,}+)"
+                    r"\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+)")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*+(?:-(?!----)[^-]*+)*+)-----END \1-----")
+ENCRYPTED = re.compile(r"Proc-Type:\s*4,\s*ENCRYPTED\s+DEK-Info:\s*([A-Z0-9-]+),\s*([0-9A-Fa-f]+)")
+HEADER = re.compile(r"^[ \t]*[A-Za-z][A-Za-z0-9-]*:.*(?:\n[ \t]+\S.*)*", re.M)
+_ESCAPED_END = re.compile(r"\\+r\\+n|\\+[nr]|\\(?=[\r\n])|\r\n?")
+_LINE_END = r"[ \t]*+(?:(?:\r|\n|\\+[nr]|\\(?=[\r\n]))[ \t]*+)++"
+# Where a DER SEQUENCE may begin: 0x30 and a length.
+BASE64 = re.compile(r"(?:(?<![A-Za-z0-9+/])|(?<=\\[nrt]))(?=(M[A-P][A-Za-z0-9+/_-]{14}))")
+DERHEX = re.compile(r"(?<![0-9A-Fa-f])(?=(30[0-9A-Fa-f]{22}))")
+_LINE = {16: re.compile(r"[0-9A-Fa-f]++"), 64: re.compile(r"[A-Za-z0-9+/_-]++")}
+_END = re.compile(_LINE_END)
+#: Least base64 letters of a bare key.
+SHORTEST_KEY = 40
+# Algorithms of an encrypted key: PKCS 5 and the password-based ones of PKCS 12.
+PASSWORD_BASED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 KINDS = ("assign", "access", "hex", "signed", "pem", "der", "derhex")
 SHORTEST_VALUE = 6
 
@@ -49,7 +68,8 @@ def _der_length(raw: bytes, at: int) -> tuple[int, int] | None:
 
 def is_key_der(raw: bytes) -> bool:
     """A SEQUENCE that fills its input, begins with a small version INTEGER, and
-    whose further elements end exactly where it ends."""
+    whose further elements end exactly where it ends; or an encrypted key, a
+    password-based algorithm and an OCTET STRING."""
     if not raw or raw[0] != 0x30:
         return False
     outer = _der_length(raw, 0)
@@ -62,9 +82,17 @@ def is_key_der(raw: bytes) -> bool:
             return False
         tags.append((raw[at], inner[1] - inner[0]))
         at = inner[1]
+    if [t for t, _ in tags] == [0x30, 0x04]:
+        return tags[1][1] > 0 and _password_based(raw, _der_length(raw, outer[0]))
     return len(tags) >= 2 and tags[0] == (0x02, 1) and tags[1][0] in (0x02, 0x04, 0x30)
 
 
+def _password_based(raw: bytes, algorithm: tuple[int, int]) -> bool:
+    oid = _der_length(raw, algorithm[0])
+    return oid is not None and oid[1] <= algorithm[1] and raw[algorithm[0]] == 0x06 \
+        and raw[oid[0]:oid[1]].startswith(PASSWORD_BASED)
+
+
 def _b64(text: str, urlsafe: bool = False) -> bytes | None:
     body = re.sub(r"\s+", "", text).rstrip("=")
     if len(body) % 4 == 1:
@@ -85,21 +113,91 @@ def is_signed_token(header: str, payload: str, signature: str) -> bool:
     return isinstance(alg, str) and isinstance(body, dict) and (bool(signature) or alg.lower() == "none")
 
 
+def is_pem_key(body: str) -> bool:
+    """Whether what stands between PEM lines holds a key."""
+    body = _ESCAPED_END.sub("\n", body).replace("\\t", "\t").replace("\\/", "/")
+    encrypted = ENCRYPTED.search(body)
+    raw = _b64(HEADER.sub("", ENCRYPTED.sub("", body)))
+    if not raw:
+        return False
+    if encrypted:
+        vector = len(encrypted[2]) // 2
+        return vector in (8, 16) and len(encrypted[2]) % 2 == 0 and len(raw) % vector == 0
+    return is_key_der(raw) or raw.startswith(b"openssh-key-v1\0")
+
+
+def _bare_key(text: str, at: int, head: bytes, base: int) -> int | None:
+    """End of the key that begins at ``at`` in base64 (64) or hex (16) letters,
+    maybe over several lines; ``head`` is its decoded beginning."""
+    if head[0] != 0x30:
+        return None
+    n, start = head[1], 2
+    if n & 0x80:
+        start += n & 0x7F
+        if not 3 <= start <= 6:
+            return None
+        n = int.from_bytes(head[2:start], "big")
+    if head[start] not in (0x02, 0x30):
+        return None
+    letters = 2 * (start + n) if base == 16 else (4 * (start + n) + 2) // 3
+    if letters > len(text) - at:
+        return None
+    lines, have, end = [], 0, at
+    while line := _LINE[base].match(text, end):
+        lines.append(line[0])
+        have, end = have + len(line[0]), line.end()
+        if have >= letters:
+            break
+        gap = _END.match(text, end)
+        if not gap:
+            break
+        end = gap.end()
+    if have < letters:
+        return None
+    body = "".join(lines)
+    rest = body[letters:]
+    if base == 16:
+        return end if not rest and is_key_der(bytes.fromhex(body)) else None
+    end, body = end - len(rest), body[:letters]
+    urlsafe = "-" in body or "_" in body
+    if letters < SHORTEST_KEY or rest and (urlsafe or rest[0] not in "-_"):
+        return None
+    raw = _b64(body, urlsafe)
+    if raw is None or not is_key_der(raw):
+        return None
+    for _ in range(-letters % 4):
+        end += text.startswith("=", end)
+    return end
+
+
+def _bare_keys(text: str, start: re.Pattern, base: int, kind: int) -> list[tuple[int, int, int]]:
+    out, done = [], 0
+    for m in start.finditer(text):
+        if m.start() >= done:
+            head = bytes.fromhex(m[1]) if base == 16 else _b64(m[1].translate(_STANDARD))
+            end = _bare_key(text, m.start(), head, base)
+            if end is not None:
+                out.append((m.start(), kind, end))
+                done = end
+    return out
+
+
+_STANDARD = str.maketrans("-_", "+/")
+
+
 def confirmed(text: str) -> list[tuple[int, int, int]]:
     """Spans that only their decoded structure makes a secret."""
-    out = []
-    if "eyJ" in text:
-        out += [(m.start(), 3, m.end()) for m in SIGNED.finditer(text) if is_signed_token(*m.groups())]
+    out, at = [], 0
+    while m := SIGNED.search(text, at):
+        fine = is_signed_token(*m.groups())
+        if fine:
+            out.append((m.start(), 3, m.end()))
+        at = m.end() if fine else m.end(1)
     if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            raw = _b64(m[2])
-            if raw is not None and (is_key_der(raw) or raw.startswith(b"openssh-key-v1\0")):
-                out.append((m.start(), 4, m.end()))
+        out += [(m.start(), 4, m.end()) for m in PEM.finditer(text) if is_pem_key(m[2])]
     inside = [(a, b) for a, k, b in out if k == 4]
-    for m in BASE64.finditer(text):
-        raw = _b64(m[0])
-        if raw is not None and is_key_der(raw) and not any(a <= m.start() < b for a, b in inside):
-            out.append((m.start(), 5, m.end()))
+    for start, base, kind in ((BASE64, 64, 5), (DERHEX, 16, 6)):
+        out += [x for x in _bare_keys(text, start, base, kind) if not any(a <= x[0] < b for a, b in inside)]
     return out
 
 
@@ -112,7 +210,7 @@ def scan(text: str) -> list[tuple[int, int, int]]:
         out.append((m.start(), 2, m.end()))
         if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_key_der(bytes.fromhex(m[0])):
             out.append((m.start(), 6, m.end()))
-    return sorted(out + confirmed(text))
+    return sorted(set(out + confirmed(text)))
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -289,6 +289,53 @@ def test_secret_scan(spark):
     assert jwt not in clean[0] and fake in clean[0] and clean[1] is None
 
 
+def secret_cases():
+    """Texts with one key each, and the kind that is to cover it from its place on."""
+    import base64
+    import json
+
+    def element(tag, *parts):
+        body = b"".join(parts)
+        n = len(body)
+        return bytes([tag, *([n] if n < 128 else [0x82, n >> 8, n & 255])]) + body
+
+    r = random.Random(5)
+    ed = element(0x30, element(2, b"\0"), element(0x30, element(6, b"\x2b\x65\x70")), element(4, element(4, r.randbytes(32))))
+    rsa = element(0x30, element(2, b"\0"), *[element(2, b"\1" + b"\xfb\xff" * 4 + r.randbytes(n)) for n in (256, 2, 255, 128, 127)])
+    pbes2 = element(0x30, element(0x30, element(6, bytes.fromhex("2a864886f70d01050d")), element(0x30, r.randbytes(50))),
+                    element(4, r.randbytes(160)))
+    digest = element(0x30, element(0x30, element(6, bytes.fromhex("608648016503040201")), element(5)), element(4, r.randbytes(32)))
+    b64 = lambda x: base64.b64encode(x).decode()
+    url = lambda x: base64.urlsafe_b64encode(x).decode().rstrip("=")
+    wrap = lambda t, end, n=64: end.join(t[i:i + n] for i in range(0, len(t), n))
+    pem = lambda name, body, end: f"-----BEGIN {name}-----{end}{body}{end}-----END {name}-----"
+    old = "Proc-Type: 4,ENCRYPTED{0}DEK-Info: AES-128-CBC,{1}{0}{0}".format
+    token = lambda h: f"{url(h)}.{url(json.dumps({'sub': '1'}).encode())}.c2ln"
+    found = [
+        (pem("PRIVATE KEY", b64(ed), "\\n"), "pem"), (pem("RSA PRIVATE KEY", wrap(b64(rsa), "\\n"), "\\n"), "pem"),
+        (pem("RSA PRIVATE KEY", wrap(b64(rsa), "\\r\\n"), "\\r\\n"), "pem"),
+        (pem("RSA PRIVATE KEY", old("\n", "AB" * 16) + wrap(b64(r.randbytes(608)), "\n"), "\n"), "pem"),
+        (pem("RSA PRIVATE KEY", old("\\n", "AB" * 16) + wrap(b64(r.randbytes(608)), "\\n"), "\\n"), "pem"),
+        (pem("ENCRYPTED PRIVATE KEY", wrap(b64(pbes2), "\n"), "\n"), "pem"),
+        (wrap(b64(rsa), "\n"), "der"), (wrap(b64(rsa), "\r\n  ", 76), "der"), (wrap(b64(rsa), "\\n"), "der"),
+        (url(rsa), "der"), (url(ed), "der"), (b64(pbes2), "der"), (rsa.hex().upper(), "derhex"), (wrap(rsa.hex(), "\n"), "derhex"),
+        (token(b'{ "alg": "HS256"}'), "signed"), (token(b'{\r\n "alg": "HS256"}'), "signed"), (token(b'\n{"alg": "HS256"}'), "signed")]
+    bad = old("\n", "AB" * 16) + b64(r.randbytes(607))
+    none = [b64(digest), url(rsa)[:-4], wrap(b64(rsa[:-3]), "\n"), rsa.hex().upper()[:-2], pem("RSA PRIVATE KEY", bad, "\n"),
+            pem("ENCRYPTED PRIVATE KEY", b64(r.randbytes(160)), "\n"), token(b'{ "typ": "x"}')]
+    return found, none
+
+
+def test_secret_scan_decodes_every_usual_form():
+    found, none = secret_cases()
+    for body, kind in found:
+        for before, after in (("", ""), ("key: ", " end"), ("words before\n", "\nWords after"), ('{"k": "a\\n', '\\n"}')):
+            spans = [x for x in secret_scan.scan(before + body + after) if x[1] >= 3]
+            assert spans == [(len(before), secret_scan.KINDS.index(kind), len(before + body))], (body, before)
+    for body in none:
+        assert not [x for x in secret_scan.scan(f"a {body} z") if x[1] >= 3], body
+
+
 def test_pii(spark):
     rows = [(1, "Mail Ann.B@Site4.example.org or ann.b@site4.example.org, call +1 (017) 555-7713.", None),
             (2, "+1-017-555-7713 and 4952935900253052, not 9807915762804490; 10.0.0.1 1.2.3.4.5 999.1.1.1", None),
