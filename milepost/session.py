@@ -72,3 +72,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     lost executor does not force recomputation of the whole upstream plan."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a run's own folder through the file system that holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
