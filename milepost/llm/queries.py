@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from milepost.llm import bpe_codec, decontaminate, langid, minhash, pii, secret_scan, simhash, substring_fm, suffix_dedup, token_count
+from milepost.llm import (
+    bpe_codec, decontaminate, langid, lexical_search, minhash, pii, secret_scan, simhash, substring_fm, suffix_dedup,
+    token_count, warc, whitening)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_token_count": token_count.query,
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_minhash": minhash.query,
+    "op11_warc": warc.query,
+    "op12_whitening": whitening.query,
+    "op13_lexical_search": lexical_search.query,
 }
 
-SQL = {"op1_decontaminate": decontaminate.SQL}
+SQL = {"op1_decontaminate": decontaminate.SQL, "op11_warc": warc.SQL, "op13_lexical_search": lexical_search.SQL}
