@@ -1,10 +1,12 @@
 """Exact medians by group without gathering a group in one task.
 
 Rows shrink to counts per (group, value) in one partially aggregated pass over the
-rows, written once (cut_lineage); what follows works on that small table.  The values of a group are cut into equal ranges between
-its minimum and maximum, the ranges' totals give rank offsets (at most ``RANGES``
-rows a group), and only the one or two ranges that hold the middle ranks are
-sorted.  The same code runs at every size.
+rows, written once (cut_lineage); what follows works on that small table.  Where a
+group has more than ``SORTED`` distinct values, edges taken from the values themselves
+(their approximate quantiles) part them into ``RANGES`` ranges of about equally many
+distinct values, whatever their spread; the ranges' totals tell which range holds the
+middle rank, and only its values go on, to be parted again while they are too many.
+What remains is sorted: at most ``SORTED`` distinct values of a group in one task.
 """
 
 from __future__ import annotations
@@ -17,6 +19,12 @@ from pyspark.sql import functions as F
 from milepost.session import cut_lineage
 
 RANGES = 1024
+SORTED = 3 * RANGES
+#: Rank error of the edges is the number of values over this.
+ACCURACY = 20 * RANGES
+#: Groups being parted whose edges (8 KB each) are broadcast; more are dealt by salt.
+BROADCAST_GROUPS = 1000
+SALTS = 32
 
 
 def value_counts(rows: DataFrame, keys: Sequence[str], value: str | Column) -> DataFrame:
@@ -41,31 +49,78 @@ def _same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -
     return a.join(right, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def median_of_counts(counts: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+def _of_group(values: DataFrame, groups: DataFrame, g: Sequence[str], n_groups: int) -> DataFrame:
+    """Values joined with their group's row; a group's values stay spread out."""
+    if n_groups <= BROADCAST_GROUPS:
+        return _same(values, F.broadcast(groups), g)
+    salted = values.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return _same(salted, copies, [*g, "_salt"]).drop("_salt")
+
+
+def _range_of(v: Column, edges: Column, every32: Column) -> Column:
+    """How many edges lie below v: whole 32s first, then within the 32 that follow."""
+    whole = F.size(F.filter(every32, lambda e: e < v)) * 32
+    return whole + F.size(F.filter(F.slice(edges, whole + 1, F.lit(32)), lambda e: e < v))
+
+
+def _low(total: Column) -> Column:
+    return F.floor((total - 1) / 2)
+
+
+def _high(total: Column) -> Column:
+    return F.floor(total / 2)
+
+
+def middle_values(counts: DataFrame, g: Sequence[str], sorted_values: int = SORTED) -> DataFrame:
+    """g..., _v, _n, _before, _total: for each group the values around its middle, at
+    most ``sorted_values`` distinct ones, with the number of rows below them and in all."""
+    active = counts.where(F.col("_v").isNotNull()).select(*g, "_v", "_n")
+    edge = F.percentile_approx("_v", F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)]), F.lit(ACCURACY))
+    done = None
+    sizes = cut_lineage(active.groupBy(*g).agg(F.count(F.lit(1)).alias("_d"), F.sum("_n").alias("_total"))
+                        .withColumn("_before", F.lit(0).cast("long")))
+    while True:
+        large = sizes.where(F.col("_d") > sorted_values)
+        n = large.count()
+        small = sizes if n == 0 else sizes.where(F.col("_d") <= sorted_values)
+        part = _same(active, small.drop("_d"), g)
+        done = part if done is None else done.unionByName(part)
+        if n == 0:
+            return done
+        values = _of_group(active, large.select(*g), g, n)
+        edges = cut_lineage(values.groupBy(*g).agg(F.sort_array(edge).alias("_edges")).withColumn(
+            "_every32", F.filter("_edges", lambda e, i: i % 32 == 31)))
+        cut = _of_group(values, edges, g, n).withColumn(
+            "_b", _range_of(F.col("_v"), F.col("_edges"), F.col("_every32"))).drop("_edges", "_every32")
+        ranges = _same(cut.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"), F.count(F.lit(1)).alias("_bd")),
+                       large.drop("_d"), g)
+        ranges = ranges.withColumn("_before", F.col("_before") + F.sum("_bn").over(
+            Window.partitionBy(*g).orderBy("_b")) - F.col("_bn"))
+        middle = cut_lineage(
+            ranges.where((F.col("_before") <= _high(F.col("_total"))) & (F.col("_before") + F.col("_bn") > _low(F.col("_total"))))
+            .groupBy(*g).agg(F.min("_b").alias("_from"), F.max("_b").alias("_to"), F.sum("_bd").alias("_d"),
+                             F.min("_before").alias("_before"), F.max("_total").alias("_total")))
+        active = cut_lineage(_of_group(cut, middle.select(*g, "_from", "_to"), g, n)
+                             .where(F.col("_b").between(F.col("_from"), F.col("_to"))).select(*g, "_v", "_n"))
+        sizes = middle.select(*g, "_d", "_total", "_before")
+
+
+def median_of_counts(counts: DataFrame, keys: Sequence[str], out: str, sorted_values: int = SORTED) -> DataFrame:
     """One row per group of ``counts`` (see value_counts): its median, the mean of
     the two middle values where the count is even, NULL without a value.  Without
     keys there is always one row."""
     g = list(keys) or ["_all"]
-    c = (counts if keys else counts.withColumn("_all", F.lit(0))).where(F.col("_v").isNotNull())
-    span = c.groupBy(*g).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total"))
-    place = F.when(F.col("_hi") > F.col("_lo"), F.least(
-        F.lit(RANGES - 1), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * RANGES))).otherwise(0)
-    cut = _same(c, span, g).withColumn("_b", place.cast("int"))
-    ranges = cut.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"), F.max("_total").alias("_t"))
-    before = F.sum("_bn").over(Window.partitionBy(*g).orderBy("_b")) - F.col("_bn")
-    low, high = F.floor((F.col("_t") - 1) / 2), F.floor(F.col("_t") / 2)
-    middle = (ranges.withColumn("_before", before)
-              .where((F.col("_before") <= high) & (F.col("_before") + F.col("_bn") > low))
-              .select(*g, "_b", "_before", "_t"))
-    inside = _same(cut.select(*g, "_b", "_v", "_n"), middle, [*g, "_b"])
-    end = F.col("_before") + F.sum("_n").over(Window.partitionBy(*g, "_b").orderBy("_v"))
+    inside = middle_values(counts if keys else counts.withColumn("_all", F.lit(0)), g, sorted_values)
+    end = F.col("_before") + F.sum("_n").over(Window.partitionBy(*g).orderBy("_v"))
     at = inside.withColumn("_end", end)
 
     def holds(rank: Column) -> Column:
         return F.max(F.when((F.col("_end") > rank) & (F.col("_end") - F.col("_n") <= rank), F.col("_v")))
 
     mid = F.when(F.col("_a") == F.col("_z"), F.col("_a")).otherwise(F.col("_a") * 0.5 + F.col("_z") * 0.5)
-    found = at.groupBy(*keys).agg(holds(low).alias("_a"), holds(high).alias("_z")).select(*keys, mid.alias(out))
+    found = at.groupBy(*keys).agg(holds(_low(F.col("_total"))).alias("_a"), holds(_high(F.col("_total"))).alias("_z")) \
+        .select(*keys, mid.alias(out))
     return _same(counts.select(*keys).distinct(), found, keys, "left") if keys else found
 
 

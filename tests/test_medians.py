@@ -29,6 +29,30 @@ def test_grouped_median_is_exact_under_a_hot_group(spark):
     assert len(none) == 1 and none[0].v is None
 
 
+@pytest.mark.parametrize("sorted_values", [8, quantile.SORTED])
+def test_repeated_splitting_is_exact(spark, monkeypatch, sorted_values):
+    monkeypatch.setattr(quantile, "BROADCAST_GROUPS", 2)  # the salted way as well
+    r = random.Random(8)
+    rows = [(r.choice([None, "a", "b", "c"]), r.choice([10.0 ** r.randint(-300, 300), -r.random(), r.randint(0, 3) * 1.0]))
+            for _ in range(4000)] + [("one", 5.0), ("two", 1.0), ("two", 4.0), ("none", None), ("d", float("inf"))]
+    df = spark.createDataFrame(rows, "k string, v double")
+    counts = quantile.value_counts(df, ["k"], "v")
+    got = {x.k: x.m for x in quantile.median_of_counts(counts, ["k"], "m", sorted_values).collect()}
+    for k in {k for k, _ in rows}:
+        own = sorted(v for g, v in rows if g == k and v is not None)
+        assert got[k] == (pytest.approx(statistics.median(own), rel=1e-15) if own else None)
+
+
+def test_no_task_sorts_a_large_part_of_skewed_values(spark):
+    n = 2_000_000
+    rows = spark.range(n).select(F.when(F.col("id") == 7, F.lit(1e12)).otherwise(F.col("id") * 0.5).alias("v"))
+    counts = quantile.cut_lineage(quantile.value_counts(rows, [], "v").withColumn("_all", F.lit(0)))
+    left = quantile.middle_values(counts, ["_all"])
+    assert left.count() <= 2 * n / 1024
+    assert quantile.median_of_counts(counts.drop("_all"), [], "m").first().m == statistics.median(
+        [1e12 if i == 7 else i * 0.5 for i in range(n)])
+
+
 def test_no_median_aggregate_over_fact_rows(spark):
     df = spark.createDataFrame(_rows(50), "shipment_id string, route string, v double")
     plan = quantile.grouped_median(df, ["route"], "v", "m")._jdf.queryExecution().executedPlan().toString()
