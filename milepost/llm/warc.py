@@ -19,8 +19,9 @@ inside a line leaves it to the one before), so a split's first line begins where
 the lines of the splits before it end - a running sum over one row per split.
 
 Skew: a payload that a third of the pages share costs partial sums; its pages find
-the chosen one by (payload, salt).  One broadcast: a row per split of the archives,
-counted first; beyond ``SPLITS`` rows the lines are dealt to the splits instead.
+the chosen one by (payload, salt).  Broadcast, each counted first: the chosen ones, up
+to ``BROADCAST_ROWS`` (beyond it pages are dealt by payload and salt); a row per split
+of the archives, up to ``SPLITS`` (beyond it lines are dealt to the splits).
 
 Defined results: null html is an empty payload; a null id is written without one
 and read as null, and is chosen only where no row of the payload has an id; rows
@@ -48,6 +49,7 @@ from milepost.session import ensure_checkpoint_dir, remove_folder
 
 LEAST = 1000  # bytes from which equal payloads are kept once
 SALTS = 32
+BROADCAST_ROWS = 50_000  # of some 80 bytes
 SPLITS = 1_000_000
 END = 4  # a record ends with two line ends
 MAGIC = "WARC/1."
@@ -84,6 +86,9 @@ def with_original(pages: DataFrame, least: int = LEAST) -> DataFrame:
     many = part.groupBy("strong").agg(F.max("top").alias("top"), F.sum("n").alias("n"),
                                       F.collect_set("salt").alias("salts")) \
         .where("n > 1 AND top IS NOT NULL").select("strong", F.explode("salts").alias("salt"), "top")
+    many = checkpointed(many)
+    if many.count() <= BROADCAST_ROWS:  # the payloads stay where they are
+        many = F.broadcast(many)
     return own.join(many, ["strong", "salt"], "left").select(
         "page_id", "url", "html", "size", F.when(~F.col("page_id").eqNullSafe(F.col("top")), F.col("top")).alias("original"))
 
