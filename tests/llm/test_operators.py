@@ -302,7 +302,8 @@ def secret_cases():
     r = random.Random(5)
     ed = element(0x30, element(2, b"\0"), element(0x30, element(6, b"\x2b\x65\x70")), element(4, element(4, r.randbytes(32))))
     rsa = element(0x30, element(2, b"\0"), *[element(2, b"\1" + b"\xfb\xff" * 4 + r.randbytes(n)) for n in (256, 2, 255, 128, 127)])
-    pbes2 = element(0x30, element(0x30, element(6, bytes.fromhex("2a864886f70d01050d")), element(0x30, r.randbytes(50))),
+    pbes2 = element(0x30, element(0x30, element(6, bytes.fromhex("2a864886f70d01050d")), element(0x30, element(0x30, element(6, bytes.fromhex("2a864886f70d01050c")), element(0x30, element(4, r.randbytes(8)), element(2, b"\x08\0"))),
+                element(0x30, element(6, bytes.fromhex("60864801650304012a")), element(4, r.randbytes(16))))),
                     element(4, r.randbytes(160)))
     digest = element(0x30, element(0x30, element(6, bytes.fromhex("608648016503040201")), element(5)), element(4, r.randbytes(32)))
     b64 = lambda x: base64.b64encode(x).decode()
