@@ -17,14 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milepost.config import Config, GBTPreset
-from milepost.functions.expr import fold_of
 from milepost.functions.time import add_hours, hours_between, iso_instant
-from milepost.operators import encode
+from milepost.operators import crossfit, encode
 from milepost.operators.features import (
     CATEGORICAL, INTERACTIONS, NUMERIC, PRIOR, S2_DROP, TYPICAL, Preprocessor,
-    fit_preprocessor, v2_features,
+    fit_preprocessor, interactions, v2_features, with_base_features,
 )
 
+ROWS_PER_TASK = 50_000
 S1, S2, S3 = "ORIGIN_DEPARTED", "PORT_ARRIVED", "CUSTOMS_CLEARED"
 ETA_COLUMNS = (
     "direct_v2_predicted_final_delay_hours", "structured_v2_predicted_final_delay_hours",
@@ -62,17 +62,25 @@ class FittedModel:
         return m.transform(self.prep.transform(df, vec)).drop(vec)
 
 
-def _fit(train: DataFrame, columns, label: str, preset: GBTPreset, seed: int) -> FittedModel:
+def _fit(train: DataFrame, columns, label: str, preset: GBTPreset, seed: int,
+         prep: Preprocessor | None = None) -> FittedModel:
+    """Fit on ``columns``; ``prep`` where the preparation is known already."""
     train = train.select(*columns, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        prep = fit_preprocessor(train, columns, output_col="_vec")
+        prep = prep or fit_preprocessor(train, columns, output_col="_vec")
         data = prep.transform(train).select("_vec", F.col(label).cast("double").alias("_label"))
-        model = gbt_regressor(preset, seed, "_vec", "_label", "_pred").fit(data)
+        model = gbt_regressor(preset, seed, "_vec", "_label", "_pred").fit(sized(data, train.count()))
     finally:
         train.unpersist()
     return FittedModel(prep, model)
 
 
+def sized(data: DataFrame, n: int) -> DataFrame:
+    """``data`` (n rows) in partitions of up to ``ROWS_PER_TASK`` rows: boosting runs some
+    hundreds of small jobs over it, and each task of theirs costs more than such a part."""
+    return data.coalesce(max(1, -(-n // ROWS_PER_TASK)))
+
+
 def s2_targets(frame: DataFrame, truth: DataFrame | None = None) -> DataFrame:
     """H2: planned customs / post-customs remaining hours and, with ``truth``
     (fit shipments' actual instants), the customs and post-customs deviations."""
@@ -85,12 +93,18 @@ def s2_targets(frame: DataFrame, truth: DataFrame | None = None) -> DataFrame:
         return f
     t = truth.select("shipment_id", F.col("actual_customs_clearance_at").alias("_ac"),
                      F.col("actual_final_delivery_at").alias("_af"))
-    return (f.join(t, "shipment_id", "left").withColumns({
+    return s2_deviations(f.join(t, "shipment_id", "left")).drop("_ac", "_af")
+
+
+def s2_deviations(frame: DataFrame) -> DataFrame:
+    """Customs and post-customs deviation of rows that carry the planned hours and the
+    actual instants (``_ac``, ``_af``)."""
+    return frame.withColumns({
         "customs_deviation_hours": hours_between("snapshot_at", "_ac")
         - F.col("planned_customs_remaining_hours"),
         "post_customs_deviation_hours": hours_between("_ac", "_af")
         - F.col("planned_post_customs_remaining_hours"),
-    }).drop("_ac", "_af"))
+    })
 
 
 def s3_targets(frame: DataFrame, truth: DataFrame | None = None) -> DataFrame:
@@ -100,9 +114,12 @@ def s3_targets(frame: DataFrame, truth: DataFrame | None = None) -> DataFrame:
     if truth is None:
         return f
     t = truth.select("shipment_id", F.col("actual_final_delivery_at").alias("_af"))
-    return (f.join(t, "shipment_id", "left").withColumn(
-        "inland_deviation_hours", hours_between("snapshot_at", "_af")
-        - F.col("planned_inland_remaining_hours")).drop("_af"))
+    return s3_deviations(f.join(t, "shipment_id", "left")).drop("_af")
+
+
+def s3_deviations(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("inland_deviation_hours", hours_between("snapshot_at", "_af")
+                            - F.col("planned_inland_remaining_hours"))
 
 
 def waterfall_s2(planned_customs: Column, customs_dev: Column, planned_post: Column,
@@ -165,36 +182,45 @@ def fit_eta(train_rows: DataFrame, train_shipments: DataFrame, prediction_rows:
             cfg: Config | None = None, level: int = 0) -> tuple[EtaModels, DataFrame]:
     """H1-H9.  Returns the models and ``prediction_rows`` + the 11 ETA columns."""
     cfg = cfg or Config()
-    seed = cfg.seed
     train = with_eta_features(train_rows.withColumn("_is_member", F.lit(True)), train_rows,
                               train_shipments, cfg, level, True).drop("_is_member")
     # the encoded fit rows feed four fits: materialise them once
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     pred = with_eta_features(prediction_rows, train_rows, train_shipments, cfg, level, False)
+    s2 = s2_targets(train.where(F.col("snapshot_stage") == S2), train_shipments)
+    s3 = s3_targets(train.where(F.col("snapshot_stage") == S3), train_shipments)
+    try:
+        models = fit_models(train, s2, s3, cfg)
+    finally:
+        train.unpersist()
+    return models, predict_eta(models, pred, prediction_rows.columns, cfg)
+
+
+def fit_models(train: DataFrame, s2: DataFrame, s3: DataFrame, cfg: Config,
+               preps: dict[str, Preprocessor] | None = None) -> EtaModels:
+    """The four models.  ``train`` carries PRIOR and TYPICAL, ``s2`` and ``s3`` its rows
+    of these stages with their deviations; ``preps`` by subset where known already."""
+    preps = preps or {}
     # H1 direct residual model over all stages
     direct_train = v2_features(train, True, keep=("snapshot_id", "target_final_delay_hours")) \
         .withColumn("_residual", F.col("target_final_delay_hours") - F.col(PRIOR))
     # H2-H5 structured models on stage subsets
-    truth = train_shipments
-    s2 = s2_targets(train.where(F.col("snapshot_stage") == S2), truth)
-    s3 = s3_targets(train.where(F.col("snapshot_stage") == S3), truth)
     s2f = v2_features(s2, False, keep=("snapshot_id", "customs_deviation_hours",
                                        "post_customs_deviation_hours"))
     s3f = v2_features(s3, False, keep=("snapshot_id", "inland_deviation_hours"))
     jobs = [
-        (direct_train, DIRECT_FEATURES, "_residual", cfg.direct),
-        (s2f, S2_FEATURES, "customs_deviation_hours", cfg.structured),
-        (s2f, S2_FEATURES, "post_customs_deviation_hours", cfg.structured),
-        (s3f, S3_FEATURES, "inland_deviation_hours", cfg.structured),
+        (direct_train, DIRECT_FEATURES, "_residual", cfg.direct, "all"),
+        (s2f, S2_FEATURES, "customs_deviation_hours", cfg.structured, S2),
+        (s2f, S2_FEATURES, "post_customs_deviation_hours", cfg.structured, S2),
+        (s3f, S3_FEATURES, "inland_deviation_hours", cfg.structured, S3),
     ]
-    try:
-        direct, customs, post, inland = run_folds(
-            lambda i: _fit(jobs[i][0], jobs[i][1], jobs[i][2], jobs[i][3], seed),
-            len(jobs), cfg.parallel_fits)
-    finally:
-        train.unpersist()
-    models = EtaModels(direct, customs, post, inland)
-    return models, predict_eta(models, pred, prediction_rows.columns, cfg)
+
+    def one(i: int) -> FittedModel:
+        data, columns, label, preset, subset = jobs[i]
+        prep = crossfit.only(preps[subset], columns) if preps else None
+        return _fit(data, columns, label, preset, cfg.seed, prep)
+
+    return EtaModels(*run_folds(one, len(jobs), cfg.parallel_fits))
 
 
 def predict_eta(models: EtaModels, pred: DataFrame, keep_columns, cfg: Config) -> DataFrame:
@@ -238,33 +264,44 @@ def run_folds(fn, k: int, parallel: int) -> list:
         return list(pool.map(fn, range(k)))
 
 
-def fold_parts(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """What fold k is fitted on, and what it predicts (rows carry ``_fold``)."""
-    return rows.where(F.col("_fold") != k).drop("_fold"), rows.where(F.col("_fold") == k).drop("_fold")
+def fold_parts(rows: DataFrame, k: int, fold: str = crossfit.OUTER) -> tuple[DataFrame, DataFrame]:
+    """What fold k is fitted on, and what it predicts (rows carry their fold)."""
+    return rows.where(F.col(fold) != k).drop(fold), rows.where(F.col(fold) == k).drop(fold)
 
 
 def eta_oof(rows: DataFrame, shipments: DataFrame, cfg: Config | None = None,
-            level: int = 0, checkpoint: bool = True) -> DataFrame:
+            level: int = 0, store: crossfit.FoldStore | None = None) -> DataFrame:
     """For each fold fit H1-H9 on the other folds (inner encoders re-folded
     with the next salt level) and predict the held fold; union the held parts.
-    Returns (snapshot_id, shipment_id, predicted_final_delay_hours, fold)."""
-    from milepost.session import cut_lineage
+    Returns (snapshot_id, shipment_id, predicted_final_delay_hours, fold).
+
+    Encoders, imputers and levels of all folds come from one count (operators.crossfit);
+    ``store`` keeps each fold's part, so that a run on the same folder fits what is missing."""
     cfg = cfg or Config()
-    salt = cfg.fold_salt(level)
+    store = store or crossfit.FoldStore(rows.sparkSession)
     # folds run concurrently and share the fits they may have under way, so at
     # most ``parallel_fits`` training sets are cached at any time
     inner = replace(cfg, parallel_fits=max(1, cfg.parallel_fits // cfg.folds))
-    r = rows.withColumn("_fold", fold_of("shipment_id", salt, cfg.folds))
-    s = shipments.withColumn("_fold", fold_of("shipment_id", salt, cfg.folds))
-    if checkpoint:
-        r, s = cut_lineage(r), cut_lineage(s)
+    missing = [k for k in range(cfg.folds) if not store.has(level, k, "eta")]
+    if missing:
+        frame = store.keep(level, "all", "frame", lambda: crossfit.fold_frame(rows, shipments, cfg, level))
+        preps = crossfit.fold_preprocessors(
+            interactions(with_base_features(frame)), cfg.folds, NUMERIC + INTERACTIONS,
+            {TYPICAL: "_typical", PRIOR: "_prior"},
+            {"all": F.lit(True), **{s: F.col("snapshot_stage") == s for s in (S2, S3)}})
 
     def one_fold(k: int) -> DataFrame:
-        fit_rows, held = fold_parts(r, k)
-        _, pred = fit_eta(fit_rows, fold_parts(s, k)[0], held, inner, level + 1)
-        part = pred.select("snapshot_id", "shipment_id", "predicted_final_delay_hours",
-                           F.lit(k).alias("fold"))
-        return cut_lineage(part) if checkpoint else part
+        def made() -> DataFrame:
+            own = frame.withColumns({PRIOR: F.get("_prior", F.lit(k)), TYPICAL: F.get("_typical", F.lit(k))})
+            fit_rows, held = fold_parts(own, k)
+            models = fit_models(
+                fit_rows, s2_deviations(s2_targets(fit_rows.where(F.col("snapshot_stage") == S2))),
+                s3_deviations(s3_targets(fit_rows.where(F.col("snapshot_stage") == S3))), inner,
+                {s: preps[k, s] for s in ("all", S2, S3)})
+            return predict_eta(models, held, rows.columns, inner).select(
+                "snapshot_id", "shipment_id", "predicted_final_delay_hours", F.lit(k).alias("fold"))
+
+        return store.keep(level, k, "eta", made)
 
     parts = run_folds(one_fold, cfg.folds, cfg.parallel_fits)
     out = parts[0]

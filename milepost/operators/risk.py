@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from milepost.config import RISK_LEVEL_EDGES, RISK_LEVELS, Config
 from milepost.functions.expr import fold_of, right_closed_bin
-from milepost.operators import encode
-from milepost.operators.eta import eta_oof, run_folds
+from milepost.operators import crossfit, encode
+from milepost.operators.eta import eta_oof, run_folds, sized
 from milepost.operators.features import (
-    RISK_COLUMNS, TYPICAL, Preprocessor, fit_preprocessor, risk_feature_frame,
+    CATEGORICAL, RISK_COLUMNS, TYPICAL, Preprocessor, fit_preprocessor, risk_feature_frame,
 )
 from milepost.session import cut_lineage
 
@@ -59,12 +59,13 @@ class Classifier:
                 .drop(vec, prob, f"_raw_{out}", f"_pred_{out}"))
 
 
-def fit_classifier(train: DataFrame, cfg: Config, label: str = "_label") -> Classifier:
+def fit_classifier(train: DataFrame, cfg: Config, label: str = "_label",
+                   prep: Preprocessor | None = None) -> Classifier:
     train = train.select(*RISK_COLUMNS, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        prep = fit_preprocessor(train, RISK_COLUMNS, output_col="_vec")
+        prep = prep or fit_preprocessor(train, RISK_COLUMNS, output_col="_vec")
         data = prep.transform(train).select("_vec", F.col(label).cast("double").alias("_y"))
-        model = gbt_classifier(cfg, "_vec", "_y").fit(data)
+        model = gbt_classifier(cfg, "_vec", "_y").fit(sized(data, train.count()))
     finally:
         train.unpersist()
     return Classifier(prep, model)
@@ -109,7 +110,8 @@ class RiskModels:
 
 
 def risk_training_frame(train_rows: DataFrame, train_shipments: DataFrame, cfg: Config,
-                        level: int = 0, checkpoint: bool = True) -> DataFrame:
+                        level: int = 0, checkpoint: bool = True,
+                        store: crossfit.FoldStore | None = None) -> DataFrame:
     """I1 + I2 on fit rows: OOF typical, OOF route rate, OOF routed ETA -> F15."""
     salt = cfg.fold_salt(level)
     rows = train_rows.withColumn("_is_member", F.lit(True))
@@ -117,7 +119,7 @@ def risk_training_frame(train_rows: DataFrame, train_shipments: DataFrame, cfg:
                            member_col="_is_member")
     r = encode.oof_route_rate(r, train_shipments, cfg.folds, salt, out=RATE,
                               member_col="_is_member", threshold=cfg.material_delay_hours)
-    eta = eta_oof(train_rows, train_shipments, cfg, level, checkpoint).select(
+    eta = eta_oof(train_rows, train_shipments, cfg, level, store).select(
         "snapshot_id", F.col("predicted_final_delay_hours").alias(ROUTED))
     r = r.join(eta, "snapshot_id", "left")
     feats = risk_feature_frame(r, keep=("snapshot_id", "shipment_id", "target_is_materially_delayed"),
@@ -127,13 +129,22 @@ def risk_training_frame(train_rows: DataFrame, train_shipments: DataFrame, cfg:
     return cut_lineage(feats) if checkpoint else feats
 
 
-def raw_oof_probabilities(frame: DataFrame, cfg: Config) -> DataFrame:
+RISK_NUMERIC = [c for c in RISK_COLUMNS if c not in CATEGORICAL]
+
+
+def raw_oof_probabilities(frame: DataFrame, cfg: Config, preps: dict | None = None,
+                          store: crossfit.FoldStore | None = None, level: int = 0) -> DataFrame:
     """One classifier per fold, each scoring only its held fold."""
+    store = store or crossfit.FoldStore(frame.sparkSession)
+    preps = preps or crossfit.fold_preprocessors(frame, cfg.folds, RISK_NUMERIC, fold="_fold")
+
     def one_fold(k: int) -> DataFrame:
-        clf = fit_classifier(frame.where(F.col("_fold") != k), cfg)
-        held = frame.where(F.col("_fold") == k)
-        return (clf.score(held, "raw_oof_probability")
-                .select("snapshot_id", "shipment_id", "_fold", "_label", "raw_oof_probability"))
+        def made() -> DataFrame:
+            clf = fit_classifier(frame.where(F.col("_fold") != k), cfg, prep=crossfit.only(preps[k, "all"], RISK_COLUMNS))
+            return (clf.score(frame.where(F.col("_fold") == k), "raw_oof_probability")
+                    .select("snapshot_id", "shipment_id", "_fold", "_label", "raw_oof_probability"))
+
+        return store.keep(level, k, "risk", made)
 
     parts = run_folds(one_fold, cfg.folds, cfg.parallel_fits)
     out = parts[0]
@@ -145,14 +156,18 @@ def raw_oof_probabilities(frame: DataFrame, cfg: Config) -> DataFrame:
 def fit_risk_stack(train_rows: DataFrame, train_shipments: DataFrame,
                    prediction_rows: DataFrame, prediction_eta: DataFrame,
                    cfg: Config | None = None, level: int = 0,
-                   checkpoint: bool = True) -> tuple[RiskModels, DataFrame]:
+                   checkpoint: bool = True,
+                   store: crossfit.FoldStore | None = None) -> tuple[RiskModels, DataFrame]:
     """I1-I8.  ``prediction_eta`` = prediction rows + ETA columns (from fit_eta)."""
     cfg = cfg or Config()
-    frame = risk_training_frame(train_rows, train_shipments, cfg, level, checkpoint)
+    store = store or crossfit.FoldStore(train_rows.sparkSession)
+    frame = risk_training_frame(train_rows, train_shipments, cfg, level, checkpoint, store)
+    preps = crossfit.fold_preprocessors(frame, cfg.folds, RISK_NUMERIC, fold="_fold")
     # the final classifier doesn't wait for those of the folds
-    raw, final = run_folds(lambda i: (raw_oof_probabilities, fit_classifier)[i](frame, cfg), 2,
-                           cfg.parallel_fits)
-    raw = cut_lineage(raw) if checkpoint else raw
+    raw, final = run_folds(lambda i: (
+        lambda: raw_oof_probabilities(frame, cfg, preps, store, level),
+        lambda: fit_classifier(frame, cfg, prep=crossfit.only(preps[crossfit.NONE, "all"], RISK_COLUMNS)))[i](),
+        2, cfg.parallel_fits)
     platt = fit_platt(raw)
     # prediction side: full-fit typical and rate, routed ETA from the ETA pass
     rs, st = encode.typical_fit(train_rows)

@@ -19,6 +19,7 @@ from milepost.operators import evaluate as EV
 from milepost.operators import profile as PR
 from milepost.operators import quality as QA
 from milepost.operators import report as RP
+from milepost.operators.crossfit import FoldStore, run_tag
 from milepost.operators.eta import EtaModels, fit_eta
 from milepost.operators.risk import RiskModels, fit_risk_stack
 from milepost.plans.catalog import Journeys, load, load_tables
@@ -43,24 +44,27 @@ class PassResult:
     calibration: DataFrame
     eta_models: EtaModels
     risk_models: RiskModels
+    store: FoldStore
 
 
 def evaluate_pass(t: Journeys, fit_splits, predict_split: str, cfg: Config,
-                  checkpoint: bool = True) -> PassResult:
-    """M1 / M2: fit ETA + risk on ``fit_splits``, score ``predict_split``."""
+                  checkpoint: bool = True, folds_root: str | None = None) -> PassResult:
+    """M1 / M2: fit ETA + risk on ``fit_splits``, score ``predict_split``.  Folds that a
+    stopped run left under ``folds_root`` are not fitted again."""
     cut = cut_lineage if checkpoint else (lambda d: d)
     fit_rows = cut(t.snapshots_of(*fit_splits))
     fit_ships = cut(t.shipments_of(*fit_splits))
     pred_rows = cut(t.snapshots_of(predict_split))
+    store = FoldStore(fit_rows.sparkSession, folds_root, run_tag(cfg, fit_rows))
     eta_models, eta_pred = fit_eta(fit_rows, fit_ships, pred_rows, cfg)
     eta_pred = cut(eta_pred)
     risk_models, pred = fit_risk_stack(fit_rows, fit_ships, pred_rows, eta_pred, cfg,
-                                       checkpoint=checkpoint)
+                                       checkpoint=checkpoint, store=store)
     pred = cut(BL.all_baselines(fit_ships, pred))
     comparison = EV.regression_metrics(pred, PREDICTION_COLUMNS, cfg.stages)
     risk = EV.risk_metrics(pred, threshold=cfg.risk_threshold, stages=cfg.stages)
     calibration = EV.calibration_table(pred)
-    return PassResult(pred, comparison, risk, calibration, eta_models, risk_models)
+    return PassResult(pred, comparison, risk, calibration, eta_models, risk_models, store)
 
 
 def eda_tables(t: Journeys) -> dict:
@@ -89,8 +93,10 @@ def _rows(df: DataFrame) -> list[dict]:
 
 def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
         strict: bool = True, fmt: str = "parquet", checkpoint: bool = True,
-        tables: Journeys | None = None, expected_shipments: int | None = None) -> dict:
+        tables: Journeys | None = None, expected_shipments: int | None = None,
+        folds_root: str | None = None) -> dict:
     """M3: validate -> split -> EDA -> validation pass -> refit pass -> sinks.
+    A run that was stopped goes on with the folds it left under ``folds_root``.
 
     Input: the mapped tables of ``sf_dir``, or ``tables`` (catalog.load_tables), whose
     population is ``expected_shipments`` (unknown: only repeated ids break C1)."""
@@ -113,7 +119,7 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
         sinks.write_table(df, lay.path("eda", name), fmt, small=name != "propagation_points")
 
     # M1: train-only validation pass
-    val = evaluate_pass(t, ("train",), "validation", cfg, checkpoint)
+    val = evaluate_pass(t, ("train",), "validation", cfg, checkpoint, folds_root)
     comp = val.comparison
     sinks.write_table(comp.where(F.col("method").isin(list(BASELINE_METHODS))),
                       lay.path("validation", "baselines/baseline_metrics_validation"), fmt, small=True)
@@ -128,7 +134,7 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
                       fmt, small=True)
 
     # M2: refit on train + validation, score test once
-    fin = evaluate_pass(t, ("train", "validation"), "test", cfg, checkpoint)
+    fin = evaluate_pass(t, ("train", "validation"), "test", cfg, checkpoint, folds_root)
     sinks.write_table(fin.comparison, lay.path("final_metrics", "final_test_model_comparison"), fmt, small=True)
     sinks.write_table(fin.risk, lay.path("final_metrics", "final_test_risk_metrics"), fmt, small=True)
     sinks.write_table(fin.calibration, lay.path("final_metrics", "final_test_risk_calibration"), fmt, small=True)
@@ -181,6 +187,8 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
         },
     }
     sinks.write_summary(spark, summary, lay.path("final_reports", "final_test_summary"))
+    for done in (val, fin):
+        done.store.remove()
     return summary
 
 
@@ -199,13 +207,14 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--fast", action="store_true", help="reduced boosted-tree preset")
     ap.add_argument("--master", default="local[8]")
+    ap.add_argument("--folds", help="folder that keeps finished folds, so that a stopped run can go on")
     ap.add_argument("--no-strict", action="store_true", help="report quality rules without raising")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     cfg = Config.fast() if args.fast else Config()
     tables = load_tables(spark, args.tables, args.format, cfg) if args.tables else None
     print(json.dumps(run(spark, args.sf_dir, args.out, cfg, strict=not args.no_strict, tables=tables,
-                         expected_shipments=args.expected_shipments), indent=2, default=str))
+                         expected_shipments=args.expected_shipments, folds_root=args.folds), indent=2, default=str))
 
 
 if __name__ == "__main__":

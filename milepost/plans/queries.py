@@ -311,7 +311,7 @@ def q_fold_isolation(t: Journeys) -> DataFrame:
     rows = S.group_folds(t.snapshots_of("train"), t.cfg.folds, t.cfg.fold_salt(0), name="_fold")
     out = None
     for k in range(t.cfg.folds):
-        fit, held = fold_parts(rows, k)
+        fit, held = fold_parts(rows, k, "_fold")
         held = held.select("shipment_id").distinct()
         one = held.agg(F.lit(k).alias("fold"), F.count(F.lit(1)).cast("bigint").alias("held_shipments")).crossJoin(
             S.fold_overlap(fit, held).agg(F.count(F.lit(1)).cast("bigint").alias("overlap")))  # one row each

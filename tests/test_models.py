@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 """Routing, ETA arithmetic, cross-fit isolation, OOF contract."""
 from pyspark.sql import functions as F
 
@@ -30,23 +32,27 @@ def test_stage_routing_and_eta_arithmetic(small, tiny_cfg):
     assert pred.where("snapshot_stage = 'ORIGIN_DEPARTED' AND structured_v2_predicted_final_delay_hours IS NOT NULL").count() == 0
 
 
-def test_eta_oof_never_fits_a_holdout_shipment(spark, tiny_cfg, monkeypatch):
-    ids = [f"SHP-{i:02d}" for i in range(10)]
-    ships = spark.createDataFrame([(i,) for i in ids], "shipment_id string")
-    rows = spark.createDataFrame([(i, i, "ORIGIN_DEPARTED") for i in ids],
-                                 "shipment_id string, snapshot_id string, snapshot_stage string")
+def test_eta_oof_never_fits_a_holdout_shipment(small, tiny_cfg, monkeypatch):
+    rows, ships = small.snapshots_of("validation"), small.shipments_of("validation")
     calls = []
 
-    def spy(fit_rows, fit_ships, held_rows, cfg=None, level=0):
-        calls.append(({r[0] for r in fit_ships.collect()}, {r[0] for r in held_rows.select("shipment_id").collect()}))
-        return None, held_rows.withColumn("predicted_final_delay_hours", F.lit(0.0))
+    def ids(df):
+        return {r[0] for r in df.select("shipment_id").collect()}
+
+    def spy_fit(train, s2, s3, cfg, preps=None):
+        calls.append([ids(train) | ids(s2) | ids(s3)])
+
+    def spy_predict(models, held, keep, cfg):
+        calls[-1].append(ids(held))
+        return held.withColumn("predicted_final_delay_hours", F.lit(0.0))
 
-    monkeypatch.setattr(ET, "fit_eta", spy)
-    out = ET.eta_oof(rows, ships, tiny_cfg, checkpoint=False)
-    assert out.count() == 10 and out.where("predicted_final_delay_hours IS NULL").count() == 0
+    monkeypatch.setattr(ET, "fit_models", spy_fit)
+    monkeypatch.setattr(ET, "predict_eta", spy_predict)
+    out = ET.eta_oof(rows, ships, replace(tiny_cfg, parallel_fits=1))
+    assert out.count() == rows.count() and out.where("predicted_final_delay_hours IS NULL").count() == 0
     assert len(calls) == 5
     assert all(not (fit & held) for fit, held in calls)
-    assert set().union(*[h for _, h in calls]) == set(ids)
+    assert set().union(*[h for _, h in calls]) == ids(rows)
 
 
 def test_risk_stack_contract(small, tiny_cfg):
