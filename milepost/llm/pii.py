@@ -10,7 +10,9 @@ top-level domain, octet range, check digit and a title's gender are kept.
 Distinctness: surrogates are assigned in rounds over the distinct entities.  A
 candidate that another entity also drew (the smallest canonical form keeps it),
 that is taken, or that is itself an entity of the corpus is drawn again with the
-next attempt, until none is left.
+next attempt, until none is left; names get a syllable more every four attempts and
+numbers digits after ``STRICT_ATTEMPTS``, so the rounds end however many there are.
+A phone number is known by its last ten digits; a country code before them stays.
 
 Everything is SQL expressions, joins and aggregates.  Only documents with
 entities take part in a shuffle; the entity table is pre-aggregated, so an
@@ -45,11 +47,13 @@ _TITLE = "(?:" + "|".join(sorted(MALE_TITLES + FEMALE_TITLES, key=len, reverse=T
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERN = "|".join((
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
-    r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4})(?!\d)",
+    r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}"
+    r"|(?<![.(-])\d{3}-\d{3}-\d{4}(?!-\d))(?!\d)",
     rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
     r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\p{L}\p{N}])",
     rf"(?<![\p{{L}}\p{{N}}]){_TITLE}{_NAME}(?: {_NAME})?"))
-#: Attempts that keep the exact lengths; later ones may not (exhausted value spaces).
+#: Attempts that keep the exact lengths.  Later ones get longer with the attempt, so that
+#: no number of entities exhausts what can be drawn.
 STRICT_ATTEMPTS = 16
 
 
@@ -76,7 +80,7 @@ def kind_of(m: Column) -> Column:
     """Kind of a match of PATTERN; null for a number that fails the check digit."""
     return F.when(F.contains(m, F.lit("@")), "email") \
         .when(F.regexp_like(m, F.lit(r"^\p{L}")), "name") \
-        .when(F.regexp_like(m, F.lit(r"^[+(]")), "phone") \
+        .when(F.regexp_like(m, F.lit(r"^(?:[+(]|\d{3}-\d{3}-\d{4}$)")), "phone") \
         .when(F.contains(m, F.lit(".")), "ip") \
         .when(_luhn(_digits(m)) == 0, "card")
 
@@ -85,7 +89,7 @@ def canonical(kind: Column, m: Column) -> Column:
     """What all mentions of one entity share."""
     title = F.regexp_extract(m, rf"^({_TITLE})", 1)
     gender = F.when(F.regexp_replace(title, r"[. ]", "").isin(*FEMALE_TITLES), "f").otherwise("m")
-    return F.when(kind.isin("phone", "card"), _digits(m)) \
+    return F.when(kind == "phone", F.right(_digits(m), F.lit(10))).when(kind == "card", _digits(m)) \
         .when(kind == "name", F.concat(gender, F.lit(":"), F.lower(F.regexp_replace(m, rf"^{_TITLE}", "")))) \
         .otherwise(F.lower(m))
 
@@ -127,16 +131,18 @@ def surrogate(key: str) -> Column:
     email = F.concat(F.when(late, _pick("abcdefghijklmnopqrstuvwxyz", key, F.lit(1001))).otherwise(""),
                      F.when(late, _draw(key, 10**9, 1002).cast("string")).otherwise(""),
                      F.left(filled, F.length(canon) - F.length(tld)), tld)
-    # phone: the country code (what precedes the last ten digits) stays
-    keep = F.greatest(F.length(canon) - 10, F.lit(0))
-    phone = F.concat(F.left(canon, keep), F.right(filled, F.length(canon) - keep))
+    # one more digit every four late attempts
+    more = F.when(late, F.array_join(F.transform(F.sequence(F.lit(1), F.floor((F.col("attempt") - STRICT_ATTEMPTS) / 4) + 1),
+                                                 lambda i: _pick("0123456789", key, i + 2000)), "")).otherwise("")
+    phone = F.concat(filled, more)
     low = F.array(F.lit(0), F.lit(10), F.lit(100))
     width = F.array(F.lit(10), F.lit(90), F.lit(155))
     ip = F.array_join(F.transform(F.split(canon, r"\."), lambda o, i: F.when(
         late, _draw(key, 254, i) + 1).otherwise(F.get(low, F.length(o) - 1) + _draw(key, F.get(width, F.length(o) - 1), i))
         .cast("string")), ".")
+    ip = F.when(F.col("attempt") >= 4 * STRICT_ATTEMPTS, F.concat(ip, F.lit(":"), more)).otherwise(ip)
     # card: the first digit stays, the last one is the check digit of the rest
-    body = F.concat(F.left(canon, F.lit(1)), F.substr(filled, F.lit(2), F.length(canon) - 2))
+    body = F.concat(F.left(canon, F.lit(1)), F.substr(filled, F.lit(2), F.length(canon) - 2), more)
     card = F.concat(body, ((10 - _luhn(F.concat(body, F.lit("0")))) % 10).cast("string"))
     return F.when(F.col("kind") == "email", email).when(F.col("kind") == "phone", phone) \
         .when(F.col("kind") == "ip", ip).when(F.col("kind") == "card", card).otherwise(_person(key))
@@ -150,8 +156,11 @@ def _person(key: str) -> Column:
         given = F.array(*[F.lit(x) for x in GIVEN[script, gender]])
         part = F.array(*[F.lit(x) for x in SYLLABLES[script]])
         n = len(SYLLABLES[script])
-        family = F.initcap(F.concat(*[F.get(part, _draw(key, n, 10 + j).cast("int")) for j in range(4)],
-                                    F.lit("а" if (script, gender) == ("cyrillic", "f") else "")))
+        length = 3 + F.floor(F.col("attempt") / 4)  # places after the first; longer where names run short
+        family = F.initcap(F.concat(
+            F.array_join(F.transform(F.sequence(F.lit(0), length), lambda j: F.get(
+                part, _draw(key, n, j + 10).cast("int"))), ""),
+            F.lit("а" if (script, gender) == ("cyrillic", "f") else "")))
         first = F.get(given, _draw(key, len(GIVEN[script, gender]), 1).cast("int"))
         return F.when(two, F.concat(first, F.lit(" "), family)).otherwise(family)
 
@@ -184,11 +193,13 @@ def _render(m: Column, chosen: Column) -> Column:
     def shown(kind: Column) -> Column:
         return _let(F.element_at(chosen, F.concat(kind, F.lit(":"), canonical(kind, m))), lambda s: F.when(
             s.isNull(), m).when(kind == "name", F.concat(F.regexp_extract(m, rf"^({_TITLE})", 1), s))
-            .when(kind.isin("phone", "card"), by_digit(s)).when(F.length(s) == F.length(m), by_place(s)).otherwise(s))
+            .when(kind == "phone", by_digit(F.concat(F.left(_digits(m), F.length(_digits(m)) - 10), s)))
+            .when(kind == "card", by_digit(s)).when(F.length(s) == F.length(m), by_place(s)).otherwise(s))
 
     def by_digit(s: Column) -> Column:
-        return F.array_join(F.transform(_chars(m), lambda c, i: F.when(F.regexp_like(c, F.lit("[0-9]")), F.substr(
+        put = F.array_join(F.transform(_chars(m), lambda c, i: F.when(F.regexp_like(c, F.lit("[0-9]")), F.substr(
             s, F.length(_digits(F.substr(m, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
+        return F.concat(put, F.substr(s, F.length(_digits(m)) + 1))
 
     def by_place(s: Column) -> Column:
         return F.array_join(F.transform(_chars(m), lambda c, i: F.when(c != F.lower(c), F.upper(
