@@ -68,6 +68,11 @@ _EVENTS_UNION = "\n    UNION ALL\n".join(
     f"{s} AS scheduled_at, {a} AS actual_at, {a} + to_seconds(CAST({_upd(i)} AS BIGINT)) AS reported_at FROM j"
     for i, m, loc, s, a in _MILESTONES)
 
+MILESTONE_NAMES = [m for _, m, *_ in _MILESTONES]
+# The first three reports side by side (NULL: missing).
+REPORTS = "w AS MATERIALIZED (SELECT shipment_id, " + ", ".join(
+    f"{a} + to_seconds(CAST({_upd(i)} AS BIGINT)) AS r{i}" for i, _, _, _, a in _MILESTONES[:3]) + " FROM act)"
+
 SHIPMENT_COLS = """route, origin, destination_port, final_destination, planned_ocean_hours,
     planned_customs_hours, planned_inland_hours, dispatch_buffer_hours, shipment_id, carrier,
     cargo_type, weather_severity, congestion_score, document_readiness_score,

@@ -98,7 +98,10 @@ def q_trigger(t: Journeys) -> DataFrame:
 
 
 @register("asof_availability", O.sql(
-    "SELECT shipment_id || '-' || CAST(i + 1 AS VARCHAR) AS snapshot_id, milestone FROM avail"))
+    "\nUNION ALL\n".join(
+        f"SELECT shipment_id || '-{i + 1}' AS snapshot_id, '{O.MILESTONE_NAMES[j]}' AS milestone FROM w WHERE r{j} <= r{i}"
+        for i in range(3) for j in range(i + 1)),
+    O.REPORTS))
 def q_asof(t: Journeys) -> DataFrame:
     return derive.available_milestones(t.journeys)
 
