@@ -9,7 +9,7 @@ from milepost.llm import chunks
 from milepost.llm.chunks import Chunk
 
 _PLACE = np.uint64((1 << 20) - 1)
-MANY = np.uint32(0xFFFFFFFF)
+MANY = np.uint64(0xFFFFFFFFFFFFFFFF)  # in place of a run: several of them
 SEGMENT = 1 << 19  # windows handled at once, below 2**20
 
 
@@ -72,16 +72,18 @@ def least_ids(h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return key, low, inverse
 
 
-def first_keys(a, chunk: Chunk):
-    """One entry per anchor rank: key, shared inside the chunk, run (or MANY)."""
+def first_keys(a, chunk: Chunk, run_bytes: int):
+    """One entry per anchor rank: key, shared inside the chunk, run (its lowest
+    ``run_bytes`` bytes; all ones: several runs)."""
     key, shared, inverse = shared_keys(a.h, chunk.ids[a.doc])
-    run = (a.run & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    run[run == MANY] = 0
-    low = np.full(len(key), MANY)
+    many = MANY >> np.uint64(64 - 8 * run_bytes)
+    run = a.run & many
+    run[run == many] = 0
+    low = np.full(len(key), many)
     np.minimum.at(low, inverse, run)
-    high = np.zeros(len(key), np.uint32)
+    high = np.zeros(len(key), np.uint64)
     np.maximum.at(high, inverse, run)
-    return key, shared, np.where(low == high, low, MANY).astype(np.uint32), inverse
+    return key, shared, low_bytes(np.where(low == high, low, many), run_bytes), inverse
 
 
 def runs_per_key(inverse: np.ndarray, run: np.ndarray) -> np.ndarray:
@@ -92,27 +94,29 @@ def runs_per_key(inverse: np.ndarray, run: np.ndarray) -> np.ndarray:
     return np.bincount(key[fresh]).astype(np.uint32)
 
 
-def shared_anchors(_: int, entries: list[bytes], hot: int | None = None, hot_runs: int | None = None) -> list[bytes]:
+def shared_anchors(entries: list[bytes], run_bytes: int, hot: int | None = None,
+                   hot_runs: int | None = None) -> list[bytes]:
     """Per entry: 0 unique, 1 shared and all runs equal, 2 shared with several runs,
     3 the same in more than ``hot`` chunks or with more than ``hot_runs`` runs, each
     chunk's distinct ones added up (entries then end with their number)."""
-    width = 9 if hot_runs is None else 13
+    width, many = 5 + run_bytes, MANY >> np.uint64(64 - 8 * run_bytes)
+    width += 0 if hot_runs is None else 4
     size = [len(e) // width for e in entries]
     raw = np.frombuffer(b"".join(entries), np.uint8).reshape(-1, width)
     h = from_low_bytes(raw[:, :5])
-    run = np.ascontiguousarray(raw[:, 5:9]).reshape(-1).view("<u4")
+    run = from_low_bytes(raw[:, 5:5 + run_bytes])
     order = np.argsort(h & LOW39, kind="stable")
     start = groups((h & LOW39)[order])
     n = np.diff(np.r_[start, len(h)])
     shared = (n > 1) | (np.bitwise_or.reduceat(h[order] & FLAG, start) > 0)
     several = np.minimum.reduceat(run[order], start) != np.maximum.reduceat(run[order], start)
-    several |= np.maximum.reduceat(run[order], start) == MANY
+    several |= np.maximum.reduceat(run[order], start) == many
     state = np.empty(len(h), np.uint8)
     kind = np.where(shared, 1 + several, 0)
     if hot is not None:
         kind[(kind == 2) & (n > hot)] = 3
     if hot_runs is not None:
-        count = np.ascontiguousarray(raw[:, 9:]).reshape(-1).view("<u4").astype(np.int64)
+        count = np.ascontiguousarray(raw[:, 5 + run_bytes:]).reshape(-1).view("<u4").astype(np.int64)
         kind[(kind == 2) & (np.add.reduceat(count[order], start) > hot_runs)] = 3
     state[order] = np.repeat(kind, n)
     return chunks.split(state, size)

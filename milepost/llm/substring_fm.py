@@ -41,6 +41,8 @@ from milepost.llm.wordhash import span_hashes, spans
 
 LENGTH = 50
 GRAM = 8
+#: Bytes of a stretch's hash by which an anchor's stretches are told apart.
+RUN_BYTES = 8
 #: Bytes of a word's hash that an index compares.
 SYMBOL_BYTES = 6
 #: Chunks from which an anchor with differing stretches is cut into windows.
@@ -147,18 +149,18 @@ class Rounds:
 
     def ask_anchors(self, chunk: Chunk, _):
         s = Stretches(chunk)
-        key, shared, run, inverse = first_keys(s, chunk)
+        key, shared, run, inverse = first_keys(s, chunk, RUN_BYTES)
         return send(key, self.n, low_bytes((key & LOW39) | np.where(shared, FLAG, np.uint64(0))), run,
                     runs_per_key(inverse, s.run))
 
     def answer_anchors(self, bucket: int, entries: list[bytes]) -> list[bytes]:
-        return shared_anchors(bucket, entries, self.hot, self.hot_stretches)
+        return shared_anchors(entries, RUN_BYTES, self.hot, self.hot_stretches)
 
     def sent(self, chunk: Chunk, answers: list):
         """Stretches of shared anchors, hot ones as single windows: document, first
         and last window; and the distinct ones: shard, key, smallest id, a row."""
         s = Stretches(chunk)
-        state = np.frombuffer(answers[0], np.uint8)[first_keys(s, chunk)[3]]
+        state = np.frombuffer(answers[0], np.uint8)[first_keys(s, chunk, RUN_BYTES)[3]]
         whole, hot = np.flatnonzero((state == 1) | (state == 2)), np.flatnonzero(state == 3)
         count = s.last[hot] - s.first[hot] + 1
         own = np.repeat(hot, count)

@@ -10,8 +10,11 @@ prefixes of 24 bytes inside a 50-byte window the one with the smallest hash.  A
 run of windows with one such anchor stands or falls together as long as all
 copies of the anchor lie in equal runs, so runs are ranked as wholes and only
 windows of anchors with differing runs, of which a 37-byte prefix around the
-anchor is shared, reach the last round.  Ranks are 64-bit hashes (the first
-round's are shortened: more candidates, never fewer).
+anchor is shared, reach the last round.  Ranks are 64-bit hashes.  The first round
+sends them shortened: of an anchor 39 bits beside its bucket's, which only makes
+more candidates; of a run 48 bits, so that an anchor whose differing runs all agree
+in 48 bits (chance 2**-48 for two) is taken for one whose runs are equal, and what
+these runs share but for their ends stays.
 
 Windows are judged on the input: one is removed if its smallest document is
 smaller than its own, and a byte goes if any removed window covers it.
@@ -39,6 +42,7 @@ from milepost.llm.wordhash import mix
 LENGTH = 50
 GRAM = 24
 STEP = (LENGTH - GRAM) // 2
+RUN_BYTES = 6
 _SYMBOL = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -91,12 +95,12 @@ class Rounds:
     # round 1: anchors
     def ask_anchors(self, chunk: Chunk, _):
         a = Anchors(chunk)
-        key, shared, run, _ = first_keys(a, chunk)
+        key, shared, run, _ = first_keys(a, chunk, RUN_BYTES)
         return send(key, self.n, low_bytes((key & LOW39) | np.where(shared, FLAG, np.uint64(0))), run)
 
     def state(self, chunk: Chunk, answers: list):
         a = Anchors(chunk)
-        _, _, _, inverse = first_keys(a, chunk)
+        _, _, _, inverse = first_keys(a, chunk, RUN_BYTES)
         return a, np.frombuffer(answers[0], np.uint8)[inverse]
 
     # round 2: whole runs of shared anchors (buckets below n), and 37 bytes around
@@ -183,7 +187,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
     packed = chunks.pack(id_text(docs, id_col, text_col), chunk_bytes)
     rounds = Rounds(chunks.buckets(packed, 1 << 20, 1 / 14))
-    asked = chunks.ask(packed, rounds.ask_anchors, shared_anchors, "anchors")
+    asked = chunks.ask(packed, rounds.ask_anchors, lambda _, entries: shared_anchors(entries, RUN_BYTES), "anchors")
     asked = chunks.ask(asked, rounds.ask_runs, rounds.answer_runs, "runs")
     asked = chunks.ask(asked, rounds.ask_windows, chunks.first_flags, "windows")
 

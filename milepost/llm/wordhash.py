@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
+#: Longer words are hashed by XXH64: texts can be built that a polynomial modulo
+#: 2**64 maps to one value, but only of many more bytes than this.
+LONG = 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -37,11 +41,15 @@ def spans(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of flat[start:end] for each span."""
+    """A 64-bit hash of flat[start:end] (bytes) for each span."""
     up, down = powers(len(flat) + 1)
     total = np.zeros(len(flat) + 1, np.uint64)
     np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * up[:-1], dtype=np.uint64, out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    out = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    raw, long = memoryview(flat), np.flatnonzero(end - start > LONG)
+    out[long] = np.array([xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(start[long].tolist(), end[long].tolist())],
+                         np.uint64)
+    return out
 
 
 def shingle_hashes(word: np.ndarray, k: int) -> np.ndarray:
