@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milepost.session import cut_lineage
@@ -15,7 +15,7 @@ SALTS = 32
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, keys: Sequence[str],
-                broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+                broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS, salt: Column | None = None) -> DataFrame:
     """rows left join table on keys; ``table`` has one row per key.
 
     The lookup is computed once and counted.  Up to the bound it is broadcast and
@@ -26,6 +26,7 @@ def lookup_join(rows: DataFrame, table: DataFrame, keys: Sequence[str],
     if own.count() <= broadcast_rows:
         return rows.join(F.broadcast(own), list(keys), "left")
     # the salt follows from the row, so a task that runs again deals it the same way
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("shipment_id"), F.lit(salts)).cast("int"))
+    own_salt = F.xxhash64("shipment_id") if salt is None else salt
+    salted = rows.withColumn("_salt", F.pmod(own_salt, F.lit(salts)).cast("int"))
     copies = own.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")

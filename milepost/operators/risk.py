@@ -11,12 +11,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-
-from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
-)
-from pyspark.ml.feature import VectorAssembler
+from pyspark import keyword_only
+from pyspark.ml import Transformer
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,19 +71,71 @@ def fit_classifier(train: DataFrame, cfg: Config, label: str = "_label",
     return Classifier(prep, model)
 
 
+class PlattLine(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """The fitted line of I4; as a stage it adds the calibrated probability."""
+
+    slope = Param(Params._dummy(), "slope", "of the line", TypeConverters.toFloat)
+    offset = Param(Params._dummy(), "offset", "of the line", TypeConverters.toFloat)
+    inputCol = Param(Params._dummy(), "inputCol", "raw probability", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "calibrated probability", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, slope=1.0, offset=0.0, inputCol="risk_raw_probability", outputCol="risk_probability"):
+        super().__init__()
+        self._set(slope=slope, offset=offset, inputCol=inputCol, outputCol=outputCol)
+
+    @property
+    def coefficients(self) -> list[float]:
+        return [self.getOrDefault("slope")]
+
+    @property
+    def intercept(self) -> float:
+        return self.getOrDefault("offset")
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return calibrate(self, dataset, self.getOrDefault("inputCol"), self.getOrDefault("outputCol"))
+
+
 def fit_platt(raw_oof: DataFrame, prob: str = "raw_oof_probability",
-              label: str = "_label") -> LogisticRegressionModel:
-    """I4: C=1 logistic regression of the label on the raw probability.
-    Spark minimises mean loss + regParam/2 |w|^2, so regParam = 1/(n C)."""
-    n = raw_oof.count()
-    data = VectorAssembler(inputCols=[prob], outputCol="_x").transform(
-        raw_oof.select(F.col(prob).cast("double").alias(prob), F.col(label).cast("double").alias("_y")))
-    lr = LogisticRegression(featuresCol="_x", labelCol="_y", regParam=1.0 / max(n, 1),
-                            elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-10)
-    return lr.fit(data)
-
-
-def calibrate(platt: LogisticRegressionModel, df: DataFrame, raw: str, out: str) -> DataFrame:
+              label: str = "_label", steps: int = 50) -> PlattLine:
+    """I4: C=1 logistic regression of the label on the raw probability (the slope is
+    penalised, the intercept isn't).  Rows shrink to counts per (score, label) once; each
+    Newton step is one aggregate of five sums over them and a 2 x 2 system.  A step that
+    does not lower the loss is halved."""
+    x, y = F.col(prob).cast("double"), F.col(label).cast("double")
+    counts = cut_lineage(raw_oof.select(x.alias("_s"), y.alias("_y")).where("_s IS NOT NULL AND _y IS NOT NULL")
+                         .groupBy("_s", "_y").agg(F.count(F.lit(1)).cast("double").alias("_n")))
+
+    def at(w: float, b: float):
+        z = F.col("_s") * w + b
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+        slack = F.col("_n") * (p - F.col("_y"))
+        curve = F.col("_n") * p * (1 - p)
+        loss = F.col("_n") * (F.greatest(z, F.lit(0.0)) - z * F.col("_y") + F.log1p(F.exp(-F.abs(z))))
+        r = counts.agg(F.sum(loss).alias("loss"), F.sum(slack).alias("g0"), F.sum(slack * F.col("_s")).alias("g1"),
+                       F.sum(curve).alias("h00"), F.sum(curve * F.col("_s")).alias("h01"),
+                       F.sum(curve * F.col("_s") * F.col("_s")).alias("h11")).first()
+        return None if r["loss"] is None else (r["loss"] + w * w / 2, r["g0"], r["g1"] + w, r["h00"], r["h01"], r["h11"] + 1)
+
+    w = b = 0.0
+    now = at(w, b)
+    for _ in range(steps if now else 0):
+        _, g0, g1, h00, h01, h11 = now
+        det = h00 * h11 - h01 * h01
+        if det <= 0:
+            break
+        dw, db = (h00 * g1 - h01 * g0) / det, (h11 * g0 - h01 * g1) / det
+        then = at(w - dw, b - db)
+        while then[0] > now[0] * (1 + 1e-12) and max(abs(dw), abs(db)) > 1e-12:
+            dw, db = dw / 2, db / 2
+            then = at(w - dw, b - db)
+        w, b, now = w - dw, b - db, then
+        if max(abs(dw), abs(db)) < 1e-10:
+            break
+    return PlattLine(slope=w, offset=b)
+
+
+def calibrate(platt: PlattLine, df: DataFrame, raw: str, out: str) -> DataFrame:
     """Raw -> calibrated probability (sigmoid of the fitted line)."""
     return df.withColumn(out, sigmoid_of_line(raw, float(platt.coefficients[0]), float(platt.intercept)))
 
@@ -105,7 +157,7 @@ def risk_alert(prob: str = "risk_probability", threshold: float = 0.29) -> Colum
 @dataclass
 class RiskModels:
     classifier: Classifier
-    platt: LogisticRegressionModel
+    platt: PlattLine
     raw_oof: DataFrame
 
 

@@ -1161,3 +1161,86 @@ def q_run_summary(t: Journeys) -> DataFrame:
         "eta_mae_hours": routed.mae_hours if routed else None}, path)
     out = spark.read.schema("train long, validation long, test long, test_snapshots long, eta_mae_hours double").json(path)
     return out.withColumn("eta_mae_hours", r6("eta_mae_hours"))
+
+
+# ---------------------------------------------------------------- I4, H1/H5/I5 and A5 on fixed ensembles
+_NEWTON = """
+c AS MATERIALIZED (SELECT p AS s, CAST(target_is_materially_delayed AS DOUBLE) AS y, CAST(count(*) AS DOUBLE) AS n
+                   FROM te WHERE p IS NOT NULL GROUP BY ALL),
+newton(k, w, b) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+  UNION ALL
+  SELECT k + 1, w - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01), b - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01)
+  FROM (SELECT k, w, b, sum(n * (p - y)) AS g0, sum(n * (p - y) * s) + w AS g1, sum(n * p * (1 - p)) AS h00,
+               sum(n * p * (1 - p) * s) AS h01, sum(n * p * (1 - p) * s * s) + 1 AS h11
+        FROM (SELECT k, w, b, s, y, n, 1 / (1 + exp(-(w * s + b))) AS p FROM newton, c WHERE k < 20)
+        GROUP BY k, w, b))"""
+
+
+@register("platt_fit", O.sql("SELECT round(w, 6) AS slope, round(b, 6) AS intercept FROM newton WHERE k = 20",
+                             _SCORED + "," + _NEWTON).replace("WITH ", "WITH RECURSIVE ", 1))
+def q_platt(t: Journeys) -> DataFrame:
+    """I4 on the continuous score."""
+    line = RK.fit_platt(_scored_rows(t), "risk_probability", "target_is_materially_delayed")
+    return t.journeys.sparkSession.createDataFrame(
+        [(round(line.coefficients[0], 6) + 0.0, round(line.intercept, 6) + 0.0)], "slope double, intercept double")
+
+
+# A small ensemble, given: (tree, node, feature, cut, left, right, value).
+_NODES = [(0, 0, 0, 0.5, 1, 2, None), (0, 1, 2, 3.0, 3, 4, None), (0, 2, None, None, None, None, 0.9),
+          (0, 3, None, None, None, None, -0.8), (0, 4, None, None, None, None, 0.15),
+          (1, 0, 1, 0.35, 1, 2, None), (1, 1, None, None, None, None, 0.4), (1, 2, 0, 0.8, 3, 4, None),
+          (1, 3, None, None, None, None, -0.5), (1, 4, None, None, None, None, 0.25),
+          (2, 0, 2, 10.0, 1, 2, None), (2, 1, 2, 1.5, 3, 4, None), (2, 2, None, None, None, None, 1.1),
+          (2, 3, None, None, None, None, -0.3), (2, 4, None, None, None, None, 0.05)]
+_TREE_FEATURES = ["congestion_score", "document_readiness_score", "observed_port_arrival_delay_hours"]
+_SLOPE, _OFFSET = 3.25, -1.5
+_TREES = f"""
+nodes(tree, node, feature, cut, lft, rgt, value) AS (VALUES {", ".join(
+    "(" + ", ".join("NULL" if x is None else str(x) for x in n) + ")" for n in _NODES)}),
+med AS (SELECT {", ".join(f"median({c}) AS m{i}" for i, c in enumerate(_TREE_FEATURES))} FROM snaps_s WHERE split = 'train'),
+x AS (SELECT snapshot_id, [{", ".join(f"CAST(coalesce({c}, m{i}) AS DOUBLE)" for i, c in enumerate(_TREE_FEATURES))}] AS f
+      FROM snaps_s, med WHERE split = 'validation'),
+d1 AS (SELECT snapshot_id, f, tree, CASE WHEN f[feature + 1] <= cut THEN lft ELSE rgt END AS node FROM x, nodes WHERE node = 0),
+d2 AS (SELECT snapshot_id, f, tree, CASE WHEN value IS NOT NULL THEN node WHEN f[feature + 1] <= cut THEN lft ELSE rgt END AS node
+       FROM d1 JOIN nodes USING (tree, node)),
+total AS (SELECT snapshot_id, sum(CAST(value AS DOUBLE)) AS score FROM d2 JOIN nodes USING (tree, node) GROUP BY snapshot_id),
+decided AS (SELECT snapshot_id, raw, 1 / (1 + exp(-({_SLOPE} * raw + {_OFFSET}))) AS p
+            FROM (SELECT snapshot_id, 1 / (1 + exp(-2 * score)) AS raw FROM total))"""
+
+
+def _ensemble(t: Journeys):
+    """Encoder fitted on train and the given ensemble, over the same features."""
+    import json
+
+    from milepost.operators import saved
+    encoder = saved.FeatureEncoder(numericCols=_TREE_FEATURES, outputCol="features").fit(t.snapshots_of("train"))
+    places = [encoder.feature_names().index(c) for c in _TREE_FEATURES]
+    nodes = json.dumps([(a, b, None if i is None else places[i], *rest) for a, b, i, *rest in _NODES])
+    return encoder, nodes, saved
+
+
+@register("tree_scores", O.sql("SELECT snapshot_id, round(score, 9) AS score FROM total", _TREES))
+def q_tree_scores(t: Journeys) -> DataFrame:
+    """H1, H5: a boosted ensemble scored from its node table."""
+    encoder, nodes, saved = _ensemble(t)
+    scored = saved.TreeTable(nodes=nodes, vectorCol="features", outputCol="score").transform(
+        encoder.transform(t.snapshots_of("validation")))
+    return scored.select("snapshot_id", F.round("score", 9).alias("score"))
+
+
+@register("saved_pipeline", O.sql(
+    "SELECT snapshot_id, round(raw, 9) AS risk_raw_probability, round(p, 9) AS risk_probability, "
+    "CASE WHEN p <= 0.35 THEN 'LOW' WHEN p <= 0.65 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level, "
+    "p >= 0.29 AS predicted_material_delay FROM decided", _TREES))
+def q_saved_pipeline(t: Journeys) -> DataFrame:
+    """Imputer, ensemble, calibration and decision as one saved pipeline,
+    read as a new object before it scores."""
+    from pyspark.ml import PipelineModel
+    encoder, nodes, saved = _ensemble(t)
+    raw = saved.TreeTable(nodes=nodes, vectorCol="features", probability=True, outputCol="risk_raw_probability")
+    model = saved.saved_and_loaded(PipelineModel([encoder, raw, saved.RiskDecision(slope=_SLOPE, intercept=_OFFSET)]),
+                                   t.journeys.sparkSession)
+    out = model.transform(t.snapshots_of("validation"))
+    return out.select("snapshot_id", F.round("risk_raw_probability", 9).alias("risk_raw_probability"),
+                      F.round("risk_probability", 9).alias("risk_probability"), "risk_level", "predicted_material_delay")
