@@ -13,6 +13,8 @@ are ignored; an empty table gives no rows.  Texts are handled whole.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from milepost.llm import bpe_tables
 from milepost.llm.bpe_tables import NO_RANK, BpeTables, pre_tokens
-from milepost.llm.common import id_text, kept, map_arrow, read_table, texts
+from milepost.llm.common import bounded, free_name, id_text, kept, map_arrow, map_batches, read_table, texts
 
 #: Distinct pre-tokens that a worker remembers before it starts afresh.
 KNOWN_WORDS = 200_000
@@ -165,11 +167,39 @@ def round_trip(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc
     return map_arrow(id_text(docs, id_col, text_col), run, "doc_id long, n_tokens long, ids binary, text string")
 
 
-def digest(docs: DataFrame, tokenizer: str | None = None, keep_ids: bool = False) -> DataFrame:
+def digest(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return round_trip(docs, tokenizer).select(
-        "doc_id", "n_tokens", *["ids"] * keep_ids, F.sha2("ids", 256).alias("ids_sha256"),
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def with_tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """``docs``, all rows and columns, with n_tokens, packed ids, and the digests of the
+    ids and of the text decoded from them; a new column whose name is taken gets a
+    longer one."""
+    from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+
+    shared = bpe_tables.load(docs.sparkSession, tokenizer)
+    kinds = {"n_tokens": LongType(), "ids": BinaryType(), "ids_sha256": StringType(), "decoded_sha256": StringType()}
+    names = {k: free_name(k, docs.columns) for k in kinds}
+    text = docs.columns.index("text")
+
+    def run(batches):
+        for batch in bounded(batches):
+            words = _words(shared)
+            own = [x if x is not None else "" for x in batch.column(text).to_pylist()]
+            flat, count = words.encode(own)
+            ids = _binary(flat, count)
+            decoded = decode_ids(words.tables, flat.astype(np.int64), count)
+            made = {"n_tokens": pa.array(count, pa.int64()), "ids": ids,
+                    "ids_sha256": pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in ids], pa.string()),
+                    "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string())}
+            for k, column in made.items():
+                batch = batch.append_column(names[k], column)
+            yield batch
+
+    return map_batches(docs, run, StructType([*docs.schema.fields, *[StructField(names[k], t) for k, t in kinds.items()]]))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return digest(read_table(spark, sf_dir, "documents"))

@@ -213,7 +213,8 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_recognised(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text a language is found for."""
+    """The rows of ``docs``, all columns, whose text a language is found for; where no row
+    is labelled nothing can be learned, and all texts with a letter stay."""
     from pyspark.sql.types import StringType, StructField, StructType
 
     sample = labelled_sample(docs)
@@ -221,7 +222,10 @@ def keep_recognised(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in bounded(batches, limit=1 << 20):
-            lang, _ = _parser(sample).predict(texts(batch))
+            own = texts(batch)
+            lang, _ = _parser(sample).predict(own)
+            if not sample:
+                lang = ["" if any(map(str.isalpha, t)) else UNKNOWN for t in own]
             yield batch.append_column(name, pa.array(lang, pa.string()))
 
     schema = StructType([*docs.schema.fields, StructField(name, StringType())])

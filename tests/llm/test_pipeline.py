@@ -12,7 +12,7 @@ from tests.llm.test_operators import slow_components, slow_fingerprint
 
 def test_registered():
     names = {n.split("_")[0] for n in E.queries()}
-    assert {f"op{i}" for i in range(1, 11)} <= names and "pipeline" in E.queries()
+    assert {f"op{i}" for i in range(1, 14)} <= names and "pipeline" in E.queries()
 
 
 def test_decontamination_oracle(spark):
@@ -106,3 +106,31 @@ def test_language_stage_with_clashing_columns(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, Lang_Found string")
     got = langid.keep_recognised(docs)
     assert got.columns == docs.columns and got.count() == 9
+
+
+CLASHING = ("lang string, source string, n_chars long, n_tokens string, ids string, ids_sha256 string, Lang_Found string, "
+            "fp string, Rank string, n string, item string, items string, spans string, clean string")
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stage_on_empty_and_clashing_tables(spark, name, stage):
+    schema = f"doc_id long, text string, {CLASHING}"
+    rows = [(i, t, "en", "s", 0, *["x"] * 11) for i, t in
+            [(1, "the cat sat on the mat today"), (1, "the cat sat on the mat today"), (None, "a dog ran in the park"), (4, None), (5, "")]]
+    last = name == corpus_pipeline.STAGES[-1][0]
+    for data in ([], rows):
+        docs = spark.createDataFrame(data, schema)
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns[:len(docs.columns)] == docs.columns and (last or out.columns == docs.columns)
+        assert out.count() <= len(data) and (not data or out.count())
+    if last:
+        assert out.columns[-4:] == ["n_tokens_", "ids_", "ids_sha256_", "decoded_sha256"]
+        empty = hashlib.sha256(b"").hexdigest()
+        assert sum(r.decoded_sha256 == empty and r["n_tokens_"] == 0 for r in out.collect()) == 2
+
+
+def test_unlabelled_corpus_keeps_its_texts(spark):
+    from milepost.llm import langid
+    rows = [(i, t, None) for i, t in enumerate(["the cat", "123 !!", None, "", "дом"])]
+    got = langid.keep_recognised(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r.text for r in got.collect()} == {"the cat", "дом"}
