@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from milepost.llm import bpe_codec, decontaminate, langid, secret_scan, simhash
 from milepost.llm.common import read_table
-from milepost.session import ensure_checkpoint_dir
+from milepost.session import ensure_checkpoint_dir, remove_folder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +37,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, packed, with their count and the round trip's digests."""
-    return bpe_codec.digest(docs, keep_ids=True)
+    """All columns, with the token ids, packed, their count and the round trip's digests."""
+    return bpe_codec.with_tokens(docs)
 
 
 STAGES = [
@@ -54,9 +54,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result lies in the run's folder under the checkpoint folder; what a stage read
+    is removed once it has written."""
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = read_table(spark, sf_dir, "documents")
+    docs, last = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if last:
+            remove_folder(spark, f"{folder}/{last}")
+        last = name
     return docs
