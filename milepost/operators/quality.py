@@ -1,19 +1,21 @@
 """Rule-based data quality.
 
 ``quality_report`` returns one row per rule (rule, description, violations,
-passed) computed in few passes: snapshot-local rules share one aggregate over
+passed, sample_ids) computed in few passes: snapshot-local rules share one aggregate over
 snapshots, event-local rules one over events, the chronology rule one over
 shipments; only referential integrity, the event count per shipment and id
-uniqueness shuffle.  ``validate`` is the strict mode: it raises for the first
+uniqueness shuffle.  ``sample_ids`` names where to look: the smallest offending id of
+each of ``SAMPLES`` md5 buckets, plain minima of the same pass.  ``validate`` is the strict mode: it raises for the first
 failing rule in rule order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milepost.config import STAGES
+from milepost.functions.expr import fold_of
 from milepost.operators.derive import ACTUAL
 
 RULES = (
@@ -34,6 +36,21 @@ RULES = (
 MESSAGES = {rule: f"data quality rule broken: {text}" for rule, text in RULES}
 
 
+#: Most ids that a rule's sample holds.
+SAMPLES = 5
+
+
+def sample_ids(cond: Column, key: str = "shipment_id") -> Column:
+    """Aggregate: ids of rows where ``cond`` holds, spread over md5 buckets, sorted."""
+    bucket = fold_of(key, "sample", SAMPLES)
+    least = [F.min(F.when(cond & (bucket == j), F.col(key).cast("string"))) for j in range(SAMPLES)]
+    return F.array_sort(F.array_compact(F.array(*least)))
+
+
+def _rule(name: str, cond: Column, key: str) -> list[Column]:
+    return [_count_if(cond).alias(name), sample_ids(cond, key).alias(f"{name}_ids")]
+
+
 def _count_if(cond) -> F.Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
@@ -45,23 +62,24 @@ def chronology_violation() -> F.Column:
 
 
 def shipment_violations(shipments: DataFrame, expected: int | None = None) -> DataFrame:
-    agg = shipments.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.countDistinct("shipment_id").alias("n_ids"),
-        _count_if(chronology_violation()).alias("C08"),
-    )
+    per_id = shipments.groupBy("shipment_id").agg(
+        F.count(F.lit(1)).alias("n"), _count_if(chronology_violation()).alias("bad"))
+    agg = per_id.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("shipment_id").alias("n_ids"),
+        sample_ids(F.col("n") > 1).alias("C01_ids"),
+        F.coalesce(F.sum("bad"), F.lit(0)).cast("bigint").alias("C08"), sample_ids(F.col("bad") > 0).alias("C08_ids"))
     exp = F.col("n") if expected is None else F.lit(expected)
     return agg.select(
         (F.abs(F.col("n") - exp) + F.abs(F.col("n_ids") - exp)).cast("bigint").alias("C01"),
-        "C08")
+        "C01_ids", "C08", "C08_ids")
 
 
 def event_violations(events: DataFrame) -> DataFrame:
     missing = F.col("is_update_missing").cast("boolean")
     return events.agg(
-        _count_if(missing & F.col("reported_at").isNotNull()).alias("C09"),
-        _count_if(~missing & F.col("reported_at").isNull()).alias("C10"),
-        _count_if(~missing & (F.col("reported_at") < F.col("actual_at"))).alias("C11"),
+        *_rule("C09", missing & F.col("reported_at").isNotNull(), "shipment_id"),
+        *_rule("C10", ~missing & F.col("reported_at").isNull(), "shipment_id"),
+        *_rule("C11", ~missing & (F.col("reported_at") < F.col("actual_at")), "shipment_id"),
     )
 
 
@@ -74,11 +92,11 @@ def snapshot_violations(snapshots: DataFrame, stages=STAGES) -> DataFrame:
     def any_present(cols):
         return F.greatest(*[F.col(c).isNotNull() for c in cols])
     return snapshots.agg(
-        _count_if(stage.isNull() | ~stage.isin(list(stages))).alias("C05"),
-        _count_if(F.col("target_final_delay_hours").isNull()
-                  | F.isnan(F.col("target_final_delay_hours").cast("double"))).alias("C07"),
-        _count_if((stage == stages[0]) & any_present(s1_future)).alias("C12"),
-        _count_if((stage == stages[1]) & any_present(s2_future)).alias("C13"),
+        *_rule("C05", stage.isNull() | ~stage.isin(list(stages)), "snapshot_id"),
+        *_rule("C07", F.col("target_final_delay_hours").isNull()
+               | F.isnan(F.col("target_final_delay_hours").cast("double")), "snapshot_id"),
+        *_rule("C12", (stage == stages[0]) & any_present(s1_future), "snapshot_id"),
+        *_rule("C13", (stage == stages[1]) & any_present(s2_future), "snapshot_id"),
     )
 
 
@@ -94,8 +112,20 @@ def unknown_references(child: DataFrame, shipments: DataFrame) -> DataFrame:
 
 
 def unknown_rows(child: DataFrame, shipments: DataFrame, name: str = "violations") -> DataFrame:
+    """C2/C3 in one row: number of rows and a sample of the unknown ids."""
     return unknown_references(child, shipments).agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias(name))
+        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias(name),
+        sample_ids(F.lit(True)).alias(f"{name}_ids"))
+
+
+def _counted(bad: DataFrame, name: str) -> DataFrame:
+    return bad.agg(F.count(F.lit(1)).cast("bigint").alias(name), sample_ids(F.lit(True)).alias(f"{name}_ids"))
+
+
+def _repeats(snapshots: DataFrame, name: str) -> DataFrame:
+    return duplicate_ids(snapshots).agg(
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias(name),
+        sample_ids(F.lit(True), "snapshot_id").alias(f"{name}_ids"))
 
 
 def event_count_violations(events: DataFrame, shipments: DataFrame | None = None,
@@ -120,24 +150,16 @@ def duplicate_ids(snapshots: DataFrame) -> DataFrame:
 def quality_report(shipments: DataFrame, events: DataFrame, snapshots: DataFrame,
                    expected_shipments: int | None = None, stages=STAGES,
                    strict_event_count: bool = False) -> DataFrame:
-    """One row per rule: rule, description, violations, passed."""
-    sv = shipment_violations(shipments, expected_shipments)
-    ev = event_violations(events)
-    nv = snapshot_violations(snapshots, stages)
-
-    def n_rows(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).cast("bigint").alias(name))
-
-    dup = duplicate_ids(snapshots).agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("C06"))
-    wide = (sv.crossJoin(ev).crossJoin(nv)  # single-row frames
+    """One row per rule: rule, description, violations, sample_ids, passed."""
+    wide = (shipment_violations(shipments, expected_shipments)
+            .crossJoin(event_violations(events))  # single-row frames
+            .crossJoin(snapshot_violations(snapshots, stages))
             .crossJoin(unknown_rows(events, shipments, "C02"))
             .crossJoin(unknown_rows(snapshots, shipments, "C03"))
-            .crossJoin(n_rows(event_count_violations(events, shipments,
-                                                     strict=strict_event_count), "C04"))
-            .crossJoin(dup))
-    rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(d).alias("description"),
-                               F.col(r).alias("violations")) for r, d in RULES])
+            .crossJoin(_counted(event_count_violations(events, shipments, strict=strict_event_count), "C04"))
+            .crossJoin(_repeats(snapshots, "C06")))
+    rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(d).alias("description"), F.col(r).alias("violations"),
+                               F.col(f"{r}_ids").alias("sample_ids")) for r, d in RULES])
     return (wide.select(F.inline(rules))
             .withColumn("passed", F.col("violations") == 0))
 
@@ -156,22 +178,19 @@ def validate(shipments: DataFrame, events: DataFrame, snapshots: DataFrame,
 
 def rule_violations(rule: str, shipments: DataFrame, events: DataFrame, snapshots: DataFrame,
                     expected_shipments: int | None = None, stages=STAGES) -> DataFrame:
-    """Violation count of a single rule as a one-row frame (column ``violations``)."""
-    def n_rows(df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
-    if rule == "C01":
-        return shipment_violations(shipments, expected_shipments).select(F.col("C01").alias("violations"))
-    if rule == "C02":
-        return unknown_rows(events, shipments)
-    if rule == "C03":
-        return unknown_rows(snapshots, shipments)
-    if rule == "C04":
-        return n_rows(event_count_violations(events, shipments))
-    if rule == "C06":
-        return duplicate_ids(snapshots).agg(
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations"))
-    if rule == "C08":
-        return shipment_violations(shipments, expected_shipments).select(F.col("C08").alias("violations"))
-    if rule in ("C09", "C10", "C11"):
-        return event_violations(events).select(F.col(rule).alias("violations"))
-    return snapshot_violations(snapshots, stages).select(F.col(rule).alias("violations"))
+    """A single rule in one row: violations, sample_ids."""
+    if rule in ("C01", "C08"):
+        own = shipment_violations(shipments, expected_shipments)
+    elif rule == "C02":
+        own = unknown_rows(events, shipments, rule)
+    elif rule == "C03":
+        own = unknown_rows(snapshots, shipments, rule)
+    elif rule == "C04":
+        own = _counted(event_count_violations(events, shipments), rule)
+    elif rule == "C06":
+        own = _repeats(snapshots, rule)
+    elif rule in ("C09", "C10", "C11"):
+        own = event_violations(events)
+    else:
+        own = snapshot_violations(snapshots, stages)
+    return own.select(F.col(rule).alias("violations"), F.col(f"{rule}_ids").alias("sample_ids"))

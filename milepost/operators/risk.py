@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from milepost.config import RISK_LEVEL_EDGES, RISK_LEVELS, Config
 from milepost.functions.expr import fold_of, right_closed_bin
 from milepost.operators import crossfit, encode
-from milepost.operators.eta import eta_oof, run_folds, sized
+from milepost.operators.eta import eta_oof, fit_eta, run_folds, sized
 from milepost.operators.features import (
     CATEGORICAL, RISK_COLUMNS, TYPICAL, Preprocessor, fit_preprocessor, risk_feature_frame,
 )
@@ -237,6 +237,16 @@ def fit_risk_stack(train_rows: DataFrame, train_shipments: DataFrame,
     return RiskModels(final, platt, raw), scored.select(*keep, *RISK_OUTPUT)
 
 
+def eta_with_folds(train_rows: DataFrame, train_shipments: DataFrame, prediction_rows: DataFrame, cfg: Config,
+                   store: crossfit.FoldStore | None = None):
+    """Predictions of the ETA models, and a store that holds the cross-fit's folds: the
+    two don't depend on each other, so their fits run side by side."""
+    store = store or crossfit.FoldStore(train_rows.sparkSession)
+    jobs = (lambda: fit_eta(train_rows, train_shipments, prediction_rows, cfg)[1],
+            lambda: eta_oof(train_rows, train_shipments, cfg, 0, store))
+    return run_folds(lambda i: jobs[i](), 2, cfg.parallel_fits)[0], store
+
+
 def oof_contract(raw_oof: DataFrame, fit_rows: DataFrame) -> DataFrame:
     """One row: fit rows without an OOF value, values outside [0,1], NULLs."""
     missing = fit_rows.select("snapshot_id").join(raw_oof.select("snapshot_id"), "snapshot_id",

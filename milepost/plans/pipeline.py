@@ -91,6 +91,31 @@ def _rows(df: DataFrame) -> list[dict]:
     return [r.asDict() for r in df.collect()]
 
 
+def summary_record(cfg: Config, manifest: DataFrame, predictions: DataFrame, comparison: DataFrame,
+                   risk: DataFrame, paths: dict) -> dict:
+    """The run's one record, from the split, the scored test rows and their metrics."""
+    split_sizes = {r["split"]: r["n"] for r in _rows(manifest.groupBy("split").agg(F.count(F.lit(1)).alias("n")))}
+    by_stage = {r["snapshot_stage"]: r["n_snapshots"] for r in _rows(EV.counts_by_stage(predictions))}
+    head = _rows(EV.headline(comparison, risk))
+    head = head[0] if head else {}
+    # The keys and the policy text of the original summary.
+    return {
+        "policy": "Stage-routed v2 ETA plus Risk HGB v2 Stack",
+        "seed": cfg.seed,
+        "split_shipments": split_sizes,
+        "test_snapshots": int(sum(by_stage.values())),
+        "test_snapshots_by_stage": by_stage,
+        "risk_threshold": cfg.risk_threshold if cfg.risk_threshold is not None else RISK_THRESHOLD,
+        "no_post_test_tuning": True,
+        "eta_mae_hours": head.get("eta_mae_hours"),
+        "eta_rmse_hours": head.get("eta_rmse_hours"),
+        "risk_pr_auc": head.get("risk_pr_auc"),
+        "risk_brier_score": head.get("risk_brier_score"),
+        "risk_f1": head.get("risk_f1"),
+        "report_paths": paths,
+    }
+
+
 def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
         strict: bool = True, fmt: str = "parquet", checkpoint: bool = True,
         tables: Journeys | None = None, expected_shipments: int | None = None,
@@ -109,11 +134,13 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
     lay = Layout(root)
     report = QA.quality_report(t.shipments, t.events, t.snapshots, expected_shipments, stages=cfg.stages)
     report_rows = sorted(_rows(report), key=lambda r: r["rule"])  # 13 rows
-    sinks.write_table(report, lay.path("quality", "quality_report"), fmt, small=True)
+    sinks.write_table(report.withColumn("sample_ids", F.array_join("sample_ids", ",")),
+                      lay.path("quality", "quality_report"), fmt, small=True)
     if strict:
         for r in report_rows:
             if r["violations"]:
-                raise ValueError(f"{QA.MESSAGES[r['rule']]} ({r['rule']}: {r['violations']})")
+                raise ValueError(f"{QA.MESSAGES[r['rule']]} ({r['rule']}: {r['violations']})"
+                                 + (f", e.g. {', '.join(r['sample_ids'])}" if r["sample_ids"] else ""))
     sinks.write_base_tables(lay, t.shipments, t.events, t.snapshots, t.manifest, fmt)
     for name, df in eda_tables(t).items():
         sinks.write_table(df, lay.path("eda", name), fmt, small=name != "propagation_points")
@@ -161,31 +188,12 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
     sinks.write_table(RP.risk_report(fin.risk), lay.path("final_reports", "final_risk_report_table"), fmt, small=True)
 
     # summary
-    split_sizes = {r["split"]: r["n"] for r in _rows(t.manifest.groupBy("split").agg(F.count(F.lit(1)).alias("n")))}
-    by_stage = {r["snapshot_stage"]: r["n_snapshots"] for r in _rows(EV.counts_by_stage(fin.predictions))}
-    head = _rows(EV.headline(fin.comparison, fin.risk))
-    head = head[0] if head else {}
-    # The keys and the policy text of the original summary.
-    summary = {
-        "policy": "Stage-routed v2 ETA plus Risk HGB v2 Stack",
-        "seed": cfg.seed,
-        "split_shipments": split_sizes,
-        "test_snapshots": int(sum(by_stage.values())),
-        "test_snapshots_by_stage": by_stage,
-        "risk_threshold": cfg.risk_threshold if cfg.risk_threshold is not None else RISK_THRESHOLD,
-        "no_post_test_tuning": True,
-        "eta_mae_hours": head.get("eta_mae_hours"),
-        "eta_rmse_hours": head.get("eta_rmse_hours"),
-        "risk_pr_auc": head.get("risk_pr_auc"),
-        "risk_brier_score": head.get("risk_brier_score"),
-        "risk_f1": head.get("risk_f1"),
-        "report_paths": {
-            "quality": lay.path("quality", "quality_report"),
-            "eda": lay.path("eda", ""),
-            "final": lay.path("final_metrics", ""),
-            "cases": lay.path("final_reports", "final_case_studies"),
-        },
-    }
+    summary = summary_record(cfg, t.manifest, fin.predictions, fin.comparison, fin.risk, {
+        "quality": lay.path("quality", "quality_report"),
+        "eda": lay.path("eda", ""),
+        "final": lay.path("final_metrics", ""),
+        "cases": lay.path("final_reports", "final_case_studies"),
+    })
     sinks.write_summary(spark, summary, lay.path("final_reports", "final_test_summary"))
     for done in (val, fin):
         done.store.remove()

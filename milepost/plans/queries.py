@@ -154,7 +154,7 @@ def q_snapshots_events(t: Journeys) -> DataFrame:
 from milepost.operators import quality  # noqa: E402
 
 _RULE_ROWS = "\n  UNION ALL ".join(
-    f"SELECT '{r}' AS rule, '{d}' AS description, CAST(({{{r}}}) AS BIGINT) AS violations"
+    f"SELECT '{r}' AS rule, '{d}' AS description, CAST(({{{r}}}) AS BIGINT) AS violations, ({{{r}_ids}}) AS sample_ids"
     for r, d in quality.RULES)
 
 _ACT = ["actual_departure_at", "actual_port_arrival_at", "actual_customs_clearance_at",
@@ -162,30 +162,44 @@ _ACT = ["actual_departure_at", "actual_port_arrival_at", "actual_customs_clearan
 _CHRONO = " OR ".join(f"coalesce({b} < {a}, false)" for a, b in zip(_ACT, _ACT[1:]))
 
 
+def _sample_sql(ids: str) -> str:
+    """The smallest of the ids in each md5 bucket, joined in order."""
+    return (f"SELECT coalesce(string_agg(id, ',' ORDER BY id), '') FROM (SELECT min(CAST(id AS VARCHAR)) AS id FROM ({ids}) "
+            f"WHERE id IS NOT NULL GROUP BY {O.FOLD('CAST(id AS VARCHAR)', 'sample', quality.SAMPLES)})")
+
+
 def _rule_sql(sh: str, ev: str, sn: str, expected: str | None = None) -> dict:
     exp = expected or f"(SELECT count(*) FROM {sh})"
-    return {
-        "C01": f"SELECT abs((SELECT count(*) FROM {sh}) - {exp}) + abs((SELECT count(DISTINCT shipment_id) FROM {sh}) - {exp})",
-        "C02": f"SELECT count(*) FROM {ev} e WHERE NOT EXISTS (SELECT 1 FROM {sh} s WHERE s.shipment_id = e.shipment_id)",
-        "C03": f"SELECT count(*) FROM {sn} e WHERE NOT EXISTS (SELECT 1 FROM {sh} s WHERE s.shipment_id = e.shipment_id)",
-        "C04": f"SELECT count(*) FROM (SELECT shipment_id, count(*) AS n FROM {ev} GROUP BY shipment_id) WHERE n <> 5",
-        "C05": f"SELECT count(*) FROM {sn} WHERE snapshot_stage IS NULL OR snapshot_stage NOT IN ('ORIGIN_DEPARTED', 'PORT_ARRIVED', 'CUSTOMS_CLEARED')",
-        "C06": f"SELECT coalesce(sum(n - 1), 0) FROM (SELECT snapshot_id, count(*) AS n FROM {sn} GROUP BY snapshot_id HAVING count(*) > 1)",
-        "C07": f"SELECT count(*) FROM {sn} WHERE target_final_delay_hours IS NULL",
-        "C08": f"SELECT count(*) FROM {sh} WHERE {_CHRONO}",
-        "C09": f"SELECT count(*) FROM {ev} WHERE is_update_missing AND reported_at IS NOT NULL",
-        "C10": f"SELECT count(*) FROM {ev} WHERE NOT is_update_missing AND reported_at IS NULL",
-        "C11": f"SELECT count(*) FROM {ev} WHERE NOT is_update_missing AND reported_at < actual_at",
-        "C12": f"SELECT count(*) FROM {sn} WHERE snapshot_stage = 'ORIGIN_DEPARTED' AND (observed_port_arrival_delay_hours IS NOT NULL OR observed_customs_delay_hours IS NOT NULL OR truck_availability_score IS NOT NULL)",
-        "C13": f"SELECT count(*) FROM {sn} WHERE snapshot_stage = 'PORT_ARRIVED' AND (observed_customs_delay_hours IS NOT NULL OR truck_availability_score IS NOT NULL)",
-    }
+
+    def unknown(child: str) -> str:
+        return f"FROM {child} e WHERE NOT EXISTS (SELECT 1 FROM {sh} s WHERE s.shipment_id = e.shipment_id)"
+
+    evidence = "observed_customs_delay_hours IS NOT NULL OR truck_availability_score IS NOT NULL"
+    rows = {  # offending rows and the id that names them
+        "C05": (f"FROM {sn} WHERE snapshot_stage IS NULL OR snapshot_stage NOT IN ('ORIGIN_DEPARTED', 'PORT_ARRIVED', 'CUSTOMS_CLEARED')", "snapshot_id"),
+        "C07": (f"FROM {sn} WHERE target_final_delay_hours IS NULL", "snapshot_id"),
+        "C08": (f"FROM {sh} WHERE {_CHRONO}", "shipment_id"),
+        "C09": (f"FROM {ev} WHERE is_update_missing AND reported_at IS NOT NULL", "shipment_id"),
+        "C10": (f"FROM {ev} WHERE NOT is_update_missing AND reported_at IS NULL", "shipment_id"),
+        "C11": (f"FROM {ev} WHERE NOT is_update_missing AND reported_at < actual_at", "shipment_id"),
+        "C12": (f"FROM {sn} WHERE snapshot_stage = 'ORIGIN_DEPARTED' AND (observed_port_arrival_delay_hours IS NOT NULL OR {evidence})", "snapshot_id"),
+        "C13": (f"FROM {sn} WHERE snapshot_stage = 'PORT_ARRIVED' AND ({evidence})", "snapshot_id"),
+        "C02": (unknown(ev), "shipment_id"), "C03": (unknown(sn), "shipment_id"),
+        "C04": (f"FROM (SELECT shipment_id, count(*) AS n FROM {ev} GROUP BY shipment_id) WHERE n <> 5", "shipment_id")}
+    out = {r: f"SELECT count(*) {x}" for r, (x, _) in rows.items()}
+    out["C01"] = f"SELECT abs((SELECT count(*) FROM {sh}) - {exp}) + abs((SELECT count(DISTINCT shipment_id) FROM {sh}) - {exp})"
+    out["C06"] = f"SELECT coalesce(sum(n - 1), 0) FROM (SELECT snapshot_id, count(*) AS n FROM {sn} GROUP BY snapshot_id HAVING count(*) > 1)"
+    rows |= {"C01": (f"FROM {sh} GROUP BY shipment_id HAVING count(*) > 1", "shipment_id"),
+             "C06": (f"FROM {sn} GROUP BY snapshot_id HAVING count(*) > 1", "snapshot_id")}
+    return out | {f"{r}_ids": _sample_sql(f"SELECT {key} AS id {x}") for r, (x, key) in rows.items()}
 
 
 @register("quality_report", O.sql(
-    "SELECT rule, description, violations, violations = 0 AS passed FROM (\n  "
+    "SELECT rule, description, violations, violations = 0 AS passed, sample_ids FROM (\n  "
     + _RULE_ROWS.format(**_rule_sql("shipments_t", "mevents", "snaps")) + ")"))
 def q_quality(t: Journeys) -> DataFrame:
-    return quality.quality_report(t.shipments, t.events, t.snapshots)
+    report = quality.quality_report(t.shipments, t.events, t.snapshots)
+    return report.withColumn("sample_ids", F.array_join("sample_ids", ","))
 
 
 # One deterministic fault per rule, injected into the rows that match a data
@@ -254,14 +268,16 @@ def _mutate(rule: str, t: Journeys):
 def _mutation_query(rule: str):
     sh_sql, ev_sql, sn_sql = _MUTATIONS_SQL[rule]
     expected = "(SELECT count(*) FROM shipments_t)"
-    body = _rule_sql("m_sh", "m_ev", "m_sn", expected)[rule]
+    parts = _rule_sql("m_sh", "m_ev", "m_sn", expected)
+    body, ids = parts[rule], parts[f"{rule}_ids"]
     extra = f"m_sh AS (SELECT * FROM {sh_sql}),\nm_ev AS (SELECT * FROM {ev_sql}),\nm_sn AS (SELECT * FROM {sn_sql})"
-    sql_text = O.sql(f"SELECT '{rule}' AS rule, CAST(({body}) AS BIGINT) AS violations", extra)
+    sql_text = O.sql(f"SELECT '{rule}' AS rule, CAST(({body}) AS BIGINT) AS violations, ({ids}) AS sample_ids", extra)
 
     def fn(t: Journeys) -> DataFrame:
         n = t.shipments.count() if rule == "C01" else None  # expected population (one number)
         sh, ev, sn = _mutate(rule, t)
-        return quality.rule_violations(rule, sh, ev, sn, n).select(F.lit(rule).alias("rule"), "violations")
+        return quality.rule_violations(rule, sh, ev, sn, n).select(
+            F.lit(rule).alias("rule"), "violations", F.array_join("sample_ids", ",").alias("sample_ids"))
     register(f"quality_mutation_{rule.lower()}", sql_text)(fn)
 
 
@@ -944,7 +960,9 @@ def q_recommendations(t: Journeys) -> DataFrame:
 
 @register("quality_counts", O.sql(
     "SELECT (SELECT CAST(count(*) AS BIGINT) FROM shipments_t) AS shipments, (SELECT CAST(count(*) AS BIGINT) FROM mevents) AS events, "
-    "(SELECT CAST(count(*) AS BIGINT) FROM snaps) AS snapshots, 'passed' AS verdict"))
+    "(SELECT CAST(count(*) AS BIGINT) FROM snaps) AS snapshots, "
+    "(SELECT CASE WHEN max(violations) = 0 THEN 'passed' ELSE 'failed' END FROM (\n  "
+    + _RULE_ROWS.format(**_rule_sql("shipments_t", "mevents", "snaps")) + ")) AS verdict"))
 def q_quality_counts(t: Journeys) -> DataFrame:
     rep = quality.quality_report(t.shipments, t.events, t.snapshots)
     return RP.quality_counts(t.shipments, t.events, t.snapshots, rep)
@@ -994,8 +1012,8 @@ def q_risk_predictions(t: Journeys) -> DataFrame:
     from milepost.session import cut_lineage
     tr, ts, va = (cut_lineage(t.snapshots_of("train")), cut_lineage(t.shipments_of("train")),
                   cut_lineage(t.snapshots_of("validation")))
-    _, eta_pred = ET.fit_eta(tr, ts, va, t.cfg)
-    _, pred = RK.fit_risk_stack(tr, ts, va, cut_lineage(eta_pred), t.cfg)
+    eta_pred, store = RK.eta_with_folds(tr, ts, va, t.cfg)
+    _, pred = RK.fit_risk_stack(tr, ts, va, cut_lineage(eta_pred), t.cfg, store=store)
     return pred.select("snapshot_id", "snapshot_stage", "predicted_final_delay_hours", *RK.RISK_OUTPUT)
 
 
@@ -1109,7 +1127,14 @@ def q_stored_snapshots(t: Journeys) -> DataFrame:
     return back.select([F.col(c).cast(kind) for c, kind in t.snapshots.dtypes])
 
 
+_WATERFALL_SQL = (
+    "CASE snapshot_stage WHEN 'PORT_ARRIVED' THEN printf('planned customs %.2fh + customs deviation %.2fh + planned post-customs "
+    f"%.2fh + post-customs deviation %.2fh', {O.EXACT_HOURS('snapshot_at', 'scheduled_customs_clearance_at')}, direct, "
+    f"{O.EXACT_HOURS('scheduled_customs_clearance_at', 'scheduled_final_eta')}, structured) "
+    "WHEN 'CUSTOMS_CLEARED' THEN printf('planned inland %.2fh + inland deviation %.2fh', "
+    f"{O.EXACT_HOURS('snapshot_at', 'scheduled_final_eta')}, structured) ELSE '{RP.NOT_APPLICABLE}' END")
 _CASE_COLUMNS = ("\"case\", shipment_id, snapshot_id, route, snapshot_stage, actions, "
+                 f"{O.ISO(O.ADD_HOURS('scheduled_final_eta', 'b2'))} AS predicted_final_eta, {_WATERFALL_SQL} AS waterfall, "
                  "round(p, 3) AS risk_probability, p >= 0.29 AS alert, round(b2, 2) AS predicted_delay_hours, "
                  "round(target_final_delay_hours, 2) AS actual_final_delay_hours")
 
@@ -1120,16 +1145,15 @@ _CASE_COLUMNS = ("\"case\", shipment_id, snapshot_id, route, snapshot_stage, act
     f"(SELECT 'S2 highest structured deviation', *, {_REC_SQL} FROM te6 WHERE snapshot_stage = 'PORT_ARRIVED' ORDER BY direct + structured DESC NULLS LAST, snapshot_id LIMIT 1) UNION ALL "
     f"(SELECT 'S3 lowest risk', *, {_REC_SQL} FROM te6 WHERE snapshot_stage = 'CUSTOMS_CLEARED' ORDER BY p NULLS LAST, snapshot_id LIMIT 1))", _SCORED))
 def q_case_rows(t: Journeys) -> DataFrame:
-    """L4 on the deterministic predictions (delay: carry-forward; deviations: direct, structured)."""
-    zero = F.lit(0.0)
-    rows = _scored_rows(t).withColumns({
+    """L4, all columns, on the deterministic predictions (delay: carry-forward;
+    deviations: direct, structured; planned hours of the snapshots)."""
+    rows = ET.s3_targets(ET.s2_targets(_scored_rows(t))).withColumns({
         "predicted_customs_deviation_hours": F.col("direct"), "predicted_post_customs_deviation_hours": F.col("structured"),
-        "predicted_inland_deviation_hours": zero, "planned_customs_remaining_hours": zero,
-        "planned_post_customs_remaining_hours": zero, "planned_inland_remaining_hours": zero,
+        "predicted_inland_deviation_hours": F.col("structured"),
         "predicted_final_delay_hours": F.col("b2_predicted_delay_hours"),
-        "predicted_final_eta": F.col("scheduled_final_eta"),
+        "predicted_final_eta": ET.predicted_eta("b2_predicted_delay_hours"),
         "predicted_material_delay": RK.risk_alert()})
-    return RP.case_rows(rows).drop("predicted_final_eta", "waterfall").withColumn("actions", F.array_join("actions", " | "))
+    return RP.case_rows(rows).withColumn("actions", F.array_join("actions", " | "))
 
 
 @register("validation_report", O.sql(
@@ -1140,27 +1164,42 @@ def q_validation_report(t: Journeys) -> DataFrame:
     return RP.report_metrics(EV.regression_metrics(_scored_rows(t), _ALL_METHODS), RP.ETA_REPORT_METHODS)
 
 
+_SUMMARY_METRICS = ("eta_mae_hours", "eta_rmse_hours", "risk_pr_auc", "risk_brier_score", "risk_f1")
+
+
 @register("run_summary", O.sql(
-    "SELECT (SELECT CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) FROM manifest) AS train, "
-    "(SELECT CAST(count(*) FILTER (WHERE split = 'validation') AS BIGINT) FROM manifest) AS validation, "
-    "(SELECT CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) FROM manifest) AS test, "
-    "(SELECT CAST(count(*) AS BIGINT) FROM te) AS test_snapshots, round(r.mae_hours, 6) AS eta_mae_hours "
-    "FROM reg6 r WHERE r.method = 'Stage-routed v2 policy' AND r.scope = 'ALL'", _SCORED))
+    "SELECT 'Stage-routed v2 ETA plus Risk HGB v2 Stack' AS policy, CAST("
+    f"{Config().seed} AS BIGINT) AS seed, " + ", ".join(
+        f"(SELECT CAST(count(*) FILTER (WHERE split = '{x}') AS BIGINT) FROM manifest) AS {x}" for x in ("train", "validation", "test"))
+    + ", (SELECT CAST(count(*) AS BIGINT) FROM te) AS test_snapshots, " + ", ".join(
+        f"(SELECT CAST(count(*) FILTER (WHERE snapshot_stage = '{x}') AS BIGINT) FROM te) AS {x.lower()}" for x in Config().stages)
+    + ", CAST(0.29 AS DOUBLE) AS risk_threshold, true AS no_post_test_tuning, "
+    "round(r.mae_hours, 6) AS eta_mae_hours, round(r.rmse_hours, 6) AS eta_rmse_hours, round(ap.pr_auc, 6) AS risk_pr_auc, "
+    "round(prf.brier_score, 6) AS risk_brier_score, round(prf.f1, 6) AS risk_f1, 'a,b' AS report_paths "
+    "FROM reg6 r JOIN prf USING (scope) JOIN ap USING (scope) "
+    "WHERE r.method = 'Stage-routed v2 policy' AND r.scope = 'ALL'", _SCORED))
 def q_run_summary(t: Journeys) -> DataFrame:
-    """A4: the record that the job writes as JSON, written and read again."""
+    """A4: the job's own record (pipeline.summary_record), all fields, written as JSON and
+    read again; the paths are two stand-ins."""
     import uuid
+    from milepost.plans.pipeline import summary_record
     from milepost.session import ensure_checkpoint_dir
     from milepost.sources import sinks
     spark = t.snapshots.sparkSession
     rows = _scored_rows(t)
-    sizes = {r.split: r.n for r in t.manifest.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
-    routed = EV.regression_metrics(rows, {"Stage-routed v2 policy": "routed"}).where("scope = 'ALL'").first()
+    record = summary_record(t.cfg, t.manifest, rows, EV.regression_metrics(rows, _ALL_METHODS), EV.risk_metrics(rows),
+                            {"cases": "b", "quality": "a"})
     path = f"{ensure_checkpoint_dir(spark)}/summary-{uuid.uuid4().hex}"
-    sinks.write_summary(spark, sizes | {
-        "test_snapshots": sum(r.n_snapshots for r in EV.counts_by_stage(rows).collect()),
-        "eta_mae_hours": routed.mae_hours if routed else None}, path)
-    out = spark.read.schema("train long, validation long, test long, test_snapshots long, eta_mae_hours double").json(path)
-    return out.withColumn("eta_mae_hours", r6("eta_mae_hours"))
+    sinks.write_summary(spark, record, path)
+    counts = "map<string, bigint>"
+    out = spark.read.schema(f"policy string, seed bigint, split_shipments {counts}, test_snapshots bigint, test_snapshots_by_stage {counts}, "
+                            "risk_threshold double, no_post_test_tuning boolean, report_paths map<string, string>, "
+                            + ", ".join(f"{c} double" for c in _SUMMARY_METRICS)).json(path)
+    return out.select(
+        "policy", "seed", *[F.col("split_shipments")[x].alias(x) for x in ("train", "validation", "test")], "test_snapshots",
+        *[F.col("test_snapshots_by_stage")[x].alias(x.lower()) for x in t.cfg.stages], "risk_threshold", "no_post_test_tuning",
+        *[r6(c).alias(c) for c in _SUMMARY_METRICS],
+        F.array_join(F.array_sort(F.map_values("report_paths")), ",").alias("report_paths"))
 
 
 # ---------------------------------------------------------------- I4, H1/H5/I5 and A5 on fixed ensembles
