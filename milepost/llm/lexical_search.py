@@ -40,6 +40,7 @@ from milepost.session import ensure_checkpoint_dir, remove_folder
 
 BEST = 20
 BLOCK_BYTES = 8 << 20  # text bytes of the items searched in one pass
+BROADCAST_BYTES = 32 << 20  # of leading classes, at most ``best`` per item of a block
 SCORED = 512  # classes scored at once
 NO_ID = np.iinfo(np.int64).max
 
@@ -188,6 +189,8 @@ def _search(docs: DataFrame, items: Items, best: int) -> DataFrame:
     classes = found.groupBy(F.xxhash64("bag", "m").alias("h"), "bag", "m").agg(F.min("doc_id").alias("low"))
     ahead = checkpointed(leaders(classes.select("bag", "m", "low"), items, weights(n_docs, df), best))
     wanted = ahead.select("bag", "m").distinct().withColumn("h", F.xxhash64("bag", "m"))
+    if (wanted.agg(F.sum(F.octet_length("bag").cast("long") + 16)).first()[0] or 0) <= BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)  # then members of a hot class are cut before they move
     smallest = W.partitionBy("h", "bag", "m").orderBy(F.col("doc_id").asc_nulls_last())
     members = found.withColumn("h", F.xxhash64("bag", "m")).join(wanted, ["h", "bag", "m"], "left_semi") \
         .withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= best).drop("place")
