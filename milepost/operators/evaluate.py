@@ -3,8 +3,8 @@
 Scopes are ALL plus each stage: the rows are aggregated by stage once, and the
 few resulting rows are rolled up to ALL.
 Average precision needs a cumulative sum in score order; instead of one global
-window it uses a score histogram (bounded: scopes x 2^bits rows) for bucket
-offsets and ranks only inside (scope, bucket).
+window it takes offsets from the totals of score ranges (a bounded histogram) and
+runs the sum only inside (scope, range).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from milepost.config import METHODS, RISK_METHOD, RISK_THRESHOLD, STAGES
+from milepost.operators.quantile import range_of
 from milepost.session import cut_lineage
 
 # Calibration bin edges as produced by numpy linspace(0, 1, 6)
@@ -20,6 +21,10 @@ from milepost.session import cut_lineage
 CALIBRATION_EDGES = (0.0, 0.2, 0.4, 0.6000000000000001, 0.8, 1.0)
 CALIBRATION_LABELS = ("(-0.001, 0.2]", "(0.2, 0.4]", "(0.4, 0.6]", "(0.6, 0.8]", "(0.8, 1.0]")
 
+#: Ranges the distinct scores are cut into for running sums: the largest of so many
+#: random ranges holds some 0.2 % of them.
+SCORE_RANGES = 4096
+
 
 def _scoped(df: DataFrame, stages=STAGES) -> DataFrame:
     """Each row in scope ALL and in its own stage (2 copies, aggregated map-side)."""
@@ -110,31 +115,35 @@ def _precision_recall(counts: DataFrame, threshold: float, stages) -> DataFrame:
 
 def average_precision(rows: DataFrame, prob: str = "risk_probability",
                       label: str = "target_is_materially_delayed", stages=STAGES,
-                      buckets: int = 1024, rel_error: float = 2.5e-4) -> DataFrame:
+                      ranges: int = SCORE_RANGES) -> DataFrame:
     """AP = sum over distinct scores (desc) of (R_i - R_{i-1}) * P_i, tied
     scores one step.  NULL if a scope has no positives.
 
-    Cumulative sums without a global window: distinct scores are cut into
-    ~``buckets`` ranges at approximate quantiles (bounded list of edges, so a
-    cluster of scores still spreads over many buckets); bucket totals give
-    offsets, and the running sum is only taken inside (scope, bucket)."""
-    return _average_precision(cut_lineage(score_counts(rows, prob, label)), stages, buckets, rel_error)
+    A prefix sum over ranges of scores: each range's totals, added up over the higher
+    ranges, give its offset, and the running sum is only taken inside (scope, range).
+    The plan is lazy throughout: no job runs before an action."""
+    return _average_precision(score_counts(rows, prob, label), stages, ranges)
+
+
+def _score_edges(scores: DataFrame, ranges: int) -> DataFrame:
+    """One row: at most ``ranges`` of the distinct scores, ascending.  Of the scores that
+    hash to one number, the one with the smallest second hash: an even sample of the
+    distinct scores, wherever they cluster, that comes out the same in every run."""
+    sample = scores.groupBy(F.pmod(F.xxhash64("_p"), F.lit(ranges)).alias("_h")).agg(
+        F.min_by("_p", F.xxhash64("_p", F.lit(1))).alias("_e"))
+    return sample.agg(F.sort_array(F.collect_list("_e")).alias("_edges")).withColumn(
+        "_every32", F.filter("_edges", lambda e, i: i % 32 == 31))
 
 
-def _average_precision(counts: DataFrame, stages, buckets: int = 1024, rel_error: float = 2.5e-4) -> DataFrame:
-    from pyspark.ml.feature import Bucketizer
+def _average_precision(counts: DataFrame, stages, ranges: int = SCORE_RANGES) -> DataFrame:
     per_score = (_scoped(counts.where(F.col("_p").isNotNull()), stages).groupBy("scope", "_p")
                  .agg(F.sum(F.col("_y") * F.col("_n")).alias("_tp"), F.sum("_n").alias("_n")))
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = sorted(set(per_score.approxQuantile("_p", probs, rel_error)))  # <= buckets - 1 values
-    splits = [float("-inf")] + [e for e in edges if e not in (float("-inf"), float("inf"))] + [float("inf")]
-    # without an edge (no scores at all, or infinite ones only) there is one range
-    ranged = (Bucketizer(splits=splits, inputCol="_p", outputCol="_asc").transform(per_score)
-              if len(splits) > 2 else per_score.withColumn("_asc", F.lit(0.0)))
-    keyed = ranged.withColumn("_b", (F.lit(len(splits) - 2) - F.col("_asc")).cast("int")).drop("_asc")
+    keyed = (per_score.crossJoin(F.broadcast(_score_edges(per_score, ranges)))  # one row
+             .withColumn("_b", range_of(F.col("_p"), F.col("_edges"), F.col("_every32")))
+             .drop("_edges", "_every32"))
     hist = keyed.groupBy("scope", "_b").agg(F.sum("_tp").alias("_btp"), F.sum("_n").alias("_bn"))
-    # <= scopes x buckets rows
-    w = Window.partitionBy("scope").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # <= scopes x (ranges + 1) rows
+    w = Window.partitionBy("scope").orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = hist.select("scope", "_b",
                           F.coalesce(F.sum("_btp").over(w), F.lit(0)).alias("_otp"),
                           F.coalesce(F.sum("_bn").over(w), F.lit(0)).alias("_on"))

@@ -58,7 +58,7 @@ def _of_group(values: DataFrame, groups: DataFrame, g: Sequence[str], n_groups:
     return _same(salted, copies, [*g, "_salt"]).drop("_salt")
 
 
-def _range_of(v: Column, edges: Column, every32: Column) -> Column:
+def range_of(v: Column, edges: Column, every32: Column) -> Column:
     """How many edges lie below v: whole 32s first, then within the 32 that follow."""
     whole = F.size(F.filter(every32, lambda e: e < v)) * 32
     return whole + F.size(F.filter(F.slice(edges, whole + 1, F.lit(32)), lambda e: e < v))
@@ -92,7 +92,7 @@ def middle_values(counts: DataFrame, g: Sequence[str], sorted_values: int = SORT
         edges = cut_lineage(values.groupBy(*g).agg(F.sort_array(edge).alias("_edges")).withColumn(
             "_every32", F.filter("_edges", lambda e, i: i % 32 == 31)))
         cut = _of_group(values, edges, g, n).withColumn(
-            "_b", _range_of(F.col("_v"), F.col("_edges"), F.col("_every32"))).drop("_edges", "_every32")
+            "_b", range_of(F.col("_v"), F.col("_edges"), F.col("_every32"))).drop("_edges", "_every32")
         ranges = _same(cut.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"), F.count(F.lit(1)).alias("_bd")),
                        large.drop("_d"), g)
         ranges = ranges.withColumn("_before", F.col("_before") + F.sum("_bn").over(
