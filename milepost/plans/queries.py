@@ -13,10 +13,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.config import Config
-from milepost.operators import derive
+from milepost.config import MILESTONES, Config
+from milepost.operators import asof, derive
 from milepost.plans import oracle as O
 from milepost.plans.catalog import Journeys, load
+from milepost.session import configure
 
 REGISTRY: dict[str, "Query"] = {}
 
@@ -28,11 +29,15 @@ class Query:
     sql: str | None
 
 
-def register(name: str, sql: str | None = None, cfg: Config | None = None):
-    def deco(fn: Callable[[Journeys], DataFrame]):
+def register(name: str, sql: str | None = None, cfg: Config | None = None, tables: bool = False):
+    """A query on the journey tables, or on the given ``tables`` as they are."""
+    def deco(fn: Callable[..., DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(load(spark, sf_dir, cfg or Config()))
-        REGISTRY[name] = Query(name, run, sql)
+
+        def plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(configure(spark), sf_dir)
+        REGISTRY[name] = Query(name, plain if tables else run, sql)
         return fn
     return deco
 
@@ -106,6 +111,33 @@ def q_asof(t: Journeys) -> DataFrame:
     return derive.available_milestones(t.journeys)
 
 
+_EVENT_KINDS = ("view", "click", "error", "signup")
+
+
+@register("asof_event_state", f"""
+SELECT t.event_id, t.user_id, t.ts, {", ".join(
+    f"""min(r.ts) FILTER (WHERE r.event_type = '{m}') AS {m}_first_at, max(r.ts) FILTER (WHERE r.event_type = '{m}') AS {m}_last_at,
+last(r.value ORDER BY r.ts, r.event_id) FILTER (WHERE r.event_type = '{m}') AS {m}_last_value,
+CAST(count(*) FILTER (WHERE r.event_type = '{m}') AS BIGINT) AS {m}_reports""" for m in _EVENT_KINDS)}
+FROM events t LEFT JOIN events r ON r.user_id = t.user_id AND r.ts <= t.ts
+WHERE t.event_type = 'purchase' GROUP BY t.event_id, t.user_id, t.ts""", tables=True)
+def q_asof_event_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8 on a stream of any events: what each user had done before each purchase."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    triggers = events.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    return asof.asof_state(triggers, events, ["user_id"], _EVENT_KINDS, at="ts", report_at="ts",
+                           milestone="event_type", order="event_id")
+
+
+@register("asof_five_milestones", O.sql(
+    "SELECT t.shipment_id, t.milestone AS snapshot_stage, t.reported_at AS snapshot_at, e.milestone, CAST(1 AS BIGINT) AS reports "
+    "FROM mevents t JOIN mevents e ON e.shipment_id = t.shipment_id AND e.milestone_idx <= t.milestone_idx "
+    "AND e.reported_at <= t.reported_at"))
+def q_asof_five(t: Journeys) -> DataFrame:
+    """B8 on the events table with all five milestones as stages."""
+    return asof.available_as_of(t.events, stages=MILESTONES)
+
+
 @register("evidence_gating", O.sql(
     "SELECT snapshot_id, observed_departure_delay_hours, observed_port_arrival_delay_hours, "
     "observed_customs_delay_hours, truck_availability_score FROM snaps"))
