@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 # The folder names of the original outputs.
 FOLDERS = {
@@ -27,3 +27,18 @@ class Layout:
 
     def data(self, name: str) -> str:
         return self.path("data", name)
+
+
+@dataclass(frozen=True)
+class StagedLayout(Layout):
+    """Paths in a staging folder (``root``) of the output root ``final``; remembers the
+    tables whose paths were asked for."""
+    final: str = ""
+    asked: list = field(default_factory=list)
+
+    def path(self, folder: str, name: str) -> str:
+        self.asked.append(f"{FOLDERS[folder]}/{name}")
+        return super().path(folder, name)
+
+    def tables(self) -> list[str]:
+        return list(dict.fromkeys(self.asked))

@@ -25,7 +25,7 @@ from milepost.operators.risk import RiskModels, fit_risk_stack
 from milepost.plans.catalog import Journeys, load, load_tables
 from milepost.plans.layout import Layout
 from milepost.session import cut_lineage
-from milepost.sources import sinks
+from milepost.sources import publish, sinks
 from milepost.sources.testdata import expected_journeys
 
 PREDICTION_COLUMNS = dict(zip(METHODS, (
@@ -116,11 +116,22 @@ def summary_record(cfg: Config, manifest: DataFrame, predictions: DataFrame, com
     }
 
 
+def write_scored(lay: Layout, predictions: DataFrame, comparison: DataFrame, risk: DataFrame,
+                 calibration: DataFrame, fmt: str = "parquet") -> None:
+    """A3: metric and prediction tables of the scored test rows."""
+    sinks.write_table(comparison, lay.path("final_metrics", "final_test_model_comparison"), fmt, small=True)
+    sinks.write_table(risk, lay.path("final_metrics", "final_test_risk_metrics"), fmt, small=True)
+    sinks.write_table(calibration, lay.path("final_metrics", "final_test_risk_calibration"), fmt, small=True)
+    sinks.write_table(predictions, lay.path("final_predictions", "final_test_predictions"), fmt)
+    sinks.write_risk_predictions(predictions, lay.path("final_predictions", "final_test_risk_predictions"), fmt)
+
+
 def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
         strict: bool = True, fmt: str = "parquet", checkpoint: bool = True,
         tables: Journeys | None = None, expected_shipments: int | None = None,
         folds_root: str | None = None) -> dict:
     """M3: validate -> split -> EDA -> validation pass -> refit pass -> sinks.
+    All tables of the run take the place of an earlier run's together, or none does.
     A run that was stopped goes on with the folds it left under ``folds_root``.
 
     Input: the mapped tables of ``sf_dir``, or ``tables`` (catalog.load_tables), whose
@@ -131,12 +142,14 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
     t = tables or load(spark, sf_dir, cfg)
     if checkpoint:
         t = t.materialize()
-    lay = Layout(root)
+    publish.recover(spark, root)
+    final, lay = Layout(root), publish.stage(root)
     report = QA.quality_report(t.shipments, t.events, t.snapshots, expected_shipments, stages=cfg.stages)
     report_rows = sorted(_rows(report), key=lambda r: r["rule"])  # 13 rows
+    refused = strict and any(r["violations"] for r in report_rows)
     sinks.write_table(report.withColumn("sample_ids", F.array_join("sample_ids", ",")),
-                      lay.path("quality", "quality_report"), fmt, small=True)
-    if strict:
+                      (final if refused else lay).path("quality", "quality_report"), fmt, small=True)
+    if refused:  # the report of what was refused is all that such a run replaces
         for r in report_rows:
             if r["violations"]:
                 raise ValueError(f"{QA.MESSAGES[r['rule']]} ({r['rule']}: {r['violations']})"
@@ -162,11 +175,7 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
 
     # M2: refit on train + validation, score test once
     fin = evaluate_pass(t, ("train", "validation"), "test", cfg, checkpoint, folds_root)
-    sinks.write_table(fin.comparison, lay.path("final_metrics", "final_test_model_comparison"), fmt, small=True)
-    sinks.write_table(fin.risk, lay.path("final_metrics", "final_test_risk_metrics"), fmt, small=True)
-    sinks.write_table(fin.calibration, lay.path("final_metrics", "final_test_risk_calibration"), fmt, small=True)
-    sinks.write_table(fin.predictions, lay.path("final_predictions", "final_test_predictions"), fmt)
-    sinks.write_risk_predictions(fin.predictions, lay.path("final_predictions", "final_test_risk_predictions"), fmt)
+    write_scored(lay, fin.predictions, fin.comparison, fin.risk, fin.calibration, fmt)
 
     # A5: models
     m = fin.eta_models
@@ -189,12 +198,13 @@ def run(spark: SparkSession, sf_dir: str, root: str, cfg: Config | None = None,
 
     # summary
     summary = summary_record(cfg, t.manifest, fin.predictions, fin.comparison, fin.risk, {
-        "quality": lay.path("quality", "quality_report"),
-        "eda": lay.path("eda", ""),
-        "final": lay.path("final_metrics", ""),
-        "cases": lay.path("final_reports", "final_case_studies"),
+        "quality": final.path("quality", "quality_report"),
+        "eda": final.path("eda", ""),
+        "final": final.path("final_metrics", ""),
+        "cases": final.path("final_reports", "final_case_studies"),
     })
     sinks.write_summary(spark, summary, lay.path("final_reports", "final_test_summary"))
+    publish.publish(spark, lay)
     for done in (val, fin):
         done.store.remove()
     return summary

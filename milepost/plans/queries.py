@@ -1159,6 +1159,47 @@ def q_stored_snapshots(t: Journeys) -> DataFrame:
     return back.select([F.col(c).cast(kind) for c, kind in t.snapshots.dtypes])
 
 
+def _published(t: Journeys, table: tuple[str, str]) -> DataFrame:
+    """The scored rows' tables written by the job's own function over those of an
+    earlier run (stood in for by empty ones), published, and one of them read again."""
+    import uuid
+    from milepost.plans.layout import Layout
+    from milepost.plans.pipeline import write_scored
+    from milepost.session import cut_lineage, ensure_checkpoint_dir, remove_folder
+    from milepost.sources import publish
+    spark = t.snapshots.sparkSession
+    root = f"{ensure_checkpoint_dir(spark)}/published-{uuid.uuid4().hex}"
+    rows = cut_lineage(_scored_rows(t).withColumns({
+        "risk_raw_probability": F.col("weather_severity"), "risk_level": RK.risk_level(),
+        "predicted_material_delay": RK.risk_alert()}))
+    comparison = EV.regression_metrics(rows, _ALL_METHODS)
+    for last in (False, True):
+        staged = publish.stage(root)
+        write_scored(staged, rows.where(F.lit(last)), comparison.where(F.lit(last)), EV.risk_metrics(rows).where(F.lit(last)),
+                     EV.calibration_table(rows).where(F.lit(last)))
+        publish.publish(spark, staged)
+    back = cut_lineage(spark.read.parquet(Layout(root).path(*table)))
+    remove_folder(spark, root)
+    return back
+
+
+@register("published_comparison", O.sql(
+    "SELECT method, scope, n_snapshots, round(mae_hours, 6) AS mae_hours, round(rmse_hours, 6) AS rmse_hours FROM reg6",
+    _SCORED))
+def q_published_comparison(t: Journeys) -> DataFrame:
+    m = _published(t, ("final_metrics", "final_test_model_comparison"))
+    return m.withColumns({"mae_hours": r6("mae_hours"), "rmse_hours": r6("rmse_hours")})
+
+
+@register("published_risk_predictions", O.sql(
+    "SELECT shipment_id, snapshot_id, snapshot_stage, round(weather_severity, 6) AS risk_raw_probability, "
+    "round(p, 6) AS risk_probability, CASE WHEN p <= 0.35 THEN 'LOW' WHEN p <= 0.65 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level, "
+    "p >= 0.29 AS predicted_material_delay, target_is_materially_delayed FROM te6", _SCORED))
+def q_published_risk(t: Journeys) -> DataFrame:
+    p = _published(t, ("final_predictions", "final_test_risk_predictions"))
+    return p.withColumns({"risk_raw_probability": r6("risk_raw_probability"), "risk_probability": r6("risk_probability")})
+
+
 _WATERFALL_SQL = (
     "CASE snapshot_stage WHEN 'PORT_ARRIVED' THEN printf('planned customs %.2fh + customs deviation %.2fh + planned post-customs "
     f"%.2fh + post-customs deviation %.2fh', {O.EXACT_HOURS('snapshot_at', 'scheduled_customs_clearance_at')}, direct, "
