@@ -669,7 +669,9 @@ ap AS (SELECT scope, CASE WHEN sum(tp) > 0 THEN sum(tp * (CAST(ctp AS DOUBLE) /
 
 def _final_rows(t: Journeys) -> DataFrame:
     """Test rows with B0/B1/B2 (fit: train + validation) and a deterministic
-    score: the full-fit route material-delay rate (I1)."""
+    score: the full-fit route material-delay rate (I1).  The legs are joined and written
+    once: two fits, the test rows and every metric on them read them again."""
+    t = t.materialize()
     fit = t.shipments_of("train", "validation")
     rows = BL.all_baselines(fit, t.snapshots_of("test"))
     return EN.route_rate(fit, rows, out="risk_probability")
@@ -1259,6 +1261,7 @@ def q_run_summary(t: Journeys) -> DataFrame:
     from milepost.session import ensure_checkpoint_dir
     from milepost.sources import sinks
     spark = t.snapshots.sparkSession
+    t = t.materialize()
     rows = _scored_rows(t)
     record = summary_record(t.cfg, t.manifest, rows, EV.regression_metrics(rows, _ALL_METHODS), EV.risk_metrics(rows),
                             {"cases": "b", "quality": "a"})

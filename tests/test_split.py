@@ -50,3 +50,16 @@ def test_folds_balanced_and_nested_salts_independent(small):
 def test_ratio_split_is_deterministic(small):
     a = S.split_by_ratio(small.shipments)
     assert a.exceptAll(S.split_by_ratio(small.shipments.repartition(3))).count() == 0
+
+
+def test_rows_know_their_split_by_the_cuts(spark):
+    """Equal to the manifest's, also for ids that repeat or are missing and for empty splits."""
+    for n in (0, 1, 2, 3, 250):
+        ids = spark.createDataFrame([(str(i),) for i in range(n)] * 2 + [(None,)], "shipment_id string")
+        cuts = S.known_cuts(S.split_bounds(ids, bucket_bits=4))
+        got = ids.select("shipment_id", S.split_of(cuts).alias("split"))
+        assert [r.split for r in got.where("shipment_id IS NULL").collect()] == [None]
+        known = got.where("shipment_id IS NOT NULL").distinct()
+        assert known.exceptAll(S.split_manifest(ids).select("shipment_id", "split")).count() == 0
+        sizes = {r.split: r["count"] for r in known.groupBy("split").count().collect()}
+        assert sizes == {k: v for k, v in S.quota_counts(n) if v}
