@@ -135,7 +135,7 @@ def q_asof_event_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     "AND e.reported_at <= t.reported_at"))
 def q_asof_five(t: Journeys) -> DataFrame:
     """B8 on the events table with all five milestones as stages."""
-    return asof.available_as_of(t.events, stages=MILESTONES)
+    return asof.available_as_of(t.materialize().events, stages=MILESTONES)  # read twice
 
 
 @register("evidence_gating", O.sql(

@@ -94,3 +94,25 @@ def test_all_five_milestones(small):
     last = rows.where(F.col("snapshot_stage") == MILESTONES[-1])
     seen = last.groupBy("shipment_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.min("n")).first()
     assert seen[0] == 5 and seen[1] >= 1
+
+
+def test_only_what_is_asked_for(spark):
+    at = lambda h: datetime(2024, 1, 1, h)
+    reports = spark.createDataFrame([("a", at(h), m, f"r{i}", float(i)) for i, (h, m) in enumerate(
+        [(1, "x"), (2, "y"), (2, "x"), (5, "y"), (7, "x")])] + [(None, at(1), "x", "n", 0.0)],
+        "k string, at timestamp, milestone string, report_id string, value double")
+    triggers = spark.createDataFrame([("a", at(2), "p"), ("a", at(2), "q"), ("a", at(6), "r"), ("b", at(9), "s"), (None, at(3), "t"),
+                                      ("a", None, "u")], "k string, at timestamp, name string")
+    for stretch in (1, 100):  # cut and by key
+        got = asof.asof_state(triggers, reports, ["k"], ["x", "y"], stretch=stretch, fields=("reports",))
+        assert got.columns == ["k", "at", "name", "x_reports", "y_reports"]
+        assert sorted((r.name, r.x_reports, r.y_reports) for r in got.collect()) == [
+            ("p", 2, 1), ("q", 2, 1), ("r", 2, 2), ("s", 0, 0), ("t", 0, 0), ("u", 0, 0)]
+        full = asof.asof_state(triggers, reports, ["k"], ["x", "y"], stretch=stretch)
+        assert {r.name: (r.x_first_at, r.x_last_value, r.y_last_at) for r in full.collect()}["r"] == (at(1), 2.0, at(5))
+
+
+def test_small_keys_are_dealt_once(small):
+    """Beside the count of latest reports: one exchange of triggers and reports."""
+    plan = asof.available_as_of(small.events)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
