@@ -1158,6 +1158,7 @@ def q_stored_snapshots(t: Journeys) -> DataFrame:
     from milepost.sources import readers, sinks
     spark = t.snapshots.sparkSession
     lay = Layout(f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}")
+    t = t.materialize()  # four tables are written from it
     paths = sinks.write_base_tables(lay, t.shipments, t.events, t.snapshots, t.manifest)
     back = readers.read_table(spark, paths["snapshots"], "snapshots")
     return back.select([F.col(c).cast(kind) for c, kind in t.snapshots.dtypes])
