@@ -66,3 +66,15 @@ def test_risk_stack_contract(small, tiny_cfg):
     assert p.where("risk_probability < 0 OR risk_probability > 1 OR risk_probability IS NULL").count() == 0
     assert p.where("predicted_material_delay <> (risk_probability >= 0.29)").count() == 0
     assert models.platt.coefficients[0] > 0  # calibrated probability increases with the raw one
+
+
+def test_boosting_partitions_follow_rows_cores_and_fits_beside(spark):
+    from milepost.config import Config
+    from milepost.operators.eta import sharing, sized
+    cores = spark.sparkContext.defaultParallelism
+    data = spark.range(0, 100, 1, 64)
+    parts = lambda n, beside=1: sized(data, n, beside).rdd.getNumPartitions()
+    assert parts(0) == parts(50_000) == 1 and parts(100_000) == min(2, cores)
+    assert parts(1_400_000) == max(4, min(28, cores)) and parts(1_400_000, 5 * cores) == 4
+    assert parts(8_000_000) == max(20, cores)
+    assert sharing(Config(), 5).direct.beside == 5 and sharing(Config(parallel_fits=1), 5).structured.beside == 1
